@@ -101,7 +101,7 @@ FIXTURE = Rules(
     corporate_channels=("AF",),
     zero_tariff="%ROM%",
     individual_user_type="HOUSEHOLD",
-    stormwater_service="blue rod",
+    stormwater_service="old rod",
     inspector_code="VIEW",
     stormwater_code="CLICK",
     attribute_type="object",

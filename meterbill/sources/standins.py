@@ -221,7 +221,7 @@ FROM {events}
 
 # Shard side (the consolidation job): nine identically shaped databases.
 VIEWS["nanim"] = """
-SELECT cast(o_custkey % 9 AS int) AS base,
+SELECT cast(o_custkey % 9 AS int) AS shard_idx,
        o_custkey AS lic,
        o_orderpriority AS fio,
        CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS close_ls,
