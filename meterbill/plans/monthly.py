@@ -48,6 +48,12 @@ def _count_if(cond: Column, name: str) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False))).alias(name)
 
 
+def _sum_if(cond: Column, value: Column, name: str) -> Column:
+    """A count of join rows expressed as a sum; 0 (not NULL) over no rows."""
+    total = F.sum(F.when(cond, value).otherwise(F.lit(0)))
+    return F.coalesce(total, F.lit(0)).cast("bigint").alias(name)
+
+
 class MonthlyStats:
     """The metrics of the closed billing period over one set of billing tables."""
 
@@ -217,10 +223,8 @@ class MonthlyStats:
     def meters(self) -> DataFrame:
         m = self.meter_rows()
         cold, hot = F.col("cold"), F.col("hot")
-        return m.agg(_count_if(cold, "M12"),
-                     F.sum(F.when(cold, F.col("n_multi")).otherwise(0)).cast("bigint").alias("M13"),
-                     _count_if(hot, "M16"),
-                     F.sum(F.when(hot, F.col("n_multi")).otherwise(0)).cast("bigint").alias("M17"))
+        return m.agg(_count_if(cold, "M12"), _sum_if(cold, F.col("n_multi"), "M13"),
+                     _count_if(hot, "M16"), _sum_if(hot, F.col("n_multi"), "M17"))
 
     def meter_accounts(self) -> DataFrame:
         """Distinct (account, service name) pairs with a meter."""
