@@ -32,6 +32,7 @@ from meterbill.plans.monthly import MonthlyStats, metric_rows
 from meterbill.session import scratch_path
 from meterbill.sources import charset, sinks
 from meterbill.sources.shards import BASES, read_shards
+from meterbill.sources.materialize import to_shared_parquet
 from meterbill.sources.standins import Standins
 from meterbill.streaming.ledger import LEDGER_SCHEMA, MONTHLY_JOB
 
@@ -125,7 +126,7 @@ def full_refresh(spark, sf_dir):
 
 @query
 def report_sink(spark, sf_dir):
-    report = _stats(spark, sf_dir).report()
+    report = MonthlyStats(_t(spark, sf_dir), FIXTURE, materialize=to_shared_parquet).report()
     path = scratch_path(spark, "monthly-report")
     sinks.report_sink(report, path)
     schema = T.StructType([T.StructField("seq", T.IntegerType()),
@@ -407,7 +408,7 @@ def accounts_by_source(spark, sf_dir):
 # ------------------------------------------------------------------ reports
 @query
 def monthly_report(spark, sf_dir):
-    return _stats(spark, sf_dir).report()
+    return MonthlyStats(_t(spark, sf_dir), FIXTURE, materialize=to_shared_parquet).report()
 
 
 @query

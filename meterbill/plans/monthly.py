@@ -1,22 +1,28 @@
 """Monthly statistics (M01-M19) and the report that lists them.
 
 The original report is a 26-branch ``UNION ALL`` whose branches re-join the
-same five to ten tables over and over.  Here every metric comes from one of
-a few shared base frames, each computed once per query:
-
-* ``open_accounts``   - account versions open at the closed period's date (M01,
-  root of everything else);
-* ``reading_accounts`` - distinct (channel, account) with a counting reading in
-  the closed period (M03, M04); ``reading_contracts`` for corporates (M05);
-* ``house_flags``     - (species group, house) with has-cold / has-hot flags
-  (M06-M11);
-* ``service_rows`` / ``meter_rows`` - account x service and account x service x
-  meter rows with a valid, non-zero tariff (M12-M19).
-
-The closed period's date is an uncorrelated scalar subquery, evaluated once.
-Dimensions are joined without hints: AQE turns a join into a broadcast only
-when the runtime size of that side is under the threshold and keeps the
-shuffle join otherwise, so no side is broadcast on faith.
+same five to ten tables over and over.  Here the metrics come from a few
+shared base frames:
+
+* ``open_accounts``    - account versions open at the closed period's date;
+* ``account_services`` - open account x contract x contract service (+ name);
+* ``valid_bindings``   - service-to-meter bindings valid at the period date;
+* ``meter_channels``   - (meter, channel) with a counting reading in the period;
+* ``reading_accounts`` - distinct (channel, account) built from the above.
+
+For the report the two expensive shared frames - ``meter_channels`` (from
+the readings, the largest fact) and ``account_services`` (a four-way join
+read by three branches) - are written once to the shared folder (see
+``sources.materialize``).  ``open_accounts`` and ``valid_bindings`` are
+filtered scans of one table each and are simply re-read.  Every other chain
+has exactly one consumer: M03+M04 in one rollup, houses (M06-M11) in one
+pass, meters and services (M12-M19) in one pass pre-aggregated per service
+key before the fan-out joins.
+
+The closed period is one uncorrelated scalar subquery (a struct), evaluated
+once.  Dimensions are joined without hints: AQE turns a join into a
+broadcast only when the runtime size of that side is under the threshold
+and keeps the shuffle join otherwise, so no side is broadcast on faith.
 """
 
 from __future__ import annotations
@@ -27,9 +33,10 @@ from pyspark.sql import types as T
 
 from meterbill.functions.predicates import flag_is, in_list, like_any, not_like, valid_at
 from meterbill.functions.rules import REPORT_LABELS, SECTION_SEQS, Rules
-from meterbill.operators.periods import CLOSED, current_period, period_scalar
+from meterbill.operators.periods import CLOSED, current_period
 from meterbill.operators.readings import latest_max_reading
 from meterbill.plans.tables import BillingTables
+from meterbill.sources.materialize import Materializer, lazy
 
 LABEL = dict(REPORT_LABELS)
 METRIC_SEQ = {
@@ -54,61 +61,107 @@ def _sum_if(cond: Column, value: Column, name: str) -> Column:
     return F.coalesce(total, F.lit(0)).cast("bigint").alias(name)
 
 
+def _distinct_count_if(cond: Column, key: Column, name: str) -> Column:
+    """``count(*)`` over ``select distinct key where cond``: a NULL key counts
+    once (``count(DISTINCT)`` alone would skip it)."""
+    nulls = F.max(F.when(cond & key.isNull(), F.lit(1)).otherwise(F.lit(0)))
+    return (F.count_distinct(F.when(cond, key)) + F.coalesce(nulls, F.lit(0))).cast("bigint").alias(name)
+
+
 class MonthlyStats:
-    """The metrics of the closed billing period over one set of billing tables."""
+    """The metrics of the closed billing period over one set of billing tables.
+
+    ``materialize`` decides how shared base frames are kept: ``lazy`` (part of
+    every consumer's plan - right for a single metric) or
+    ``sources.materialize.to_shared_parquet`` (written once to the shared
+    folder - right for ``report``, whose branches share them).
+    """
 
-    def __init__(self, tables: BillingTables, rules: Rules):
+    def __init__(self, tables: BillingTables, rules: Rules, materialize: Materializer = lazy):
         self.t = tables
         self.rules = rules
-        periods = tables["bl_bill_periods"]
-        self.bill_date = period_scalar(periods, "bill_date", CLOSED)
-        self.bill_id = period_scalar(periods, "bl_bill_id", CLOSED)
+        self._materialize = materialize
+        self._shared: dict[str, DataFrame] = {}
+        period = current_period(tables["bl_bill_periods"], CLOSED)
+        closed = period.select(F.struct("bl_bill_id", "bill_date").alias("p")).scalar()
+        self.bill_id = closed["bl_bill_id"]
+        self.bill_date = closed["bill_date"]
+
+    def _once(self, name: str, build) -> DataFrame:
+        if name not in self._shared:
+            self._shared[name] = self._materialize(build(), name)
+        return self._shared[name]
 
     # ----------------------------------------------------------------- bases
     def open_accounts(self) -> DataFrame:
         """Account versions active, not closed, valid at the period date."""
-        fa = self.t["us_flat_account_ver"]
-        return fa.filter(flag_is("is_active") & F.col("us_baseclose_doc_id").isNull()
-                         & valid_at(self.bill_date))
+        def build():
+            fa = self.t["us_flat_account_ver"]
+            return (fa.filter(flag_is("is_active") & F.col("us_baseclose_doc_id").isNull()
+                              & valid_at(self.bill_date))
+                    .select("us_flat_account_kid", "num_account", "tu_rlty_kid"))
+        return build()  # a filtered scan: recomputing beats writing it
 
     def valid_bindings(self) -> DataFrame:
-        b = self.t["cd_const_service_bunch"]
-        return (b.filter(flag_is("is_active") & valid_at(self.bill_date))
-                .select(F.col("us_cntr_svc_id").alias("cntr_service_key_id"), "cd_cntr_kid"))
+        """(cntr_service_key_id, cd_cntr_kid) of active bindings valid at the date."""
+        def build():
+            b = self.t["cd_const_service_bunch"]
+            return (b.filter(flag_is("is_active") & valid_at(self.bill_date))
+                    .select(F.col("us_cntr_svc_id").alias("cntr_service_key_id"), "cd_cntr_kid"))
+        return build()  # a filtered scan: recomputing beats writing it
+
+    def account_services(self) -> DataFrame:
+        """Open account version x its contracts' services, with the service name
+        (NULL when the service has no catalogue entry; a LIKE on it then drops
+        the row exactly as the original inner join did)."""
+        def build():
+            fa = self.open_accounts()
+            ck = self.t["cn_contract_key"].select("cntr_contract_key_id", "us_account_id")
+            sk = self.t["cn_service_key"].select("cntr_service_key_id", "cntr_contract_key_id", "ns_svc_id")
+            ref = self.t["ns_svc_ref"].select("ns_svc_id", "name")
+            return (fa.join(ck, fa.us_flat_account_kid == ck.us_account_id)
+                    .join(sk, "cntr_contract_key_id").join(ref, "ns_svc_id", "left")
+                    .select("us_flat_account_kid", "num_account", "tu_rlty_kid", "cntr_contract_key_id",
+                            "cntr_service_key_id", "name"))
+        return self._once("account_services", build)
 
     def active_contracts(self) -> DataFrame:
         c = self.t["cn_contract"]
         return c.filter(flag_is("is_active") & (F.col("cntr_status_id") == 5) & valid_at(self.bill_date))
 
-    def meter_channels(self, channels) -> DataFrame:
-        """Distinct (meter, channel) of the readings that count in the period.
+    def meter_channels(self) -> DataFrame:
+        """Distinct (meter, channel) of the readings that count in the period,
+        for every channel either section asks for.
 
         Readings are restricted to the period *before* the maxima (the period
         is part of the grouping key, so this is exact), the channel filter is
         applied *after* (the maxima are over all channels).
         """
-        ci = self.t["cd_indication"].filter(F.col("bl_bill_id") == self.bill_id)
-        latest = latest_max_reading(ci)
-        src = self.t["cd_indication_source"]
-        return (latest.join(src, "cd_indic_src_id")
-                .filter(in_list("name", channels))
-                .select("cd_cntr_kid", F.col("name").alias("channel"))
-                .distinct())
+        channels = tuple(dict.fromkeys(self.rules.reading_channels + self.rules.corporate_channels))
+
+        def build():
+            ci = self.t["cd_indication"].filter(F.col("bl_bill_id") == self.bill_id)
+            latest = latest_max_reading(ci)
+            src = self.t["cd_indication_source"]
+            return (latest.join(src, "cd_indic_src_id")
+                    .filter(in_list("name", channels))
+                    .select("cd_cntr_kid", F.col("name").alias("channel"))
+                    .distinct())
+        return self._once("meter_channels", build)
 
     def reading_accounts(self) -> DataFrame:
         """Distinct (channel, num_account) with a counting reading."""
-        meters = self.meter_channels(self.rules.reading_channels)
-        svc = self.valid_bindings().join(meters, "cd_cntr_kid")
-        contracts = self.t["cn_service_key"].join(svc, "cntr_service_key_id")
-        accounts = (self.t["cn_contract_key"].join(contracts, "cntr_contract_key_id")
-                    .select("us_account_id", "channel"))
-        fa = self.open_accounts().select("us_flat_account_kid", "num_account")
-        return (fa.join(accounts, fa.us_flat_account_kid == accounts.us_account_id)
-                .select("channel", "num_account").distinct())
+        def build():
+            meters = self.meter_channels().filter(in_list("channel", self.rules.reading_channels))
+            svc = self.valid_bindings().join(meters, "cd_cntr_kid").select("cntr_service_key_id", "channel")
+            acc = self.account_services().select("cntr_service_key_id", "num_account")
+            return acc.join(svc, "cntr_service_key_id").select("channel", "num_account").distinct()
+        return build()
 
     def reading_contracts(self) -> DataFrame:
         """Distinct corporate contract numbers with a counting reading."""
-        meters = self.meter_channels(self.rules.corporate_channels).select("cd_cntr_kid").distinct()
+        meters = (self.meter_channels().filter(in_list("channel", self.rules.corporate_channels))
+                  .select("cd_cntr_kid").distinct())
         ck = self.t["cn_contract_key"].filter(F.col("us_account_id").isNull())
         c = self.active_contracts().select("cntr_contract_key_id", "contract_nmbr")
         realty = self.t["tu_realty"].filter(flag_is("is_active") & valid_at(self.bill_date))
@@ -123,24 +176,16 @@ class MonthlyStats:
                 .join(meters, "cd_cntr_kid")
                 .select("contract_nmbr").distinct())
 
-    def account_species(self) -> DataFrame:
-        """(tu_rlty_kid, ns_hos_id, species name) of every realty key."""
+    def realty_species(self) -> DataFrame:
+        """(tu_rlty_kid, ns_adr_id, species name) of every realty key."""
         rk = self.t["tu_realty_key"]
         ref = self.t["tu_realty_species_ref"].select("tu_rlty_spcs_id", F.col("name").alias("species"))
-        na = self.t["ns_address"].select("ns_adr_id", "ns_hos_id")
-        return rk.join(ref, "tu_rlty_spcs_id").join(na, "ns_adr_id").select("tu_rlty_kid", "ns_hos_id", "species")
+        return rk.join(ref, "tu_rlty_spcs_id").select("tu_rlty_kid", "ns_adr_id", "species")
 
-    def account_service_flags(self) -> DataFrame:
-        """Per account: has a cold / hot (house rules) service with a valid binding."""
-        r = self.rules
-        sk = self.t["cn_service_key"].select("cntr_service_key_id", "cntr_contract_key_id", "ns_svc_id")
-        ref = self.t["ns_svc_ref"].select("ns_svc_id", "name")
-        rows = (self.t["cn_contract_key"].select("cntr_contract_key_id", "us_account_id")
-                .join(sk, "cntr_contract_key_id").join(ref, "ns_svc_id")
-                .join(self.valid_bindings().select("cntr_service_key_id"), "cntr_service_key_id"))
-        return rows.groupBy("us_account_id").agg(
-            F.max(like_any("name", r.cold_service)).alias("has_cold"),
-            F.max(like_any("name", r.hot_service_house)).alias("has_hot"))
+    def account_species(self) -> DataFrame:
+        """(tu_rlty_kid, ns_hos_id, species name): realty key with its house."""
+        na = self.t["ns_address"].select("ns_adr_id", "ns_hos_id")
+        return self.realty_species().join(na, "ns_adr_id").select("tu_rlty_kid", "ns_hos_id", "species")
 
     def house_flags(self) -> DataFrame:
         """(species group, house) with has_cold / has_hot - NULL house kept as one house."""
@@ -150,43 +195,63 @@ class MonthlyStats:
         fa = self.open_accounts().select("us_flat_account_kid", "tu_rlty_kid")
         houses = (fa.join(self.account_species(), "tu_rlty_kid")
                   .withColumn("grp", group).filter(F.col("grp").isNotNull()))
-        flags = self.account_service_flags()
-        joined = houses.join(flags, houses.us_flat_account_kid == flags.us_account_id, "left")
+        bound = self.valid_bindings().select("cntr_service_key_id")
+        flags = (self.account_services().join(bound, "cntr_service_key_id", "left_semi")
+                 .groupBy("us_flat_account_kid")
+                 .agg(F.max(like_any("name", r.cold_service)).alias("has_cold"),
+                      F.max(like_any("name", r.hot_service_house)).alias("has_hot")))
+        joined = houses.join(flags, "us_flat_account_kid", "left")
         return joined.groupBy("grp", "ns_hos_id").agg(
             F.max(F.coalesce("has_cold", F.lit(False))).alias("has_cold"),
             F.max(F.coalesce("has_hot", F.lit(False))).alias("has_hot"))
 
     def service_rows(self) -> DataFrame:
         """Open account x contract service with a valid service version and a
-        non-zero tariff, with cold / hot (meter rules) flags."""
+        non-zero tariff (one row per join row), cold / hot by the meter rules.
+        Services that are neither are dropped first: no metric reads them."""
         r = self.rules
-        fa = self.open_accounts().select("us_flat_account_kid", "num_account", "tu_rlty_kid")
-        ck = self.t["cn_contract_key"].select("cntr_contract_key_id", "us_account_id")
-        sk = self.t["cn_service_key"].select("cntr_service_key_id", "cntr_contract_key_id", "ns_svc_id")
-        ref = self.t["ns_svc_ref"].select("ns_svc_id", "name")
         s = (self.t["cn_service"].filter(flag_is("is_active") & valid_at(self.bill_date))
              .select("cntr_contract_key_id", "cntr_service_key_id", "ns_tariff_plan_id"))
         tp = (self.t["ns_tariff_plan"].filter(not_like("name", r.zero_tariff))
               .select("ns_tariff_plan_id"))
-        rows = (fa.join(ck, fa.us_flat_account_kid == ck.us_account_id)
-                .join(sk, "cntr_contract_key_id").join(ref, "ns_svc_id")
-                .join(s, ["cntr_contract_key_id", "cntr_service_key_id"])
-                .join(tp, "ns_tariff_plan_id"))
-        return rows.select("num_account", "tu_rlty_kid", "cntr_service_key_id", "name",
-                           like_any("name", r.cold_service).alias("cold"),
-                           like_any("name", r.hot_service_meter).alias("hot"))
-
-    def meter_rows(self) -> DataFrame:
-        """``service_rows`` x valid binding x active meter: one row per join row
-        (a meter bound to two services counts twice), with the number of
-        multi-flat realty keys of the account (0 when none)."""
+        cold, hot = like_any("name", r.cold_service), like_any("name", r.hot_service_meter)
+        svc = (self.account_services().filter(cold | hot)
+               .select("num_account", "tu_rlty_kid", "cntr_contract_key_id", "cntr_service_key_id", "name",
+                       cold.alias("cold"), hot.alias("hot")))
+        return (svc.join(s, ["cntr_contract_key_id", "cntr_service_key_id"])
+                .join(tp, "ns_tariff_plan_id").drop("ns_tariff_plan_id"))
+
+    def meter_service_counts(self) -> DataFrame:
+        """M12-M19 in one pass.
+
+        Per service key the number of (binding, active meter) join rows, and
+        per realty key the number of multi-flat species rows, are aggregated
+        *before* they meet the service rows, so the original fan-out (a meter
+        bound to two services counts twice) is reproduced by multiplying
+        counts instead of materialising the cross product.
+        """
+        r = self.rules
         cc = self.t["cd_counter"].filter(flag_is("is_active")).select("cd_cntr_kid")
-        multi = (self.account_species().filter(in_list("species", self.rules.multi_flat_species))
+        meters = (self.valid_bindings().join(cc, "cd_cntr_kid")
+                  .groupBy("cntr_service_key_id").agg(F.count(F.lit(1)).alias("n_meter")))
+        multi = (self.realty_species().filter(in_list("species", r.multi_flat_species))
                  .groupBy("tu_rlty_kid").agg(F.count(F.lit(1)).alias("n_multi")))
-        rows = (self.service_rows().join(self.valid_bindings(), "cntr_service_key_id")
-                .join(cc, "cd_cntr_kid"))
-        return (rows.join(multi, "tu_rlty_kid", "left")
-                .withColumn("n_multi", F.coalesce("n_multi", F.lit(0))))
+        rows = (self.service_rows().join(meters, "cntr_service_key_id", "left")
+                .join(multi, "tu_rlty_kid", "left")
+                .select("num_account", "name", "cold", "hot",
+                        F.coalesce("n_meter", F.lit(0)).alias("n_meter"),
+                        (F.coalesce("n_meter", F.lit(0)) * F.coalesce("n_multi", F.lit(0))).alias("n_meter_multi")))
+        pairs = rows.groupBy("num_account", "name").agg(
+            F.sum("n_meter").alias("n_meter"), F.sum("n_meter_multi").alias("n_meter_multi"),
+            F.max("cold").alias("cold"), F.max("hot").alias("hot"))
+        cold, hot = F.col("cold"), F.col("hot")
+        has_meter = F.col("n_meter") > 0
+        acc = F.col("num_account")
+        return pairs.agg(
+            _sum_if(cold, F.col("n_meter"), "M12"), _sum_if(cold, F.col("n_meter_multi"), "M13"),
+            _count_if(cold & has_meter, "M14"), _distinct_count_if(cold, acc, "M15"),
+            _sum_if(hot, F.col("n_meter"), "M16"), _sum_if(hot, F.col("n_meter_multi"), "M17"),
+            _count_if(hot & has_meter, "M18"), _distinct_count_if(hot, acc, "M19"))
 
     # --------------------------------------------------------------- metrics
     def m01(self) -> DataFrame:
@@ -201,13 +266,22 @@ class MonthlyStats:
                 .filter(F.col("name") != F.lit(self.rules.individual_user_type))
                 .agg(_count("M02")))
 
+    def reading_counts(self) -> DataFrame:
+        """M03 and M04 from one aggregate: ``rollup(channel)`` gives one row per
+        channel (``gid`` 0, M04) and the all-channel row (``gid`` 1, M03); on
+        distinct (channel, account) pairs a per-channel distinct count is the
+        plain count of the original, the total is its distinct-account count.
+        """
+        return (self.reading_accounts().rollup("channel")
+                .agg(F.count_distinct("num_account").alias("accounts"), F.grouping_id().alias("gid")))
+
     def m03(self) -> DataFrame:
-        return self.reading_accounts().agg(F.count_distinct("num_account").alias("M03"))
+        total = self.reading_counts().filter(F.col("gid") == 1)
+        return total.agg(F.coalesce(F.max("accounts"), F.lit(0)).alias("M03"))
 
     def m04(self) -> DataFrame:
         """One row per channel: (channel, accounts)."""
-        return (self.reading_accounts().groupBy("channel")
-                .agg(F.count("num_account").alias("accounts")))
+        return self.reading_counts().filter(F.col("gid") == 0).select("channel", "accounts")
 
     def m05(self) -> DataFrame:
         return self.reading_contracts().agg(F.count("contract_nmbr").alias("M05"))
@@ -221,22 +295,15 @@ class MonthlyStats:
                      _count_if(private & F.col("has_hot"), "M11"))
 
     def meters(self) -> DataFrame:
-        m = self.meter_rows()
-        cold, hot = F.col("cold"), F.col("hot")
-        return m.agg(_count_if(cold, "M12"), _sum_if(cold, F.col("n_multi"), "M13"),
-                     _count_if(hot, "M16"), _sum_if(hot, F.col("n_multi"), "M17"))
+        return self.meter_service_counts().select("M12", "M13", "M16", "M17")
 
     def meter_accounts(self) -> DataFrame:
         """Distinct (account, service name) pairs with a meter."""
-        pairs = (self.meter_rows().filter(F.col("cold") | F.col("hot"))
-                 .select("num_account", "name", "cold", "hot").distinct())
-        return pairs.agg(_count_if(F.col("cold"), "M14"), _count_if(F.col("hot"), "M18"))
+        return self.meter_service_counts().select("M14", "M18")
 
     def service_accounts(self) -> DataFrame:
         """Distinct accounts with the service (no meter needed)."""
-        acc = (self.service_rows().filter(F.col("cold") | F.col("hot"))
-               .groupBy("num_account").agg(F.max("cold").alias("cold"), F.max("hot").alias("hot")))
-        return acc.agg(_count_if(F.col("cold"), "M15"), _count_if(F.col("hot"), "M19"))
+        return self.meter_service_counts().select("M15", "M19")
 
     # ---------------------------------------------------------------- report
     def report(self) -> DataFrame:
@@ -250,24 +317,40 @@ class MonthlyStats:
         title = (current_period(self.t["bl_bill_periods"], CLOSED)
                  .select(F.lit(1).alias("seq"), F.lit(LABEL[1]).alias("parameter"),
                          F.col("bill_name").alias("value")))
-        channels = self.m04().select(
-            F.lit(CHANNEL_SEQ).alias("seq"),
-            F.concat(F.lit(LABEL[CHANNEL_SEQ]), F.col("channel")).alias("parameter"),
-            F.col("accounts").cast("string").alias("value"))
-        parts = [sections, title, channels]
-        for frame in (self.m01(), self.m02(), self.m03(), self.m05(), self.houses(),
-                      self.meters(), self.meter_accounts(), self.service_accounts()):
+        parts = [sections, title, self._reading_rows()]
+        for frame in (self.m01(), self.m02(), self.m05(), self.houses(),
+                      self.meter_service_counts()):
             parts.append(unpivot_metrics(frame))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out.orderBy("seq", "parameter")
 
+    def _reading_rows(self) -> DataFrame:
+        """Report rows of M03 (seq 6) and M04 (seq 7), one consumer of the
+        rollup.  A literal 0 for M03 keeps its row when no reading counts."""
+        spark = self.t["bl_bill_periods"].sparkSession
+        counts = self.reading_counts()
+        rows = counts.select(
+            F.when(F.col("gid") == 1, F.lit(METRIC_SEQ["M03"])).otherwise(F.lit(CHANNEL_SEQ)).alias("seq"),
+            F.when(F.col("gid") == 1, F.lit(LABEL[METRIC_SEQ["M03"]]))
+             .otherwise(F.concat(F.lit(LABEL[CHANNEL_SEQ]), F.col("channel"))).alias("parameter"),
+            F.col("accounts").cast("bigint").alias("accounts"))
+        zero = spark.createDataFrame([(METRIC_SEQ["M03"], LABEL[METRIC_SEQ["M03"]], 0)],
+                                     "seq int, parameter string, accounts bigint")
+        return (rows.unionByName(zero).groupBy("seq", "parameter")
+                .agg(F.max("accounts").cast("string").alias("value")))
+
+
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
 def unpivot_metrics(frame: DataFrame) -> DataFrame:
     """One-row frame of metric columns -> (seq, parameter, value) rows."""
     cols = frame.columns
-    stack = ", ".join(f"{METRIC_SEQ[c]}, '{LABEL[METRIC_SEQ[c]]}', cast(`{c}` AS string)" for c in cols)
+    stack = ", ".join(f"{METRIC_SEQ[c]}, {_sql_text(LABEL[METRIC_SEQ[c]])}, cast(`{c}` AS string)"
+                      for c in cols)
     return frame.selectExpr(f"stack({len(cols)}, {stack}) AS (seq, parameter, value)")
 
 
