@@ -38,6 +38,22 @@ def attribute_as_of(attrs: DataFrame, characteristic: Column | str, as_of: AsOf,
             .select(object_col, F.col(f"_best.{value_col}").alias(out)))
 
 
+def attributes_as_of(attrs: DataFrame, characteristics: dict[str, Column | str], as_of: AsOf, *,
+                     object_col: str = "object_id", char_col: str = "cn_chrct_id",
+                     value_col: str = "value") -> DataFrame:
+    """Several characteristics as of ``as_of`` in one pass over ``attrs``:
+    one column per entry of ``characteristics`` (output name -> id).  Same
+    rule as ``attribute_as_of``; objects with none of them are absent."""
+    ids = {out: (c if isinstance(c, Column) else F.lit(c)) for out, c in characteristics.items()}
+    wanted = None
+    for c in ids.values():
+        wanted = (F.col(char_col) == c) if wanted is None else wanted | (F.col(char_col) == c)
+    aggs = [F.max(F.when(F.col(char_col) == c, F.struct(F.col("date_begin"), F.col(value_col))))
+            .alias(f"_{out}") for out, c in ids.items()]
+    grouped = attrs.filter(wanted & valid_at(as_of)).groupBy(object_col).agg(*aggs)
+    return grouped.select(object_col, *[F.col(f"_{out}.{value_col}").alias(out) for out in ids])
+
+
 def to_number(c: Column | str, *, lenient: bool = False) -> Column:
     """Text to number.  Strict (ANSI cast, raises on bad text like the source
     database) by default; ``lenient`` yields NULL instead."""

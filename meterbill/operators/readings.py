@@ -76,3 +76,25 @@ def period_volume(readings: DataFrame, key: str = "cd_cntr_kid", period: str = "
     prev = F.lag("last_value").over(w)
     return last.select(key, period, "last_value", prev.alias("prev_value"),
                        (F.col("last_value") - prev).alias("volume"))
+
+
+def meter_summary(readings: DataFrame, period_id, key: str = "cd_cntr_kid", period: str = "bl_bill_id",
+                  order: Sequence[str] = _ORDER_FIELDS, value: str = "value") -> DataFrame:
+    """Per meter, in one pass over the readings: the volume of ``period_id``
+    (``period_volume`` of that period, NULL if the meter has no reading in it
+    or none before) and the last reading overall (``last_reading``).
+
+    The readings are aggregated per (meter, period) first; the window over a
+    meter then sees one row per period, and the final per-meter aggregate
+    reuses the window's partitioning (no further shuffle).
+    """
+    best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
+    per_period = readings.groupBy(key, period).agg(best)
+    w = Window.partitionBy(key).orderBy(period)
+    last_value = F.col(f"_best.{value}")
+    with_prev = per_period.select(key, period, "_best",
+                                  (last_value - F.lag(last_value).over(w)).alias("_volume"))
+    out = with_prev.groupBy(key).agg(
+        F.max(F.when(F.col(period) == period_id, F.col("_volume"))).alias("volume"),
+        F.max("_best").alias("_last"))
+    return out.select(key, "volume", *[F.col(f"_last.{c}").alias(c) for c in order])

@@ -1,5 +1,13 @@
 """Shard consolidation: newest snapshot of every shard, address rendered,
-tagged with the shard id, written as one full refresh."""
+tagged with the shard id, written as one full refresh.
+
+Plan: union the shards' account rows (tagged), keep each shard's newest
+snapshot (a per-shard max joined back by broadcast - the maxima are one row
+per shard), and only then join the address dimensions - once for all shards,
+not once per shard.  When every shard carries its own dimension tables they
+are unioned with the same tag and joined on (base, id); when the shards share
+one set of dimensions the join is on the id alone.
+"""
 
 from __future__ import annotations
 
@@ -16,28 +24,54 @@ from meterbill.sources.sinks import full_refresh
 ShardTables = Callable[[int], dict[str, DataFrame]]
 
 
-def shard_accounts(tables: dict[str, DataFrame], labels: FirebirdAddressLabels) -> DataFrame:
-    """One shard's account rows with the Firebird-rule address (before the
-    newest-snapshot filter, which must see the shard tag)."""
-    a = tables["nanim"]
-    dom = tables["dom"].select(F.col("id").alias("dom_id"), "ul_id", "dom", "dom2", "korp")
-    ul = tables["ulicy"].select(F.col("id").alias("ul_key"), F.col("name").alias("street"), "city_id")
-    city = tables["city"].select(F.col("id").alias("city_key"), F.col("name").alias("city"))
-    j = (a.join(dom, a.adres_id == dom.dom_id, "left")
-         .join(ul, F.col("ul_id") == F.col("ul_key"), "left")
-         .join(city, F.col("city_id") == F.col("city_key"), "left"))
+def render_accounts(a: DataFrame, dom: DataFrame, ulicy: DataFrame, city: DataFrame,
+                    labels: FirebirdAddressLabels, keys: Sequence[str] = (),
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """Account rows with the Firebird-rule address.  ``keys`` (e.g. ``base``)
+    are extra equality keys of every dimension join; ``carry`` are further
+    columns of ``a`` kept in the output."""
+    k = list(keys)
+    dom = dom.select(*k, F.col("id").alias("adres_id"), F.col("ul_id").alias("ul_key"),
+                     "dom", "dom2", "korp")
+    ul = ulicy.select(*k, F.col("id").alias("ul_key"), F.col("name").alias("street"),
+                      F.col("city_id").alias("city_key"))
+    ct = city.select(*k, F.col("id").alias("city_key"), F.col("name").alias("city"))
+    j = (a.join(dom, [*k, "adres_id"], "left")
+         .join(ul, [*k, "ul_key"], "left")
+         .join(ct, [*k, "city_key"], "left"))
     addr = address_null_propagating(F.col("city"), F.col("street"), F.col("dom"), F.col("dom2"),
                                     F.col("korp"), F.col("kv"), F.col("kv2"), labels)
-    return j.select(F.col("lic").alias("ls"), "fio", "close_ls", addr.alias("address"), "data_my")
+    extra = list(dict.fromkeys([*k, *carry]))
+    return j.select(*extra, F.col("lic").alias("ls"), "fio", "close_ls", addr.alias("address"), "data_my")
+
+
+def shard_accounts(tables: dict[str, DataFrame], labels: FirebirdAddressLabels) -> DataFrame:
+    """One shard's account rows with the Firebird-rule address."""
+    return render_accounts(tables["nanim"], tables["dom"], tables["ulicy"], tables["city"], labels)
 
 
 def consolidated_accounts(read_shard: ShardTables, bases: Sequence[int],
-                          labels: FirebirdAddressLabels, max_parallel: int | None = None) -> DataFrame:
-    """Union of all shards' newest snapshots in the target column order."""
-    union = read_shards(lambda b: shard_accounts(read_shard(b), labels), bases,
-                        max_parallel=max_parallel)
-    newest = latest_snapshot_per_base(union, "base", "data_my")
-    return newest.select(*TARGET_COLUMNS)
+                          labels: FirebirdAddressLabels, *, shared_dims: bool = False,
+                          max_parallel: int | None = None) -> DataFrame:
+    """Union of all shards' newest snapshots in the target column order.
+
+    ``shared_dims``: all shards use the same dimension frames (the first
+    shard's are used); otherwise each shard's dimensions are unioned with
+    its tag and joined on (base, id).
+    """
+    shards = {b: read_shard(b) for b in bases}
+    accounts = read_shards(lambda b: shards[b]["nanim"], bases, max_parallel=max_parallel)
+    newest = latest_snapshot_per_base(accounts, "base", "data_my")
+    if shared_dims:
+        first = shards[bases[0]]
+        rendered = render_accounts(newest, first["dom"], first["ulicy"], first["city"], labels,
+                                   carry=("base",))
+    else:
+        dims = {name: read_shards(lambda b, n=name: shards[b][n], bases)
+                for name in ("dom", "ulicy", "city")}
+        rendered = render_accounts(newest, dims["dom"], dims["ulicy"], dims["city"], labels,
+                                   keys=("base",))
+    return rendered.select(*TARGET_COLUMNS)
 
 
 def refresh_target(df: DataFrame, bases: Sequence[int], path: str) -> None:

@@ -3,19 +3,19 @@ and last reading, one row per contract service (and meter)."""
 
 from __future__ import annotations
 
-import datetime as _dt
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterbill.functions.predicates import AsOf, as_of_value, flag_is, valid_at
 from meterbill.functions.rules import EXTRACT_COLUMNS, Rules
 from meterbill.functions.text import OracleAddressLabels, address_null_as_empty
-from meterbill.operators.attributes import attribute_as_of, characteristic_id, to_number
+from meterbill.operators.attributes import (attribute_as_of, attributes_as_of, characteristic_id,
+                                            to_number)
 from meterbill.operators.periods import OPEN, current_period
-from meterbill.operators.readings import last_reading, period_volume
+from meterbill.operators.readings import meter_summary, period_volume
 from meterbill.plans.tables import BillingTables
 
 Whitelist = Sequence[tuple[str, Iterable[int]]]
@@ -83,27 +83,45 @@ class MeterExtract:
         return (sk.join(r, "ns_svc_id", "left").join(b, "cntr_service_key_id", "left")
                 .join(cc1, F.col("cd_cntr_kid") == F.col("meter_id"), "left").drop("cd_cntr_kid"))
 
+    def realty_attributes(self) -> DataFrame:
+        """(tu_rlty_kid, inspector, storm_attr): both characteristics of a realty
+        object as of ``as_of``, in one pass over the attribute table."""
+        cat, typ = self.t["cn_characteristic_ref"], self.rules.attribute_type
+        attrs = attributes_as_of(
+            self.t["attributes"],
+            {"inspector": characteristic_id(cat, typ, self.rules.inspector_code),
+             "storm_attr": characteristic_id(cat, typ, self.rules.stormwater_code)},
+            self.as_of)
+        return attrs.withColumnRenamed("object_id", "tu_rlty_kid")
+
+    def keep_row(self) -> Column:
+        """A meter is present, or the stormwater service has its attribute (the
+        OR over the outer-joined side)."""
+        return (F.col("ser_number").isNotNull()
+                | ((F.col("service") == F.lit(self.rules.stormwater_service))
+                   & F.col("storm_attr").isNotNull()))
+
     def candidate_rows(self) -> DataFrame:
-        """Services of corporate contracts that have a meter or, for the
-        stormwater service, a stormwater attribute (the OR over the outer side)."""
+        """Services that have a meter or, for the stormwater service, a
+        stormwater attribute."""
         storm = self.attribute(self.rules.stormwater_code, "storm_attr")
         rows = self.service_meters().join(storm, "tu_rlty_kid", "left")
-        keep = (F.col("ser_number").isNotNull()
-                | ((F.col("service") == F.lit(self.rules.stormwater_service))
-                   & F.col("storm_attr").isNotNull()))
-        return rows.filter(keep)
+        return rows.filter(self.keep_row())
 
     def volumes(self, period_id) -> DataFrame:
         readings = self.t["cd_indication"]
         v = period_volume(readings).filter(F.col("bl_bill_id") == period_id)
         return v.select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"))
 
-    def last_readings(self) -> DataFrame:
+    def meter_facts(self, period_id) -> DataFrame:
+        """Per meter: volume of the period and last reading with its source
+        name - one pass over the readings (see ``meter_summary``)."""
         src = self.t["cd_indication_source"].select("cd_indic_src_id", F.col("name").alias("src_name"))
-        last = last_reading(self.t["cd_indication"])
-        return (last.join(src, "cd_indic_src_id", "left")
-                .select(F.col("cd_cntr_kid").alias("meter_id"), F.col("value").alias("last_value"),
-                        F.col("date_ind_take").alias("last_date"), "src_name"))
+        summary = meter_summary(self.t["cd_indication"], period_id)
+        return (summary.join(src, "cd_indic_src_id", "left")
+                .select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"),
+                        F.col("value").alias("last_value"), F.col("date_ind_take").alias("last_date"),
+                        "src_name"))
 
     def rows(self, whitelist: Whitelist | None = None) -> DataFrame:
         t = self.t
@@ -131,12 +149,13 @@ class MeterExtract:
             wl = whitelist_frame(t["bl_bill_periods"].sparkSession, whitelist)
             head = head.join(F.broadcast(wl), (head.contract_nmbr == wl.contract_nmbr)
                              & (head.h_hos_id == wl.wl_hos_id), "left_semi")
-        body = (head.join(self.candidate_rows(), ["cntr_contract_key_id", "tu_rlty_kid"])
+        services = (self.service_meters().join(self.realty_attributes(), "tu_rlty_kid", "left")
+                    .filter(self.keep_row()))
+        body = (head.join(services, ["cntr_contract_key_id", "tu_rlty_kid"])
                 .join(q, "us_counteragent_id").join(corp, "us_corp_id").join(ut, "ns_user_typ_id")
-                .join(self.attribute(self.rules.inspector_code, "inspector"), "tu_rlty_kid", "left")
                 .crossJoin(F.broadcast(period)))
-        vol = self.volumes(period.select("bl_bill_id").scalar())
-        body = body.join(vol, "meter_id", "left").join(self.last_readings(), "meter_id", "left")
+        facts = self.meter_facts(period.select("bl_bill_id").scalar())
+        body = body.join(facts, "meter_id", "left")
         volume = F.when(F.col("service") == F.lit(self.rules.stormwater_service),
                         to_number("storm_attr")).otherwise(F.col("meter_volume"))
         return body.select(
