@@ -35,12 +35,16 @@ def period_scalar(periods: DataFrame, field: str = "bill_date", status: str = CL
     return current_period(periods, status).select(field).scalar()
 
 
-def open_and_closed(periods: DataFrame) -> DataFrame:
-    """Open and closed period (id, date, name) side by side, one row."""
-    o = current_period(periods, OPEN)
-    c = current_period(periods, CLOSED)
-    return (o.select(*[F.col(x).alias(f"open_{x.split('_')[-1]}") for x in o.columns])
-            .crossJoin(c.select(*[F.col(x).alias(f"closed_{x.split('_')[-1]}") for x in c.columns])))
+def open_and_closed(periods: DataFrame, *, id_col: str = "bl_bill_id", date_col: str = "bill_date",
+                    name_col: str = "bill_name", status_col: str = "period_status") -> DataFrame:
+    """Open and closed period (id, date, name) side by side: one aggregate, one row."""
+    out = []
+    for prefix, status in (("open", OPEN), ("closed", CLOSED)):
+        key = F.when(F.col(status_col) == F.lit(status), F.col(id_col))
+        out += [F.max(key).alias(f"{prefix}_id"),
+                F.max_by(date_col, key).alias(f"{prefix}_date"),
+                F.max_by(name_col, key).alias(f"{prefix}_name")]
+    return periods.agg(*out)
 
 
 def period_gate(periods: DataFrame, ledger: DataFrame, job: str) -> DataFrame:
@@ -49,11 +53,11 @@ def period_gate(periods: DataFrame, ledger: DataFrame, job: str) -> DataFrame:
 
     ``coalesce(max(exec_period), 0)`` makes an empty ledger a "never ran"; the
     comparison is ``<>``, as in the original, so a ledger ahead of the
-    database also triggers a run.  Both sides are single-row aggregates.
+    database also triggers a run.  The open period is a single-row aggregate,
+    the ledger side a scalar subquery; no join.
     """
-    open_id = current_period(periods, OPEN).select(F.col("bl_bill_id").alias("exec_period"))
     done = (ledger.filter(F.col("dag_name") == F.lit(job))
-            .agg(F.coalesce(F.max("exec_period"), F.lit(0)).cast("bigint").alias("done_period")))
-    return (open_id.crossJoin(done)
-            .filter(F.col("exec_period") != F.col("done_period"))
-            .select(F.lit(job).alias("dag_name"), F.col("exec_period").cast("bigint").alias("exec_period")))
+            .agg(F.coalesce(F.max("exec_period"), F.lit(0)).cast("bigint")).scalar())
+    return (current_period(periods, OPEN)
+            .select(F.lit(job).alias("dag_name"), F.col("bl_bill_id").cast("bigint").alias("exec_period"))
+            .filter(F.col("exec_period") != done))

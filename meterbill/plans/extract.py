@@ -139,8 +139,9 @@ class MeterExtract:
         corp = t["us_corp_card"].select("us_corp_id", F.col("name").alias("party"))
         ut = t["ns_user_type"].select("ns_user_typ_id", F.col("name").alias("user_type"))
         addr = rendered_addresses(t, self.labels).select("ns_adr_id", "h_hos_id", "address")
-        period = (current_period(t["bl_bill_periods"], OPEN).select("bl_bill_id")
-                  .filter(F.col("bl_bill_id").isNotNull()))
+        # The original comma-joins the one open period; as a scalar it is a
+        # column, and no open period means no rows, as with the join.
+        open_id = current_period(t["bl_bill_periods"], OPEN).select("bl_bill_id").scalar()
 
         head = (ck.join(c, "cntr_contract_key_id").join(cc, "cntr_contract_key_id")
                 .join(rk, "tu_rlty_kid").join(rk_ref, "tu_rlty_spcs_id")
@@ -153,8 +154,8 @@ class MeterExtract:
                     .filter(self.keep_row()))
         body = (head.join(services, ["cntr_contract_key_id", "tu_rlty_kid"])
                 .join(q, "us_counteragent_id").join(corp, "us_corp_id").join(ut, "ns_user_typ_id")
-                .crossJoin(F.broadcast(period)))
-        facts = self.meter_facts(period.select("bl_bill_id").scalar())
+                .withColumn("bl_bill_id", open_id).filter(F.col("bl_bill_id").isNotNull()))
+        facts = self.meter_facts(open_id)
         body = body.join(facts, "meter_id", "left")
         volume = F.when(F.col("service") == F.lit(self.rules.stormwater_service),
                         to_number("storm_attr")).otherwise(F.col("meter_volume"))

@@ -34,13 +34,13 @@ VIEWS["bl_bill_periods"] = """
 SELECT m.bl_bill_id,
        m.bill_date,
        'P' || cast(m.bl_bill_id AS string) AS bill_name,
-       CASE WHEN m.bl_bill_id = x.max_id THEN 'O' ELSE 'C' END AS period_status
+       CASE WHEN m.bl_bill_id = (SELECT cast(max(year(o_orderdate) * 100 + month(o_orderdate)) AS bigint)
+                                 FROM {orders})
+            THEN 'O' ELSE 'C' END AS period_status
 FROM (SELECT DISTINCT
              cast(year(o_orderdate) * 100 + month(o_orderdate) AS bigint) AS bl_bill_id,
              cast(date_trunc('month', o_orderdate) AS date) AS bill_date
       FROM {orders}) m
-CROSS JOIN (SELECT cast(max(year(o_orderdate) * 100 + month(o_orderdate)) AS bigint) AS max_id
-            FROM {orders}) x
 """
 
 VIEWS["us_flat_account_ver"] = """
