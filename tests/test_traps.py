@@ -231,3 +231,17 @@ def test_range_join_binned_path_equals_broadcast(spark):
     assert "Generate" in plan  # the bucket expansion, not a nested loop
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, binned.collect()))
     assert small.count() > 0
+
+
+def test_t8_production_rules_differ_by_section(spark):
+    """The fourth house prefix (cold water used for hot water) is hot for
+    houses, but its lower-case word does not match the meter pattern."""
+    from meterbill.functions.rules import PRODUCTION
+    name = "Холодная вода для приготовления горячей воды"
+    df = spark.createDataFrame([(name,), ("Горячее водоснабжение",), ("Водоснабжение",)], "name string")
+    house_hot = [r[0] for r in df.filter(like_any("name", PRODUCTION.hot_service_house)).collect()]
+    meter_hot = [r[0] for r in df.filter(like_any("name", PRODUCTION.hot_service_meter)).collect()]
+    cold = [r[0] for r in df.filter(like_any("name", PRODUCTION.cold_service)).collect()]
+    assert sorted(house_hot) == sorted([name, "Горячее водоснабжение"])
+    assert meter_hot == ["Горячее водоснабжение"]
+    assert cold == ["Водоснабжение"]
