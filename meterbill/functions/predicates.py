@@ -21,11 +21,20 @@ def _col(c: str | Column) -> Column:
 
 
 def as_of_value(as_of: AsOf) -> Column:
-    """A point in time as a Column (a literal, a scalar subquery, or a column)."""
+    """A point in time as a Column (a literal, a scalar subquery, or a column).
+
+    Date-times are wall-clock values: a Python ``datetime`` or a string with a
+    time part becomes a timestamp in the *session* time zone, the same zone in
+    which Spark compares ``TIMESTAMP_NTZ`` columns and DATE bounds with it, so
+    the result does not depend on the session's zone setting.  (``lit`` of a
+    naive ``datetime`` would instead use the Python process's zone.)
+    """
     if isinstance(as_of, Column):
         return as_of
+    if isinstance(as_of, _dt.datetime):
+        return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
     if isinstance(as_of, str):
-        return F.to_timestamp(F.lit(as_of)) if " " in as_of or "T" in as_of else F.to_date(F.lit(as_of))
+        return F.lit(as_of).cast("timestamp") if " " in as_of or "T" in as_of else F.lit(as_of).cast("date")
     return F.lit(as_of)
 
 

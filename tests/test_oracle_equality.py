@@ -42,3 +42,14 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert [c for c in df.columns] == ["seq", "parameter", "value"]
     assert len(rows) >= 22
+
+
+@pytest.mark.parametrize("key", ["as_of_attribute", "meter_extract", "case_expr", "monthly_report"])
+def test_independent_of_session_time_zone(spark, duck, key):
+    """Wall-clock timestamps: results do not move with the session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        test_matches_oracle(spark, duck, key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
