@@ -25,17 +25,41 @@ DEFAULT_CONF = {
 }
 
 
+# Additional settings for a large cluster (order of 1000 executors, ~100 TB of
+# billing tables).  Shuffles start with many partitions and AQE coalesces them
+# to ~256 MB each, so the same job fits one period or a year of readings; a
+# partition over 1 GB and 5x the median is split by the skew-join rule; the
+# static broadcast threshold stays small (a broadcast is copied to every
+# executor) while AQE may still broadcast a side whose *measured* size is
+# small after a shuffle.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "meterbill",
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                profile: str = "local") -> SparkSession:
     """Build (or reuse) a session with the defaults above.
 
     ``master`` and ``shuffle_partitions`` are only for local runs; on a
-    cluster they come from the submit configuration.
+    cluster they come from the submit configuration, and ``profile="cluster"``
+    adds ``CLUSTER_CONF``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
