@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterbill.functions.predicates import flag_is, in_list, like_any, not_like, valid_at
+from meterbill.functions import predicates
+from meterbill.functions.predicates import flag_is, in_list, like_any, valid_at
 from meterbill.functions.rules import FIXTURE
-from meterbill.functions.text import (FIXTURE_FIREBIRD_LABELS, FIXTURE_ORACLE_LABELS,
-                                      address_null_propagating)
+from meterbill.functions.text import FIXTURE_FIREBIRD_LABELS, FIXTURE_ORACLE_LABELS
 from meterbill.operators.attributes import attribute_as_of, characteristic_id, to_number
 from meterbill.operators.intervals import range_join
 from meterbill.operators import periods as P
@@ -199,10 +199,9 @@ def like_contains_any(spark, sf_dir):
 
 @query
 def not_like(spark, sf_dir):
-    from meterbill.functions.predicates import not_like as nl
     part = _t(spark, sf_dir).part
     named = part.select("p_partkey", F.nullif(F.col("p_type"), F.lit("SMALL")).alias("name"))
-    return named.filter(nl("name", FIXTURE.zero_tariff))
+    return named.filter(predicates.not_like("name", FIXTURE.zero_tariff))
 
 
 @query
