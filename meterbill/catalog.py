@@ -54,7 +54,7 @@ def query(fn: Query) -> Query:
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Standins:
-    return Standins(spark, sf_dir)
+    return Standins.of(spark, sf_dir)
 
 
 def _stats(spark, sf_dir) -> MonthlyStats:
