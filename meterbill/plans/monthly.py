@@ -306,9 +306,19 @@ class MonthlyStats:
         return self.meter_service_counts().select("M15", "M19")
 
     # ---------------------------------------------------------------- report
+    def prepare(self) -> None:
+        """Build the shared base frames.  With a writing materializer these are
+        two independent jobs; they are submitted together so they share the
+        cluster instead of running one after the other."""
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(self.meter_channels), pool.submit(self.account_services)]:
+                f.result()
+
     def report(self) -> DataFrame:
         """(seq, parameter, value) in report order; value is text, NULL on
         section rows (the original's empty string is NULL in its database)."""
+        self.prepare()
         spark = self.t["bl_bill_periods"].sparkSession
         schema = T.StructType([T.StructField("seq", T.IntegerType(), False),
                                T.StructField("parameter", T.StringType(), False),
