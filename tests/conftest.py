@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,9 +11,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from meterbill.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="meterbill-test-ckpt-")
-    s = get_session("local[4]", shuffle_partitions=4, extra={"spark.checkpoint.dir": ckpt})
+    from meterbill.session import get_session, shared_dir
+    s = get_session("local[4]", shuffle_partitions=4)
+    shared_dir(s)  # the configured checkpoint folder, or a temporary one only if none is set
     yield s
     s.stop()
 
