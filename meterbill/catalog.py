@@ -32,7 +32,7 @@ from meterbill.plans.monthly import MonthlyStats, metric_rows
 from meterbill.session import scratch_path
 from meterbill.sources import charset, sinks
 from meterbill.sources.shards import BASES, read_shards
-from meterbill.sources.materialize import to_shared_parquet
+from meterbill.sources.materialize import lazy, to_shared_parquet
 from meterbill.sources.standins import Standins
 from meterbill.streaming.ledger import LEDGER_SCHEMA, MONTHLY_JOB
 
@@ -61,8 +61,8 @@ def _stats(spark, sf_dir) -> MonthlyStats:
     return MonthlyStats(_t(spark, sf_dir), FIXTURE)
 
 
-def _extract(spark, sf_dir) -> MeterExtract:
-    return MeterExtract(_t(spark, sf_dir), FIXTURE, FIXTURE_ORACLE_LABELS, AS_OF)
+def _extract(spark, sf_dir, materialize=lazy) -> MeterExtract:
+    return MeterExtract(_t(spark, sf_dir), FIXTURE, FIXTURE_ORACLE_LABELS, AS_OF, materialize=materialize)
 
 
 def _shard_reader(t: Standins):
@@ -206,7 +206,7 @@ def not_like(spark, sf_dir):
 
 @query
 def pair_whitelist(spark, sf_dir):
-    rows = _extract(spark, sf_dir).rows(whitelist=WHITELIST)
+    rows = _extract(spark, sf_dir, to_shared_parquet).rows(whitelist=WHITELIST)
     return rows.select("contract_nmbr", "cntr_contract_key_id", "h_hos_id", "service", "ser_number")
 
 
@@ -416,4 +416,4 @@ def monthly_report(spark, sf_dir):
 
 @query
 def meter_extract(spark, sf_dir):
-    return _extract(spark, sf_dir).report()
+    return _extract(spark, sf_dir, to_shared_parquet).report()

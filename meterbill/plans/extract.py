@@ -17,6 +17,7 @@ from meterbill.operators.attributes import (attribute_as_of, attributes_as_of, c
 from meterbill.operators.periods import OPEN, current_period
 from meterbill.operators.readings import meter_summary, period_volume
 from meterbill.plans.tables import BillingTables
+from meterbill.sources.materialize import Materializer, lazy
 
 Whitelist = Sequence[tuple[str, Iterable[int]]]
 
@@ -24,7 +25,7 @@ Whitelist = Sequence[tuple[str, Iterable[int]]]
 def whitelist_frame(spark, pairs: Whitelist) -> DataFrame:
     """(contract number, house) pairs of a literal whitelist; duplicates removed,
     so a semi-join against it never multiplies rows."""
-    rows = sorted({(str(c), int(h)) for c, houses in pairs for h in houses})
+    rows = whitelist_key(pairs)
     schema = T.StructType([T.StructField("contract_nmbr", T.StringType(), False),
                            T.StructField("wl_hos_id", T.LongType(), False)])
     return spark.createDataFrame(rows, schema)
@@ -57,13 +58,25 @@ def rendered_addresses(t: BillingTables, labels: OracleAddressLabels) -> DataFra
                     F.coalesce("ts_type", "th_type").alias("town_type"))
 
 
+def whitelist_key(pairs: Whitelist) -> list[tuple[str, int]]:
+    return sorted({(str(c), int(h)) for c, houses in pairs for h in houses})
+
+
 class MeterExtract:
+    """The meter extract over one set of billing tables.
+
+    ``materialize`` (see ``sources.materialize``) decides how the service rows,
+    read twice, are kept: ``lazy`` or written once to the shared folder.
+    """
+
     def __init__(self, tables: BillingTables, rules: Rules, labels: OracleAddressLabels,
-                 as_of: AsOf = None):
+                 as_of: AsOf = None, materialize: Materializer = lazy):
         self.t = tables
         self.rules = rules
         self.labels = labels
         self.as_of = as_of_value(as_of) if as_of is not None else F.current_timestamp()
+        self._materialize = materialize
+        self._shared: dict[str, DataFrame] = {}
 
     def attribute(self, code: str, out: str) -> DataFrame:
         ch = characteristic_id(self.t["cn_characteristic_ref"], self.rules.attribute_type, code)
@@ -113,17 +126,29 @@ class MeterExtract:
         v = period_volume(readings).filter(F.col("bl_bill_id") == period_id)
         return v.select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"))
 
-    def meter_facts(self, period_id) -> DataFrame:
+    def meter_facts(self, period_id, meters: DataFrame | None = None) -> DataFrame:
         """Per meter: volume of the period and last reading with its source
-        name - one pass over the readings (see ``meter_summary``)."""
+        name - one pass over the readings (see ``meter_summary``).
+
+        ``meters`` (column ``meter_id``) restricts the readings to the meters
+        that are reported before anything is aggregated: exact, since every
+        figure of a meter depends only on its own readings, and it keeps the
+        whole reading history of all other meters out of the shuffle.
+        """
         src = self.t["cd_indication_source"].select("cd_indic_src_id", F.col("name").alias("src_name"))
-        summary = meter_summary(self.t["cd_indication"], period_id)
+        readings = self.t["cd_indication"]
+        if meters is not None:
+            readings = readings.join(meters.select(F.col("meter_id").alias("cd_cntr_kid")),
+                                     "cd_cntr_kid", "left_semi")
+        summary = meter_summary(readings, period_id)
         return (summary.join(src, "cd_indic_src_id", "left")
                 .select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"),
                         F.col("value").alias("last_value"), F.col("date_ind_take").alias("last_date"),
                         "src_name"))
 
-    def rows(self, whitelist: Whitelist | None = None) -> DataFrame:
+    def corporate_contracts(self, whitelist: Whitelist | None = None) -> DataFrame:
+        """Active corporate contracts (no account) valid at ``as_of``; with a
+        whitelist, only its contract numbers (the house part applies later)."""
         t = self.t
         ck = (t["cn_contract_key"].filter(F.col("us_account_id").isNull())
               .select("cntr_contract_key_id", "us_counteragent_id"))
@@ -132,6 +157,29 @@ class MeterExtract:
         c = (t["cn_contract"].filter(flag_is("is_active") & (F.col("cntr_status_id") == 5)
                                      & valid_at(self.as_of))
              .select("cntr_contract_key_id", "contract_nmbr"))
+        if whitelist is not None:
+            numbers = whitelist_frame(t["bl_bill_periods"].sparkSession, whitelist).select(
+                "contract_nmbr").distinct()
+            c = c.join(F.broadcast(numbers), "contract_nmbr", "left_semi")
+        return ck.join(c, "cntr_contract_key_id")
+
+    def extract_services(self, whitelist: Whitelist | None = None) -> DataFrame:
+        """Services of the candidate contracts with optional meter and the two
+        realty attributes, kept when a meter is present or the stormwater
+        attribute applies.  Two consumers (the rows and the meter list for the
+        readings), so it goes through the materializer."""
+        def build():
+            contracts = self.corporate_contracts(whitelist).select("cntr_contract_key_id")
+            return (self.service_meters().join(contracts, "cntr_contract_key_id", "left_semi")
+                    .join(self.realty_attributes(), "tu_rlty_kid", "left")
+                    .filter(self.keep_row()))
+        key = "extract_services" if whitelist is None else f"extract_services_{abs(hash(tuple(whitelist_key(whitelist))))}"
+        if key not in self._shared:
+            self._shared[key] = self._materialize(build(), key)
+        return self._shared[key]
+
+    def rows(self, whitelist: Whitelist | None = None) -> DataFrame:
+        t = self.t
         cc = t["cn_realty_bunch_key"].select("cntr_contract_key_id", "tu_rlty_kid")
         rk = t["tu_realty_key"].select("tu_rlty_kid", "ns_adr_id", "tu_rlty_spcs_id")
         rk_ref = t["tu_realty_species_ref"].select("tu_rlty_spcs_id", F.col("name").alias("object_type"))
@@ -143,19 +191,19 @@ class MeterExtract:
         # column, and no open period means no rows, as with the join.
         open_id = current_period(t["bl_bill_periods"], OPEN).select("bl_bill_id").scalar()
 
-        head = (ck.join(c, "cntr_contract_key_id").join(cc, "cntr_contract_key_id")
+        head = (self.corporate_contracts(whitelist).join(cc, "cntr_contract_key_id")
                 .join(rk, "tu_rlty_kid").join(rk_ref, "tu_rlty_spcs_id")
                 .join(addr, "ns_adr_id"))
         if whitelist is not None:
             wl = whitelist_frame(t["bl_bill_periods"].sparkSession, whitelist)
             head = head.join(F.broadcast(wl), (head.contract_nmbr == wl.contract_nmbr)
                              & (head.h_hos_id == wl.wl_hos_id), "left_semi")
-        services = (self.service_meters().join(self.realty_attributes(), "tu_rlty_kid", "left")
-                    .filter(self.keep_row()))
+        services = self.extract_services(whitelist)
         body = (head.join(services, ["cntr_contract_key_id", "tu_rlty_kid"])
                 .join(q, "us_counteragent_id").join(corp, "us_corp_id").join(ut, "ns_user_typ_id")
                 .withColumn("bl_bill_id", open_id).filter(F.col("bl_bill_id").isNotNull()))
-        facts = self.meter_facts(open_id)
+        meters = services.select("meter_id").filter(F.col("meter_id").isNotNull()).distinct()
+        facts = self.meter_facts(open_id, meters)
         body = body.join(facts, "meter_id", "left")
         volume = F.when(F.col("service") == F.lit(self.rules.stormwater_service),
                         to_number("storm_attr")).otherwise(F.col("meter_volume"))
