@@ -33,14 +33,19 @@ def whitelist_frame(spark, pairs: Whitelist) -> DataFrame:
 
 def rendered_addresses(t: BillingTables, labels: OracleAddressLabels) -> DataFrame:
     """(ns_adr_id, house id or NULL, address) - the snowflake chain address ->
-    house -> street -> town, with the town taken via the street, else via the
-    house (two roles of one dimension), Oracle NULL rules."""
+    house -> street (+ street type) -> town (+ town type), with the town taken
+    via the street, else via the house (two roles of one dimension; name and
+    type are coalesced independently), Oracle NULL rules.  All joins are left
+    joins to small dimensions."""
     na = t["ns_address"].select("ns_adr_id", F.col("ns_hos_id").alias("adr_hos_id"), "flat")
     h = t["ns_house"].select(F.col("ns_hos_id").alias("h_hos_id"), "house", "corpus", "building",
                              F.col("ns_strt_id").alias("h_strt_id"), F.col("ns_twn_id").alias("h_twn_id"))
-    s = t["ns_street"].select(F.col("ns_strt_id").alias("s_strt_id"), F.col("name").alias("street"),
-                              F.col("short_name").alias("street_type"), F.col("ns_twn_id").alias("s_twn_id"))
-    town = t["ns_town"]
+    st = t["ns_street_type"].select("ns_strttyp_id", F.col("short_name").alias("street_type"))
+    s = (t["ns_street"].join(st, "ns_strttyp_id", "left")
+         .select(F.col("ns_strt_id").alias("s_strt_id"), F.col("name").alias("street"), "street_type",
+                 F.col("ns_twn_id").alias("s_twn_id")))
+    tt = t["ns_town_type"].select("ns_twntyp_id", "short_name")
+    town = t["ns_town"].join(tt, "ns_twntyp_id", "left")
     t_street = town.select(F.col("ns_twn_id").alias("ts_id"), F.col("name").alias("ts_name"),
                            F.col("short_name").alias("ts_type"))
     t_house = town.select(F.col("ns_twn_id").alias("th_id"), F.col("name").alias("th_name"),

@@ -191,16 +191,24 @@ FROM (SELECT DISTINCT c_custkey % 300 AS h FROM {customer}) hs
 VIEWS["ns_street"] = """
 SELECT cast(n_nationkey AS bigint) AS ns_strt_id,
        n_name AS name,
-       'st.' AS short_name,
+       1 AS ns_strttyp_id,
        CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE cast(n_regionkey AS bigint) END AS ns_twn_id
 FROM {nation}
 """
 
+VIEWS["ns_street_type"] = """
+SELECT DISTINCT 1 AS ns_strttyp_id, 'st.' AS short_name FROM {nation}
+"""
+
 VIEWS["ns_town"] = """
-SELECT cast(r_regionkey AS bigint) AS ns_twn_id, r_name AS name, 't.' AS short_name
+SELECT cast(r_regionkey AS bigint) AS ns_twn_id, r_name AS name, 1 AS ns_twntyp_id
 FROM {region}
 """
 
+VIEWS["ns_town_type"] = """
+SELECT DISTINCT 1 AS ns_twntyp_id, 't.' AS short_name FROM {region}
+"""
+
 VIEWS["cn_characteristic_ref"] = """
 SELECT DISTINCT event_type AS cn_chrct_id,
                 upper(event_type) AS code,

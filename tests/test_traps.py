@@ -152,10 +152,13 @@ def test_t16_town_name_and_type_coalesce_independently(spark):
         "ns_house": spark.createDataFrame([(10, 10, None, None, 7, 2)],
                                           "ns_hos_id long, house long, corpus long, building long, "
                                           "ns_strt_id long, ns_twn_id long"),
-        "ns_street": spark.createDataFrame([(7, "Main", "st.", 1)],
-                                           "ns_strt_id long, name string, short_name string, ns_twn_id long"),
-        "ns_town": spark.createDataFrame([(1, "Oak", None), (2, "Elm", "t.")],
-                                         "ns_twn_id long, name string, short_name string"),
+        "ns_street": spark.createDataFrame([(7, "Main", 1, 1)],
+                                           "ns_strt_id long, name string, ns_strttyp_id int, ns_twn_id long"),
+        "ns_street_type": spark.createDataFrame([(1, "st.")], "ns_strttyp_id int, short_name string"),
+        # the town via the street has a name but no type row; the house's town has a type
+        "ns_town": spark.createDataFrame([(1, "Oak", 9), (2, "Elm", 1)],
+                                         "ns_twn_id long, name string, ns_twntyp_id int"),
+        "ns_town_type": spark.createDataFrame([(1, "t.")], "ns_twntyp_id int, short_name string"),
     })
     r = rendered_addresses(t, FIXTURE_ORACLE_LABELS).first()
     assert (r.town_name, r.town_type) == ("Oak", "t.")
