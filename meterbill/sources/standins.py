@@ -188,25 +188,27 @@ SELECT h AS ns_hos_id,
 FROM (SELECT DISTINCT c_custkey % 300 AS h FROM {customer}) hs
 """
 
+# One street type and one town type; the type ids are computed from a column
+# (not a literal) so the joins stay equi-joins, as on real id columns.
 VIEWS["ns_street"] = """
 SELECT cast(n_nationkey AS bigint) AS ns_strt_id,
        n_name AS name,
-       1 AS ns_strttyp_id,
+       cast(n_nationkey % 1 + 1 AS int) AS ns_strttyp_id,
        CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE cast(n_regionkey AS bigint) END AS ns_twn_id
 FROM {nation}
 """
 
 VIEWS["ns_street_type"] = """
-SELECT DISTINCT 1 AS ns_strttyp_id, 'st.' AS short_name FROM {nation}
+SELECT DISTINCT cast(n_nationkey % 1 + 1 AS int) AS ns_strttyp_id, 'st.' AS short_name FROM {nation}
 """
 
 VIEWS["ns_town"] = """
-SELECT cast(r_regionkey AS bigint) AS ns_twn_id, r_name AS name, 1 AS ns_twntyp_id
+SELECT cast(r_regionkey AS bigint) AS ns_twn_id, r_name AS name, cast(r_regionkey % 1 + 1 AS int) AS ns_twntyp_id
 FROM {region}
 """
 
 VIEWS["ns_town_type"] = """
-SELECT DISTINCT 1 AS ns_twntyp_id, 't.' AS short_name FROM {region}
+SELECT DISTINCT cast(r_regionkey % 1 + 1 AS int) AS ns_twntyp_id, 't.' AS short_name FROM {region}
 """
 
 VIEWS["cn_characteristic_ref"] = """
