@@ -178,7 +178,8 @@ class MeterExtract:
             return (self.service_meters().join(contracts, "cntr_contract_key_id", "left_semi")
                     .join(self.realty_attributes(), "tu_rlty_kid", "left")
                     .filter(self.keep_row()))
-        key = "extract_services" if whitelist is None else f"extract_services_{abs(hash(tuple(whitelist_key(whitelist))))}"
+        key = ("extract_services" if whitelist is None
+               else f"extract_services_{abs(hash(tuple(whitelist_key(whitelist))))}")
         if key not in self._shared:
             self._shared[key] = self._materialize(build(), key)
         return self._shared[key]

@@ -306,15 +306,14 @@ class Standins:
     them once saves re-analysing ~30 views for every query.
     """
 
-    _shared: dict[tuple[int, str], "Standins"] = {}
+    _shared: dict[tuple[SparkSession, str], "Standins"] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Standins":
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-        st = cls._shared.get(key)
-        if st is None or st.spark is not spark:
-            st = cls._shared[key] = cls(spark, sf_dir)
-        return st
+        key = (spark, sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
