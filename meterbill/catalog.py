@@ -372,7 +372,7 @@ def latest_snapshot_per_base_q(spark, sf_dir):
     read = _shard_reader(_t(spark, sf_dir))
     union = read_shards(lambda b: read(b)["nanim"].select("lic", "fio", "close_ls", "data_my"), BASES,
                         names=("ls", "fio", "close_ls", "data_my"))
-    return latest_snapshot_per_base(union, "base", "data_my")
+    return latest_snapshot_per_base(union, "base", "data_my", bases=BASES)
 
 
 QUERIES["latest_snapshot_per_base"] = QUERIES.pop("latest_snapshot_per_base_q")

@@ -9,17 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def latest_snapshot_per_base(df: DataFrame, base: str = "base", stamp: str = "data_my") -> DataFrame:
+def latest_snapshot_per_base(df: DataFrame, base: str = "base", stamp: str = "data_my",
+                             bases: Sequence[int] | None = None) -> DataFrame:
     """Rows carrying the newest ``stamp`` of their own shard.
 
     The newest stamp is per shard (each shard answered its own ``max``), never
-    global.  Plan: aggregate the maxima (one row per shard - bounded by the
-    shard list, so broadcasting it is safe), then a broadcast hash join on
-    (base, stamp): the snapshot rows are never shuffled, and a shard holding a
-    third of all rows costs nothing extra.
+    global.  Plan: aggregate the maxima (partial aggregation, so a shard
+    holding a third of all rows is no hot spot), then a semi-join on
+    (base, stamp).  When the shard list is given the maxima have at most
+    ``len(bases)`` rows - a proven bound - and are broadcast: the snapshot
+    rows are never shuffled.  Without it the join strategy is left to AQE's
+    runtime size check.
     """
     newest = df.groupBy(base).agg(F.max(stamp).alias(stamp))
-    return df.join(F.broadcast(newest), on=[base, stamp], how="left_semi")
+    if bases is not None:
+        newest = F.broadcast(newest.filter(F.col(base).isin([int(b) for b in bases])))
+    return df.join(newest, on=[base, stamp], how="left_semi")
 
 
 def expected_bases(spark: SparkSession, bases: Sequence[int], name: str = "base") -> DataFrame:

@@ -61,7 +61,7 @@ def consolidated_accounts(read_shard: ShardTables, bases: Sequence[int],
     """
     shards = {b: read_shard(b) for b in bases}
     accounts = read_shards(lambda b: shards[b]["nanim"], bases, max_parallel=max_parallel)
-    newest = latest_snapshot_per_base(accounts, "base", "data_my")
+    newest = latest_snapshot_per_base(accounts, "base", "data_my", bases=bases)
     if shared_dims:
         first = shards[bases[0]]
         rendered = render_accounts(newest, first["dom"], first["ulicy"], first["city"], labels,

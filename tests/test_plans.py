@@ -46,5 +46,5 @@ def test_newest_snapshot_never_shuffles_the_rows(spark):
     from meterbill.operators.snapshots import latest_snapshot_per_base
     df = spark.range(0, 10000).select((F.col("id") % 9).cast("int").alias("base"),
                                       (F.col("id") % 5).alias("data_my"), "id")
-    plan = _plan(latest_snapshot_per_base(df))
+    plan = _plan(latest_snapshot_per_base(df, bases=range(9)))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan

@@ -122,6 +122,7 @@ def test_t12_newest_snapshot_is_per_shard(spark):
                                "base int, data_my date, ls int")
     got = sorted(r.ls for r in latest_snapshot_per_base(df).collect())
     assert got == [2, 3]
+    assert sorted(r.ls for r in latest_snapshot_per_base(df, bases=(1, 2)).collect()) == [2, 3]
 
 
 def test_t13_whitelist_duplicates_do_not_multiply(spark):
