@@ -20,7 +20,7 @@ from meterbill.functions.predicates import flag_is, in_list, like_any, valid_at
 from meterbill.functions.rules import FIXTURE
 from meterbill.functions.text import FIXTURE_FIREBIRD_LABELS, FIXTURE_ORACLE_LABELS
 from meterbill.operators.attributes import attribute_as_of, characteristic_id, to_number
-from meterbill.operators.intervals import range_join
+from meterbill.operators.intervals import covering_counts
 from meterbill.operators import periods as P
 from meterbill.operators.periods import CLOSED, OPEN, open_and_closed, period_scalar
 from meterbill.operators.readings import (grouped_multi_max, last_reading, latest_max_reading,
@@ -259,8 +259,9 @@ def range_join_periods(spark, sf_dir):
     t = _t(spark, sf_dir)
     fa = t.us_flat_account_ver.select("date_begin", "date_end")
     bp = t.bl_bill_periods.select("bl_bill_id", "bill_date")
-    return (range_join(fa, bp, "bill_date").groupBy("bl_bill_id")
-            .agg(F.count(F.lit(1)).alias("versions")))
+    # counted per period without pairing versions with periods (see covering_counts)
+    counts = covering_counts(fa, bp, "bill_date", out="versions")
+    return counts.select("bl_bill_id", F.col("versions").cast("bigint").alias("versions"))
 
 
 @query

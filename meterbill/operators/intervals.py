@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast limit for the point side of a range join, in rows.
-MAX_BROADCAST_POINTS = 100_000
+# Broadcast limit for the point side of a range join, in rows.  The nested
+# loop costs (interval rows x points) comparisons, so the cap is kept small.
+MAX_BROADCAST_POINTS = 10_000
 
 
 def _month_bucket(c: Column) -> Column:
@@ -39,3 +40,45 @@ def range_join(intervals: DataFrame, points: DataFrame, point: str, begin: str =
     spread = intervals.withColumn("_bucket", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
     keyed = points.withColumn("_bucket", _month_bucket(F.col(point)))
     return spread.join(keyed, "_bucket").filter(cond).drop("_bucket")
+
+
+def _sum_up_to(dated: DataFrame, points: DataFrame, point: str, *, strict: bool,
+               max_broadcast_rows: int) -> DataFrame:
+    """Per point row: the sum of ``_n`` over rows of ``dated`` with ``_d <= point``
+    (``_d < point`` if ``strict``).  ``dated`` is small (one row per distinct
+    date); the pairing goes through ``range_join`` with the largest point as
+    the open upper end."""
+    top = points.agg(F.max(point)).scalar()
+    pairs = range_join(dated.withColumn("_hi", top), points, point, "_d", "_hi",
+                       max_broadcast_rows=max_broadcast_rows)
+    if strict:
+        pairs = pairs.filter(F.col("_d") < F.col(point))
+    return pairs.groupBy(*points.columns).agg(F.sum("_n").alias("_sum"))
+
+
+def covering_counts(intervals: DataFrame, points: DataFrame, point: str, begin: str = "date_begin",
+                    end: str = "date_end", *, out: str = "versions",
+                    max_broadcast_rows: int = MAX_BROADCAST_POINTS) -> DataFrame:
+    """For every point row, how many interval rows contain it (``BETWEEN``,
+    both ends included) - the result of ``range_join(...).groupBy(point
+    columns).count()`` without pairing any interval row with a point.
+
+    An interval with a NULL bound or ``begin > end`` contains nothing.  For
+    the others, count(p) = #(begin <= p) - #(end < p).  The interval side is
+    first reduced to per-date counts of begins and of ends (partial
+    aggregation: at most one row per distinct date, however many intervals
+    there are), and only those small tables meet the points.  Points
+    contained in no interval are absent, as with an inner join.
+    """
+    valid = intervals.filter(F.col(begin).isNotNull() & F.col(end).isNotNull()
+                             & (F.col(begin) <= F.col(end)))
+    starts = valid.groupBy(F.col(begin).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    stops = valid.groupBy(F.col(end).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    keys = points.columns
+    started = _sum_up_to(starts, points, point, strict=False,
+                         max_broadcast_rows=max_broadcast_rows).withColumnRenamed("_sum", "_started")
+    stopped = _sum_up_to(stops, points, point, strict=True,
+                         max_broadcast_rows=max_broadcast_rows).withColumnRenamed("_sum", "_stopped")
+    counts = (started.join(stopped, keys, "left")
+              .select(*keys, (F.col("_started") - F.coalesce("_stopped", F.lit(0))).alias(out)))
+    return counts.filter(F.col(out) > 0)

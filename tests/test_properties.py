@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from meterbill.operators.attributes import attributes_as_of
-from meterbill.operators.intervals import range_join
+from meterbill.operators.intervals import covering_counts, range_join
 from meterbill.operators.readings import last_reading, latest_max_reading, meter_summary
 
 SETTINGS = settings(max_examples=12, deadline=None)
@@ -94,6 +94,11 @@ def test_range_join_paths_match_definition(spark, ivs, pts):
     for cap in (100, 0):
         got = sorted((r.i, r.j) for r in range_join(left, right, "d", max_broadcast_rows=cap).collect())
         assert got == want
+        counts = {r.j: r.n for r in covering_counts(left, right, "d", out="n", max_broadcast_rows=cap).collect()}
+        want_counts = {}
+        for _, j in want:
+            want_counts[j] = want_counts.get(j, 0) + 1
+        assert counts == want_counts
 
 
 attr = st.tuples(st.integers(0, 3), st.sampled_from(["x", "y"]), st.sampled_from(["1", "2", "3"]),
