@@ -48,9 +48,16 @@ MISSING_SHARD = 29
 LEDGER_ROWS = ((MONTHLY_JOB, 0), ("03.Pump_search_all_Zbases", 209912))
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(arg: Query | str):
+    """Register a query under its function name, or ``@query("name")`` under
+    a name its operator already uses in this module."""
+    if isinstance(arg, str):
+        def register(fn: Query) -> Query:
+            QUERIES[arg] = fn
+            return fn
+        return register
+    QUERIES[arg.__name__] = arg
+    return arg
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Standins:
@@ -106,17 +113,14 @@ def shard_completeness(spark, sf_dir):
     return missing_bases(union, BASES)
 
 
-@query
-def consolidated_accounts_q(spark, sf_dir):  # registered below under its report name
+@query("consolidated_accounts")
+def _consolidated_accounts(spark, sf_dir):
     t = _t(spark, sf_dir)
     # the fixture's shards are slices of one table and share one set of
     # address dimensions; per-shard dimensions are covered by the tests
     return consolidated_accounts(_shard_reader(t), BASES, FIXTURE_FIREBIRD_LABELS, shared_dims=True)
 
 
-QUERIES["consolidated_accounts"] = QUERIES.pop("consolidated_accounts_q")
-
-
 @query
 def full_refresh(spark, sf_dir):
     df = QUERIES["consolidated_accounts"](spark, sf_dir)
@@ -279,22 +283,16 @@ def composite_join(spark, sf_dir):
     return sk.join(s, ["cntr_contract_key_id", "cntr_service_key_id"])
 
 
-@query
-def latest_max_reading_q(spark, sf_dir):
+@query("latest_max_reading")
+def _latest_max_reading(spark, sf_dir):
     return latest_max_reading(_t(spark, sf_dir).cd_indication)
 
 
-QUERIES["latest_max_reading"] = QUERIES.pop("latest_max_reading_q")
-
-
-@query
-def grouped_multi_max_q(spark, sf_dir):
+@query("grouped_multi_max")
+def _grouped_multi_max(spark, sf_dir):
     return grouped_multi_max(_t(spark, sf_dir).cd_indication)
 
 
-QUERIES["grouped_multi_max"] = QUERIES.pop("grouped_multi_max_q")
-
-
 @query
 def anti_join(spark, sf_dir):
     ms = _stats(spark, sf_dir)
@@ -326,17 +324,14 @@ def address_null_as_empty(spark, sf_dir):
     return addr.select("ns_adr_id", "address")
 
 
-@query
-def address_null_propagating_q(spark, sf_dir):
+@query("address_null_propagating")
+def _address_null_propagating(spark, sf_dir):
     t = _t(spark, sf_dir)
     tables = {"nanim": t.nanim, "dom": t.dom, "ulicy": t.ulicy, "city": t.city}
     rows = shard_accounts(tables, FIXTURE_FIREBIRD_LABELS)
     return rows.select("ls", "address")
 
 
-QUERIES["address_null_propagating"] = QUERIES.pop("address_null_propagating_q")
-
-
 # ------------------------------------------------- readings and attributes
 @query
 def last_reading_lookup(spark, sf_dir):
@@ -355,30 +350,24 @@ def as_of_attribute(spark, sf_dir):
     return a.select("object_id", to_number("text_value").alias("value"))
 
 
-@query
-def period_volume_q(spark, sf_dir):
+@query("period_volume")
+def _period_volume(spark, sf_dir):
     return period_volume(_t(spark, sf_dir).cd_indication)
 
 
-QUERIES["period_volume"] = QUERIES.pop("period_volume_q")
-
-
 @query
 def distinct_pairs(spark, sf_dir):
     return _t(spark, sf_dir).cd_indication.select("cd_indic_src_id", "cd_cntr_kid").distinct()
 
 
-@query
-def latest_snapshot_per_base_q(spark, sf_dir):
+@query("latest_snapshot_per_base")
+def _latest_snapshot_per_base(spark, sf_dir):
     read = _shard_reader(_t(spark, sf_dir))
     union = read_shards(lambda b: read(b)["nanim"].select("lic", "fio", "close_ls", "data_my"), BASES,
                         names=("ls", "fio", "close_ls", "data_my"))
     return latest_snapshot_per_base(union, "base", "data_my", bases=BASES)
 
 
-QUERIES["latest_snapshot_per_base"] = QUERIES.pop("latest_snapshot_per_base_q")
-
-
 # ------------------------------------------------------------------ metrics
 def _metrics(method: str, *names: str) -> Query:
     def q(spark, sf_dir):
