@@ -4,21 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from meterbill.session import scratch_path
 
-def full_refresh(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
-    """Replace the whole target with ``df`` in one write.
 
-    Spark's file commit protocol writes to a staging area and swaps on job
-    commit, so readers see the old or the new table, never a half-deleted
-    one; a failed task is retried without duplicates.  (The original job
-    deleted first and inserted shard by shard in separate transactions.)
+def full_refresh(df: DataFrame, path: str, *, fmt: str = "parquet", stage: bool = True) -> None:
+    """Replace the whole target with ``df``.
+
+    Spark's ``overwrite`` of a path clears the target when the write job
+    starts, so a failure during the job would leave it empty.  With ``stage``
+    (the default) ``df`` is first computed and written to a fresh folder in
+    the shared checkpoint area; only after that succeeded is the target
+    replaced by a copy of the staged files - a short job over already
+    computed data.  Task retries never duplicate rows (file commit protocol).
+    (The original job deleted first and inserted shard by shard.)
     """
+    spark = df.sparkSession
+    if stage:
+        staged = scratch_path(spark, "full-refresh-stage")
+        df.write.mode("overwrite").format(fmt).save(staged)
+        df = spark.read.format(fmt).load(staged)
     df.write.mode("overwrite").format(fmt).save(path)
 
 
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
-    """Same for a JDBC target: ``truncate`` keeps the table definition."""
-    (df.write.format("jdbc").mode("overwrite")
+    """Same for a JDBC target: staged first, then ``truncate`` + insert (the
+    table definition is kept)."""
+    spark = df.sparkSession
+    staged = scratch_path(spark, "full-refresh-stage")
+    df.write.mode("overwrite").parquet(staged)
+    (spark.read.parquet(staged).write.format("jdbc").mode("overwrite")
      .option("url", url).option("dbtable", table).option("truncate", "true")
      .options(**options).save())
 
