@@ -85,3 +85,12 @@ def test_legacy_charset_round_trip_restores_flag(spark, tmp_path):
     assert raw != "1,Киров г"           # the file is not UTF-8
     assert len(enc) == len("Киров г")   # one byte per letter
     assert spark.conf.get(charset.LEGACY_CHARSETS_FLAG, None) == before
+
+
+def test_standins_shared_per_session_and_directory(spark):
+    from meterbill.sources.standins import Standins
+    from tests.conftest import SF_MID
+    a, b = Standins.of(spark, SF_SMALL), Standins.of(spark, SF_SMALL + "/")
+    c = Standins.of(spark, SF_MID)
+    assert a is b and a is not c
+    assert a.orders.count() != c.orders.count()
