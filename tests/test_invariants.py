@@ -80,3 +80,52 @@ def test_period_filter_prunes_partitioned_readings(spark, tmp_path):
                          for s in scans)
     want = MonthlyStats(st, FIXTURE).meter_channels()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_production_rules_end_to_end(spark):
+    """The report with the original (Cyrillic) rule set over the stand-ins
+    relabelled into the original vocabulary equals the fixture-rule report.
+    The relabelling keeps, for every name, which rules select it."""
+    from pyspark.sql import functions as F
+    from meterbill.functions.rules import FIXTURE, PRODUCTION, REPORT_LABELS
+    from meterbill.plans.monthly import MonthlyStats
+    from meterbill.plans.tables import FrameMap
+    from meterbill.sources.standins import Standins
+    st = Standins.of(spark, SF_MID)
+    n = F.col("name")
+    meter_hot = n.like("%hot%") | n.like("%gizmo%")
+    prefix = (F.when(n.like("cold%"), F.lit("Водоснабжение "))
+              .when(n.like("hot%"), F.lit("ГВС "))
+              .when(n.like("red g%"), F.lit("Холодная вода для приготовления горячей "))
+              .otherwise(F.lit("Прочее ")))
+    suffix = F.when(meter_hot & ~n.like("hot%"), F.lit(" Горячая")).otherwise(F.lit(""))
+    species = {"HOUSEHOLD": "МКД", "BUILDING": "Комната", "FURNITURE": "Частный дом",
+               "MACHINERY": "Квартира в ЧД"}
+    channels = dict(zip(FIXTURE.reading_channels, PRODUCTION.reading_channels))
+
+    def relabel(col, mapping):
+        out = F.col(col)
+        for k, v in mapping.items():
+            out = F.when(F.col(col) == k, F.lit(v)).otherwise(out)
+        return out
+
+    frames = {name: st[name] for name in st.names}
+    frames["ns_svc_ref"] = st.ns_svc_ref.withColumn("name", F.concat(prefix, n, suffix))
+    frames["ns_tariff_plan"] = st.ns_tariff_plan.withColumn(
+        "name", F.when(n.like("%ROM%"), F.concat(F.lit("Нулевой "), n)).otherwise(n))
+    frames["tu_realty_species_ref"] = st.tu_realty_species_ref.withColumn("name", relabel("name", species))
+    frames["ns_user_type"] = st.ns_user_type.withColumn(
+        "name", relabel("name", {"HOUSEHOLD": PRODUCTION.individual_user_type}))
+    frames["cd_indication_source"] = st.cd_indication_source.withColumn("name", relabel("name", channels))
+
+    prod = {(r.seq, r.parameter): r.value
+            for r in MonthlyStats(FrameMap(frames), PRODUCTION).report().collect()}
+    label = dict(REPORT_LABELS)[7]
+    fix = {}
+    for r in MonthlyStats(st, FIXTURE).report().collect():
+        param = r.parameter
+        if r.seq == 7:  # per-channel rows are labelled with the channel name
+            param = label + channels[param[len(label):]]
+        fix[(r.seq, param)] = r.value
+    assert prod == fix
+    assert prod[(3, dict(REPORT_LABELS)[3])] == "811"
