@@ -129,3 +129,35 @@ def test_production_rules_end_to_end(spark):
         fix[(r.seq, param)] = r.value
     assert prod == fix
     assert prod[(3, dict(REPORT_LABELS)[3])] == "811"
+
+
+def test_production_extract_end_to_end(spark):
+    """The extract with the original rule set and address wording over
+    relabelled stand-ins equals the fixture extract (addresses aside, which
+    use the original wording)."""
+    from pyspark.sql import functions as F
+    from meterbill.catalog import AS_OF
+    from meterbill.functions.rules import FIXTURE, PRODUCTION
+    from meterbill.functions.text import FIXTURE_ORACLE_LABELS, ORACLE_LABELS
+    from meterbill.plans.extract import MeterExtract
+    from meterbill.plans.tables import FrameMap
+    from meterbill.sources.standins import Standins
+    st = Standins.of(spark, SF_MID)
+    frames = {name: st[name] for name in st.names}
+    n = F.col("name")
+    frames["ns_svc_ref"] = st.ns_svc_ref.withColumn(
+        "name", F.when(n == FIXTURE.stormwater_service, F.lit(PRODUCTION.stormwater_service)).otherwise(n))
+    code = F.col("code")
+    frames["cn_characteristic_ref"] = (st.cn_characteristic_ref
+        .withColumn("code", F.when(code == FIXTURE.stormwater_code, F.lit(PRODUCTION.stormwater_code))
+                    .when(code == FIXTURE.inspector_code, F.lit(PRODUCTION.inspector_code)).otherwise(code))
+        .withColumn("char_type_name", F.lit(PRODUCTION.attribute_type)))
+    cols = ["contract_nmbr", "cntr_contract_key_id", "party", "inspector", "ser_number", "volume",
+            "last_value", "last_date", "src_name"]
+    prod = MeterExtract(FrameMap(frames), PRODUCTION, ORACLE_LABELS, AS_OF).rows()
+    fix = MeterExtract(st, FIXTURE, FIXTURE_ORACLE_LABELS, AS_OF).rows()
+    assert sorted(map(tuple, prod.select(*cols).collect()), key=repr) == \
+        sorted(map(tuple, fix.select(*cols).collect()), key=repr)
+    addresses = [r.address for r in prod.select("address").distinct().collect()]
+    assert any(a.startswith(ORACLE_LABELS.default_city + " ,") for a in addresses)
+    assert all(ORACLE_LABELS.house in a for a in addresses)
