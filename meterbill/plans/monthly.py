@@ -230,28 +230,36 @@ class MonthlyStats:
         bound to two services counts twice) is reproduced by multiplying
         counts instead of materialising the cross product.
         """
+        pairs = self._meter_pairs()
+        cold, hot = F.col("cold"), F.col("hot")
+        has_meter = F.col("n_meter") > 0
+        acc = F.col("num_account")
+        return pairs.agg(
+            _sum_if(cold, F.col("n_meter"), "M12"), _sum_if(cold, F.col("n_meter_multi"), "M13"),
+            _count_if(cold & has_meter, "M14"), _distinct_count_if(cold, acc, "M15"),
+            _sum_if(hot, F.col("n_meter"), "M16"), _sum_if(hot, F.col("n_meter_multi"), "M17"),
+            _count_if(hot & has_meter, "M18"), _distinct_count_if(hot, acc, "M19"))
+
+    def _meter_rows(self) -> DataFrame:
+        """Service rows with their (binding, active meter) join-row count and
+        that count times the account's multi-flat species rows."""
         r = self.rules
         cc = self.t["cd_counter"].filter(flag_is("is_active")).select("cd_cntr_kid")
         meters = (self.valid_bindings().join(cc, "cd_cntr_kid")
                   .groupBy("cntr_service_key_id").agg(F.count(F.lit(1)).alias("n_meter")))
         multi = (self.realty_species().filter(in_list("species", r.multi_flat_species))
                  .groupBy("tu_rlty_kid").agg(F.count(F.lit(1)).alias("n_multi")))
-        rows = (self.service_rows().join(meters, "cntr_service_key_id", "left")
+        n_meter = F.coalesce("n_meter", F.lit(0))
+        return (self.service_rows().join(meters, "cntr_service_key_id", "left")
                 .join(multi, "tu_rlty_kid", "left")
-                .select("num_account", "name", "cold", "hot",
-                        F.coalesce("n_meter", F.lit(0)).alias("n_meter"),
-                        (F.coalesce("n_meter", F.lit(0)) * F.coalesce("n_multi", F.lit(0))).alias("n_meter_multi")))
-        pairs = rows.groupBy("num_account", "name").agg(
+                .select("num_account", "name", "cold", "hot", n_meter.alias("n_meter"),
+                        (n_meter * F.coalesce("n_multi", F.lit(0))).alias("n_meter_multi")))
+
+    def _meter_pairs(self) -> DataFrame:
+        """``_meter_rows`` per distinct (account, service name)."""
+        return self._meter_rows().groupBy("num_account", "name").agg(
             F.sum("n_meter").alias("n_meter"), F.sum("n_meter_multi").alias("n_meter_multi"),
             F.max("cold").alias("cold"), F.max("hot").alias("hot"))
-        cold, hot = F.col("cold"), F.col("hot")
-        has_meter = F.col("n_meter") > 0
-        acc = F.col("num_account")
-        return pairs.agg(
-            _sum_if(cold, F.col("n_meter"), "M12"), _sum_if(cold, F.col("n_meter_multi"), "M13"),
-            _count_if(cold & has_meter, "M14"), _distinct_count_if(cold, acc, "M15"),
-            _sum_if(hot, F.col("n_meter"), "M16"), _sum_if(hot, F.col("n_meter_multi"), "M17"),
-            _count_if(hot & has_meter, "M18"), _distinct_count_if(hot, acc, "M19"))
 
     # --------------------------------------------------------------- metrics
     def m01(self) -> DataFrame:
@@ -294,16 +302,26 @@ class MonthlyStats:
                      _count_if(private & F.col("has_cold"), "M10"),
                      _count_if(private & F.col("has_hot"), "M11"))
 
+    # The three metric families alone (single-metric queries); the report
+    # takes all eight from ``meter_service_counts`` in one pass.
     def meters(self) -> DataFrame:
-        return self.meter_service_counts().select("M12", "M13", "M16", "M17")
+        """Counts of join rows, straight from the row counts."""
+        m = self._meter_rows()
+        cold, hot = F.col("cold"), F.col("hot")
+        return m.agg(_sum_if(cold, F.col("n_meter"), "M12"), _sum_if(cold, F.col("n_meter_multi"), "M13"),
+                     _sum_if(hot, F.col("n_meter"), "M16"), _sum_if(hot, F.col("n_meter_multi"), "M17"))
 
     def meter_accounts(self) -> DataFrame:
         """Distinct (account, service name) pairs with a meter."""
-        return self.meter_service_counts().select("M14", "M18")
+        p = self._meter_pairs()
+        has_meter = F.col("n_meter") > 0
+        return p.agg(_count_if(F.col("cold") & has_meter, "M14"), _count_if(F.col("hot") & has_meter, "M18"))
 
     def service_accounts(self) -> DataFrame:
         """Distinct accounts with the service (no meter needed)."""
-        return self.meter_service_counts().select("M15", "M19")
+        acc = (self.service_rows().groupBy("num_account")
+               .agg(F.max("cold").alias("cold"), F.max("hot").alias("hot")))
+        return acc.agg(_count_if(F.col("cold"), "M15"), _count_if(F.col("hot"), "M19"))
 
     # ---------------------------------------------------------------- report
     def prepare(self) -> None:
