@@ -283,13 +283,13 @@ class MonthlyStats:
         return (self.reading_accounts().rollup("channel")
                 .agg(F.count_distinct("num_account").alias("accounts"), F.grouping_id().alias("gid")))
 
+    # M03 and M04 alone; the report takes both from ``reading_counts``.
     def m03(self) -> DataFrame:
-        total = self.reading_counts().filter(F.col("gid") == 1)
-        return total.agg(F.coalesce(F.max("accounts"), F.lit(0)).alias("M03"))
+        return self.reading_accounts().agg(F.count_distinct("num_account").alias("M03"))
 
     def m04(self) -> DataFrame:
         """One row per channel: (channel, accounts)."""
-        return self.reading_counts().filter(F.col("gid") == 0).select("channel", "accounts")
+        return self.reading_accounts().groupBy("channel").agg(F.count("num_account").alias("accounts"))
 
     def m05(self) -> DataFrame:
         return self.reading_contracts().agg(F.count("contract_nmbr").alias("M05"))
