@@ -9,6 +9,9 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
 KEYS = sorted(entry.queries())
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+                 "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -34,6 +37,8 @@ def test_matches_oracle(spark, duck, key):
     got_cols, got = df.columns, [tuple(r) for r in df.collect()]
     res = duck.sql(entry.oracle_sql()[key])
     assert sorted(got_cols) == sorted(res.columns)
+    duck_types = {c: str(t) for c, t in zip(res.columns, res.types)}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     assert _rows(got_cols, got) == _rows(res.columns, res.fetchall())
 
 
