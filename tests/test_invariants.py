@@ -161,3 +161,18 @@ def test_production_extract_end_to_end(spark):
     addresses = [r.address for r in prod.select("address").distinct().collect()]
     assert any(a.startswith(ORACLE_LABELS.default_city + " ,") for a in addresses)
     assert all(ORACLE_LABELS.house in a for a in addresses)
+
+
+def test_service_accounts_cover_meter_accounts(spark):
+    """M15 >= distinct accounts of the M14 pairs (and M19 for M18): an account
+    with a metered service has the service."""
+    from pyspark.sql import functions as F
+    from meterbill.functions.rules import FIXTURE
+    from meterbill.plans.monthly import MonthlyStats
+    from meterbill.sources.standins import Standins
+    ms = MonthlyStats(Standins.of(spark, SF_MID), FIXTURE)
+    pairs = ms._meter_pairs().filter(F.col("n_meter") > 0)
+    counts = ms.meter_service_counts().first()
+    assert counts.M15 >= pairs.filter("cold").select("num_account").distinct().count()
+    assert counts.M19 >= pairs.filter("hot").select("num_account").distinct().count()
+    assert counts.M14 >= pairs.filter("cold").select("num_account").distinct().count()
