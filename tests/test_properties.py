@@ -123,3 +123,64 @@ def test_attributes_as_of_match_definition(spark, rows, at):
         if any(v is not None for v in vals):
             want[o] = tuple(vals)
     assert got == want
+
+
+def _ora_cat(*parts):
+    """Oracle ||: NULL is the empty string; an empty result is NULL."""
+    out = "".join("" if p is None else str(p) for p in parts)
+    return out or None
+
+
+texts = st.one_of(st.none(), st.sampled_from(["Oak", "Main", "A"]))
+nums = st.one_of(st.none(), st.integers(0, 3))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(texts, texts, texts, texts, nums, nums, nums, nums), min_size=1, max_size=10))
+def test_oracle_address_matches_model(spark, rows):
+    from pyspark.sql import functions as F
+    from meterbill.functions.text import FIXTURE_ORACLE_LABELS as L, address_null_as_empty
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, tn string, tt string, sn string, st string, h int, k int, b int, f int")
+    got = {r.i: r.a for r in df.select("i", address_null_as_empty(
+        F.col("tn"), F.col("tt"), F.col("sn"), F.col("st"), F.col("h"), F.col("k"), F.col("b"), F.col("f"),
+        labels=L).alias("a")).collect()}
+    for i, (tn, tt, sn, stp, h, k, b, f) in enumerate(rows):
+        town = L.default_city if tn is None else _ora_cat(tt, " ", tn)
+        want = _ora_cat(town, "" if sn is None else ", ", stp, " ", sn, L.house, h,
+                        None if k is None else _ora_cat(L.corpus, k),
+                        None if b is None else _ora_cat(L.building, b),
+                        None if f is None else _ora_cat(L.flat, f))
+        assert got[i] == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["", "Oak"])), texts,
+                          st.one_of(st.none(), st.sampled_from(["5", "12"])),
+                          st.one_of(st.none(), st.sampled_from(["", "a"])),
+                          st.one_of(st.none(), st.sampled_from(["", "2"])),
+                          nums, st.one_of(st.none(), st.sampled_from(["", "b"]))),
+                min_size=1, max_size=10))
+def test_firebird_address_matches_model(spark, rows):
+    from pyspark.sql import functions as F
+    from meterbill.functions.text import FIXTURE_FIREBIRD_LABELS as L, address_null_propagating
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, city string, street string, dom string, dom2 string, korp string, "
+                               "kv int, kv2 string")
+    got = {r.i: r.a for r in df.select("i", address_null_propagating(
+        F.col("city"), F.col("street"), F.col("dom"), F.col("dom2"), F.col("korp"), F.col("kv"),
+        F.col("kv2"), labels=L).alias("a")).collect()}
+
+    def cat(*parts):  # Firebird ||: any NULL makes the whole NULL
+        return None if any(p is None for p in parts) else "".join(str(p) for p in parts)
+
+    for i, (city, street, dom, dom2, korp, kv, kv2) in enumerate(rows):
+        # IIF(cond, a, b): a NULL condition takes b
+        c = L.city_raw if city == "" else cat(L.city_raw + " (", city, ")")
+        d2 = dom2 if (dom2 is not None and len(dom2) > 0) else ""
+        k = cat(L.corpus, korp) if (korp is not None and len(korp) > 0) else ""
+        fl = "" if kv == 0 else cat(L.flat, kv)
+        k2 = "" if kv2 is None else kv2
+        raw = cat(c, L.street, street, L.house, dom, d2, k, fl, k2)
+        want = None if raw is None else raw.replace(L.city_raw, L.city_final)
+        assert got[i] == want
