@@ -32,7 +32,7 @@ from meterbill.plans.monthly import MonthlyStats, metric_rows
 from meterbill.session import scratch_path
 from meterbill.sources import charset, sinks
 from meterbill.sources.shards import BASES, read_shards
-from meterbill.sources.materialize import lazy, to_shared_parquet
+from meterbill.sources.materialize import SharedParquet, lazy, to_shared_parquet
 from meterbill.sources.standins import Standins
 from meterbill.streaming.ledger import LEDGER_SCHEMA, MONTHLY_JOB
 
@@ -132,9 +132,11 @@ def full_refresh(spark, sf_dir):
 
 @query
 def report_sink(spark, sf_dir):
-    report = MonthlyStats(_t(spark, sf_dir), FIXTURE, materialize=to_shared_parquet).report()
+    shared = SharedParquet()
+    report = MonthlyStats(_t(spark, sf_dir), FIXTURE, materialize=shared).report()
     path = scratch_path(spark, "monthly-report")
     sinks.report_sink(report, path)
+    shared.release(spark)  # the report file is written; its inputs can go
     schema = T.StructType([T.StructField("seq", T.IntegerType()),
                            T.StructField("parameter", T.StringType()),
                            T.StructField("value", T.StringType())])

@@ -31,3 +31,31 @@ def to_shared_parquet(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+class SharedParquet:
+    """``to_shared_parquet`` that remembers what it wrote, so the folders can
+    be released once every consumer has run (``release``): each is
+    overwritten by an empty table, which makes Spark clear its files."""
+
+    def __init__(self) -> None:
+        self.written: list[tuple[str, object]] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        self.written.append((path, df.schema))
+        return spark.read.parquet(path)
+
+    def release(self, spark) -> None:
+        """Empty every folder written so far.  Only after the frames built on
+        them have been consumed (written or collected)."""
+        for path, schema in self.written:
+            release_path(spark, path, schema)
+        self.written.clear()
+
+
+def release_path(spark, path: str, schema) -> None:
+    """Empty a scratch folder (an overwrite with no rows clears its files)."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from meterbill.session import scratch_path
+from meterbill.sources.materialize import release_path
 
 
 def full_refresh(df: DataFrame, path: str, *, fmt: str = "parquet", stage: bool = True) -> None:
@@ -19,11 +20,14 @@ def full_refresh(df: DataFrame, path: str, *, fmt: str = "parquet", stage: bool
     (The original job deleted first and inserted shard by shard.)
     """
     spark = df.sparkSession
-    if stage:
-        staged = scratch_path(spark, "full-refresh-stage")
-        df.write.mode("overwrite").format(fmt).save(staged)
-        df = spark.read.format(fmt).load(staged)
-    df.write.mode("overwrite").format(fmt).save(path)
+    if not stage:
+        df.write.mode("overwrite").format(fmt).save(path)
+        return
+    staged = scratch_path(spark, "full-refresh-stage")
+    df.write.mode("overwrite").format(fmt).save(staged)
+    copy = spark.read.format(fmt).load(staged)
+    copy.write.mode("overwrite").format(fmt).save(path)
+    release_path(spark, staged, copy.schema)
 
 
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
@@ -32,9 +36,11 @@ def full_refresh_jdbc(df: DataFrame, url: str, table: str, **options: str) -> No
     spark = df.sparkSession
     staged = scratch_path(spark, "full-refresh-stage")
     df.write.mode("overwrite").parquet(staged)
-    (spark.read.parquet(staged).write.format("jdbc").mode("overwrite")
+    copy = spark.read.parquet(staged)
+    (copy.write.format("jdbc").mode("overwrite")
      .option("url", url).option("dbtable", table).option("truncate", "true")
      .options(**options).save())
+    release_path(spark, staged, copy.schema)
 
 
 def report_sink(report: DataFrame, path: str, *, header: bool = True) -> None:

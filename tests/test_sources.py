@@ -113,3 +113,14 @@ def test_jdbc_readers_reach_the_jdbc_source(spark):
     for call in calls:
         with pytest.raises(Exception, match="(?i)suitable driver"):
             call().schema
+
+
+def test_shared_parquet_release_empties_folders(spark):
+    from meterbill.sources.materialize import SharedParquet
+    mat = SharedParquet()
+    out = mat(spark.range(100).withColumn("y", F.col("id") * 2), "probe")
+    assert out.agg(F.sum("y")).first()[0] == 9900
+    paths = [p for p, _ in mat.written]
+    mat.release(spark)
+    assert mat.written == []
+    assert all(spark.read.parquet(p).count() == 0 for p in paths)
