@@ -176,3 +176,25 @@ def test_service_accounts_cover_meter_accounts(spark):
     assert counts.M15 >= pairs.filter("cold").select("num_account").distinct().count()
     assert counts.M19 >= pairs.filter("hot").select("num_account").distinct().count()
     assert counts.M14 >= pairs.filter("cold").select("num_account").distinct().count()
+
+
+def test_fixture_probe_numbers(spark):
+    """The expected values FIXTURES.md records for the stand-ins at sf0.01."""
+    from pyspark.sql import functions as F
+    lr = QUERIES["last_reading_lookup"](spark, SF_MID).agg(F.count("value"), F.sum("value")).first()
+    assert tuple(lr) == (100, 2606.0)
+    pv = (QUERIES["period_volume"](spark, SF_MID).filter("bl_bill_id = 200107")
+          .agg(F.count("volume"), F.sum("volume")).first())
+    assert tuple(pv) == (100, -173.0)
+    ad = QUERIES["address_null_as_empty"](spark, SF_MID)
+    got = ad.agg(F.count("*"), F.countDistinct("address"), F.sum(F.length("address")),
+                 F.count_if(F.col("address").startswith("City")),
+                 F.count_if(F.col("address").contains(" , d."))).first()
+    assert tuple(got) == (1500, 1500, 67295, 75, 150)
+    samples = {r.ns_adr_id: r.address for r in ad.filter(F.col("ns_adr_id").isin(20, 23, 27)).collect()}
+    assert samples == {20: "City , d. 20, f. 6", 23: "t. EUROPE, st. NATION_23, d. 23, k. 3, b. 3, f. 2",
+                       27: "t. ASIA, st. NATION_2, d. 27, k. 3, b. 2, f. 6"}
+    attr = QUERIES["as_of_attribute"](spark, SF_MID).agg(F.count("*"), F.round(F.sum("value"), 2)).first()
+    assert tuple(attr) == (150, 8048.22)
+    latest = QUERIES["latest_max_reading"](spark, SF_MID).agg(F.count("*"), F.sum("value")).first()
+    assert tuple(latest) == (1646, 68529.0)
