@@ -184,3 +184,41 @@ def test_firebird_address_matches_model(spark, rows):
         raw = cat(c, L.street, street, L.house, dom, d2, k, fl, k2)
         want = None if raw is None else raw.replace(L.city_raw, L.city_final)
         assert got[i] == want
+
+
+snap = st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 99))
+
+
+@SETTINGS
+@given(st.lists(snap, max_size=25))
+def test_latest_snapshot_matches_definition(spark, rows):
+    from meterbill.operators.snapshots import latest_snapshot_per_base
+    df = spark.createDataFrame(rows, "base int, data_my int, ls int")
+    newest = {}
+    for b, d, _ in rows:
+        if d is not None:
+            newest[b] = max(newest.get(b, d), d)
+    want = sorted(r for r in rows if r[1] is not None and r[1] == newest.get(r[0]))
+    for bases in (None, range(4)):
+        got = sorted(map(tuple, latest_snapshot_per_base(df, bases=bases).select("base", "data_my", "ls").collect()))
+        assert got == want
+
+
+period = st.tuples(st.integers(202401, 202406), st.sampled_from(["O", "C"]))
+ledger_row = st.tuples(st.sampled_from(["job", "other"]), st.integers(202401, 202406))
+
+
+@SETTINGS
+@given(st.lists(period, max_size=6, unique_by=lambda p: p[0]), st.lists(ledger_row, max_size=4))
+def test_period_gate_matches_definition(spark, periods, ledger):
+    import datetime as _dt
+    from meterbill.operators.periods import period_gate
+    from meterbill.streaming.ledger import LEDGER_SCHEMA
+    p = spark.createDataFrame([(i, _dt.date(i // 100, i % 100, 1), f"P{i}", s) for i, s in periods],
+                              "bl_bill_id long, bill_date date, bill_name string, period_status string")
+    led = spark.createDataFrame(ledger, LEDGER_SCHEMA)
+    got = [tuple(r) for r in period_gate(p, led, "job").collect()]
+    open_ids = [i for i, s in periods if s == "O"]
+    done = max([e for n, e in ledger if n == "job"], default=0)
+    want = [("job", max(open_ids))] if open_ids and max(open_ids) != done else []
+    assert got == want
