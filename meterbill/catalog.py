@@ -45,7 +45,7 @@ AS_OF = dt.datetime(2024, 1, 15, 12, 0, 0)
 ATTRIBUTE_CODE = "CLICK"
 WHITELIST = (("42-10017", (130, 130)), ("42-1032", (33, 33)), ("42-10380", (91, 91)))
 MISSING_SHARD = 29
-LEDGER_ROWS = ((MONTHLY_JOB, 0), ("03.Pump_search_all_Zbases", 209912))
+LEDGER_ROWS = ((MONTHLY_JOB, 0), ("other_job", 209912))
 
 
 def query(arg: Query | str):
