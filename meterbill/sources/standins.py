@@ -310,14 +310,14 @@ class Standins:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Standins":
-        key = (spark, sf_dir.rstrip("/"))
+        key = (spark, str(sf_dir).rstrip("/"))
         if key not in cls._shared:
             cls._shared[key] = cls(spark, sf_dir)
         return cls._shared[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir.rstrip("/")
+        self.sf_dir = str(sf_dir).rstrip("/")
         self._frames: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
