@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from meterbill.llm import quality
+from meterbill.llm import ngram_join, quality
 from meterbill.llm.common import table
 
 
+def op5_ngram_jaccard_join(spark, sf_dir):
+    """Component of every document under 3-word shingles and a similarity of 0.9."""
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark, sf_dir):
     """Base counts, base rule and the outlier verdict of every document."""
     out = quality.assess(table(spark, sf_dir, "documents"))
@@ -14,7 +19,32 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
+    op5_ngram_jaccard_join,
     op10_quality_rules,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_ngram_jaccard_join": """
+with recursive
+ws as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+  from documents),
+sh as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [w]
+           else list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) end) as s
+  from ws),
+sizes as (select doc_id, count(*) as n from sh group by doc_id),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 90 * (x.n + y.n - c)),
+both_ways as (select a, b from links union select b, a from links),
+reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reach r join both_ways l on r.b = l.a)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, r.component_id
+from documents d left join sizes s using (doc_id)
+join (select a as doc_id, min(b) as component_id from reach group by 1) r using (doc_id)
+""",
+}
