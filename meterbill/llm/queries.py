@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from meterbill.llm import ngram_join, quality
+from meterbill.llm import decontaminate, ngram_join, quality
 from meterbill.llm.common import table
 
 
+def op1_benchmark_decontamination(spark, sf_dir):
+    """Every (document, benchmark item) with a passage within 20 % word edits of the item."""
+    return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_ngram_jaccard_join(spark, sf_dir):
     """Component of every document under 3-word shingles and a similarity of 0.9."""
     return ngram_join.components(table(spark, sf_dir, "documents"))
@@ -19,6 +24,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_benchmark_decontamination,
     op5_ngram_jaccard_join,
     op10_quality_rules,
 )}

@@ -9,6 +9,8 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 BLOCK = 1 << 18                                           # bytes hashed at once; longer texts are cut at white space
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+PLAIN = SPACE.copy()                                     # also ASCII punctuation and controls: words are letters and digits
+PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = True
 _POWERS: list[np.ndarray] = []
 
 
@@ -28,17 +30,17 @@ def _powers() -> list[np.ndarray]:
     return _POWERS
 
 
-def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offsets of the words: maximal runs of bytes other than ASCII white space."""
-    gap = SPACE[np.frombuffer(data, np.uint8)]
+def word_spans(data: bytes, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets of the words: maximal runs of bytes that are not gaps (ASCII white space)."""
+    gap = gaps[np.frombuffer(data, np.uint8)]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).view(np.int8)))
     return edge[::2], edge[1::2]
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """One hash per word, in order; equal words have equal hashes.  White space is ASCII only."""
+def word_hashes(data: bytes, gaps: np.ndarray = SPACE) -> np.ndarray:
+    """One hash per word, in order; equal words have equal hashes.  Gaps are ASCII bytes, white space among them."""
     if len(data) <= BLOCK:
-        return _block(data)
+        return _block(data, gaps)
     parts, at = [], 0
     while at < len(data):
         end = at + BLOCK
@@ -47,7 +49,7 @@ def word_hashes(data: bytes) -> np.ndarray:
             if cut <= at:      # one word longer than a block: hash it by itself
                 tail = [x for b in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c") if (x := data.find(b, end)) >= 0]
                 end = min(tail, default=len(data))
-                word = data[at:end].strip(b" \t\n\r\x0b\x0c")
+                word = data[at:end].strip(b" \t\n\r\x0b\x0c")     # taken whole, also where it holds other gaps
                 h = np.zeros(1, np.uint64)
                 for i in range(0, len(word), BLOCK):
                     h = mix(h) + _block_sum(word[i:i + BLOCK])
@@ -55,7 +57,7 @@ def word_hashes(data: bytes) -> np.ndarray:
                 at = end
                 continue
             end = cut
-        parts.append(_block(data[at:end]))
+        parts.append(_block(data[at:end], gaps))
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
@@ -65,9 +67,9 @@ def _block_sum(word: bytes) -> np.uint64:
     return ((np.frombuffer(word, np.uint8).astype(np.uint64) + np.uint64(1)) * power[:len(word)]).sum(dtype=np.uint64)
 
 
-def _block(data: bytes) -> np.ndarray:
+def _block(data: bytes, gaps: np.ndarray) -> np.ndarray:
     power, inverse = _powers()
-    start, end = word_spans(data)
+    start, end = word_spans(data, gaps)
     if not len(start):
         return np.zeros(0, np.uint64)
     total = np.zeros(len(data) + 1, np.uint64)
