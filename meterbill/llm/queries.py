@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterbill.llm import decontaminate, ngram_join, quality
+from meterbill.llm import decontaminate, ngram_join, pieces, pseudonyms, quality
 from meterbill.llm.common import table
 
 
@@ -11,11 +11,21 @@ def op1_benchmark_decontamination(spark, sf_dir):
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_sentencepiece(spark, sf_dir):
+    """Ids of every document's best segmentation, and whether decoding gives the text back."""
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark, sf_dir):
     """Component of every document under 3-word shingles and a similarity of 0.9."""
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark, sf_dir):
+    """Every document with its validated personal values replaced by format-preserving pseudonyms."""
+    return pseudonyms.findings(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_values", "kinds")
+
+
 def op10_quality_rules(spark, sf_dir):
     """Base counts, base rule and the outlier verdict of every document."""
     out = quality.assess(table(spark, sf_dir, "documents"))
@@ -25,7 +35,9 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
+    op3_sentencepiece,
     op5_ngram_jaccard_join,
+    op9_pii,
     op10_quality_rules,
 )}
 
