@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterbill.llm import decontaminate, ngram_join, pieces, pseudonyms, quality
+from meterbill.llm import decontaminate, language_id, ngram_join, pieces, pseudonyms, quality
 from meterbill.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op5_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark, sf_dir):
+    """Language of every document by the dictionary that compresses it best."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark, sf_dir):
     """Every document with its validated personal values replaced by format-preserving pseudonyms."""
     return pseudonyms.findings(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_values", "kinds")
@@ -37,6 +42,7 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op3_sentencepiece,
     op5_ngram_jaccard_join,
+    op7_language_id,
     op9_pii,
     op10_quality_rules,
 )}
