@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterbill.llm import decontaminate, language_id, ngram_join, pieces, pseudonyms, quality
+from meterbill.llm import decontaminate, language_id, ngram_join, pieces, pseudonyms, quality, sentence_spans
 from meterbill.llm.common import table
 
 
@@ -11,6 +11,11 @@ def op1_benchmark_decontamination(spark, sf_dir):
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    """Every document's text without sentence spans that occur earlier in the corpus."""
+    return sentence_spans.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark, sf_dir):
     """Ids of every document's best segmentation, and whether decoding gives the text back."""
     return pieces.encode(table(spark, sf_dir, "documents"))
@@ -40,6 +45,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
+    op2_substring_dedup,
     op3_sentencepiece,
     op5_ngram_jaccard_join,
     op7_language_id,

@@ -39,6 +39,11 @@ def word_spans(data: bytes, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.nd
 
 def word_hashes(data: bytes, gaps: np.ndarray = SPACE) -> np.ndarray:
     """One hash per word, in order; equal words have equal hashes.  Gaps are ASCII bytes, white space among them."""
+    return words_at(data, gaps)[2]
+
+
+def words_at(data: bytes, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end (byte offsets) and hash of every word."""
     if len(data) <= BLOCK:
         return _block(data, gaps)
     parts, at = [], 0
@@ -49,17 +54,19 @@ def word_hashes(data: bytes, gaps: np.ndarray = SPACE) -> np.ndarray:
             if cut <= at:      # one word longer than a block: hash it by itself
                 tail = [x for b in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c") if (x := data.find(b, end)) >= 0]
                 end = min(tail, default=len(data))
-                word = data[at:end].strip(b" \t\n\r\x0b\x0c")     # taken whole, also where it holds other gaps
+                left = len(data[at:end]) - len(data[at:end].lstrip(b" \t\n\r\x0b\x0c"))
+                word = data[at + left:end]                # taken whole, also where it holds other gaps
                 h = np.zeros(1, np.uint64)
                 for i in range(0, len(word), BLOCK):
                     h = mix(h) + _block_sum(word[i:i + BLOCK])
-                parts.append(mix(h ^ np.uint64(0x5851F42D4C957F2D)))
+                parts.append((np.array([at + left]), np.array([end]), mix(h ^ np.uint64(0x5851F42D4C957F2D))))
                 at = end
                 continue
             end = cut
-        parts.append(_block(data[at:end], gaps))
+        start, stop, h = _block(data[at:end], gaps)
+        parts.append((start + at, stop + at, h))
         at = end
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _block_sum(word: bytes) -> np.uint64:
@@ -67,14 +74,26 @@ def _block_sum(word: bytes) -> np.uint64:
     return ((np.frombuffer(word, np.uint8).astype(np.uint64) + np.uint64(1)) * power[:len(word)]).sum(dtype=np.uint64)
 
 
-def _block(data: bytes, gaps: np.ndarray) -> np.ndarray:
+def _block(data: bytes, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     power, inverse = _powers()
     start, end = word_spans(data, gaps)
     if not len(start):
-        return np.zeros(0, np.uint64)
+        return start, end, np.zeros(0, np.uint64)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
-    return mix((total[end] - total[start]) * inverse[start])
+    return start, end, mix((total[end] - total[start]) * inverse[start])
+
+
+def run_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One hash per run words[start:end]; equal runs have equal hashes wherever they stand."""
+    n = len(words)
+    if n < BLOCK:
+        power, inverse = (p[:n + 1] for p in _powers())
+    else:
+        power, inverse = (np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, b, np.uint64)))) for b in (BASE, INVERSE))
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(words * power[:n], out=total[1:])
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
