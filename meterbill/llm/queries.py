@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterbill.llm import decontaminate, language_id, ngram_join, pieces, pseudonyms, quality, sentence_spans
+from meterbill.llm import decontaminate, language_id, ngram_join, page_text, pieces, pseudonyms, quality, sentence_spans
 from meterbill.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op5_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark, sf_dir):
     """Language of every document by the dictionary that compresses it best."""
     return language_id.identify(table(spark, sf_dir, "documents"))
@@ -48,6 +53,7 @@ QUERIES = {f.__name__: f for f in (
     op2_substring_dedup,
     op3_sentencepiece,
     op5_ngram_jaccard_join,
+    op6_html_extraction,
     op7_language_id,
     op9_pii,
     op10_quality_rules,
