@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterbill.llm import decontaminate, language_id, ngram_join, page_text, pieces, pseudonyms, quality, sentence_spans
+from meterbill.llm import decontaminate, language_id, ngram_join, page_text, pieces, pseudonyms, quality, secret_scan, sentence_spans, url_filter
 from meterbill.llm.common import table
 
 
@@ -21,6 +21,20 @@ def op3_sentencepiece(spark, sf_dir):
     return pieces.encode(table(spark, sf_dir, "documents"))
 
 
+RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op4_url_filters(spark, sf_dir):
+    """Rule and verdict of every page's url, blocks passed on to redirect and canonical aliases."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_ngram_jaccard_join(spark, sf_dir):
     """Component of every document under 3-word shingles and a similarity of 0.9."""
     return ngram_join.components(table(spark, sf_dir, "documents"))
@@ -36,6 +50,11 @@ def op7_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scans(spark, sf_dir):
+    """Every secret candidate with the forest's probability and verdict."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark, sf_dir):
     """Every document with its validated personal values replaced by format-preserving pseudonyms."""
     return pseudonyms.findings(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_values", "kinds")
@@ -52,14 +71,67 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_substring_dedup,
     op3_sentencepiece,
+    op4_url_filters,
     op5_ngram_jaccard_join,
     op6_html_extraction,
     op7_language_id,
+    op8_secret_scans,
     op9_pii,
     op10_quality_rules,
 )}
 
+_URL_PARTS = """
+  translate(regexp_extract(coalesce(u, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  regexp_extract(coalesce(u, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path,
+  regexp_extract(coalesce(u, ''), '(?s)^.*?://[^/?#]*[^?#]*(\\?[^#]*)', 1) as query,
+  regexp_extract(coalesce(u, ''), '(?s)^(.*?)://', 1) as scheme"""
+
 ORACLE: dict[str, str] = {
+    "op4_url_filters": f"""
+with recursive
+rules(h, p, act) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                            ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+parts as (select page_id, u, html, {_URL_PARTS} from (select page_id, url as u, html from pages)),
+tags as (
+  select u, scheme, host, path, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'),
+           '(?is)(<(?:link|meta)\\b[^>]*>)', 1)) as tag
+  from parts where html is not null),
+refs as (
+  select *, replace(trim(case
+      when regexp_matches(tag, '(?is)\\brel\\s*=\\s*["'']?canonical["''\\s/>]')
+        then regexp_replace(regexp_extract(tag, '(?is)\\bhref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1), '^["'']|["'']$', '', 'g')
+      when regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh["''\\s/>]')
+        then regexp_extract(tag, '(?is)url\\s*=\\s*[''"]?([^''">]+)', 1) end), '&amp;', '&') as href
+  from tags),
+targets as (
+  select u as a, case when contains(href, '://') then href when href like '//%' then scheme || ':' || href
+      when href like '/%' then scheme || '://' || host || href
+      when href like '#%' or href like '?%' then scheme || '://' || host || path || href
+      else scheme || '://' || host || regexp_replace(case when path = '' then '/' else path end, '[^/]*$', '') || href end as b
+  from refs where href <> ''),
+edges as (
+  select x.host || case when x.path = '' then '/' else x.path end || x.query as a,
+         y.host || case when y.path = '' then '/' else y.path end || y.query as b
+  from (select u, {_URL_PARTS}, row_number() over (order by a, b) as k from (select a as u, a, b from targets)) x
+  join (select u, {_URL_PARTS}, row_number() over (order by a, b) as k from (select b as u, a, b from targets)) y using (k)
+  where contains(x.u, '://') and contains(y.u, '://')),
+ways as (select a, b from edges union select b, a from edges),
+reach(a, b) as (select a, a from ways union select r.a, w.b from reach r join ways w on r.b = w.a),
+nodes as (select distinct a as node from ways),
+node_rule as (
+  select node, arg_max(act, length(h) + length(p) + case act when 'allow' then 0.5 else 0 end) as act
+  from (select node, {_URL_PARTS} from (select node, 'x://' || node as u from nodes))
+  join rules on (host = h or host like '%.' || h) and starts_with(path, p) group by node),
+bad as (select distinct r.a as node from reach r join node_rule n on n.node = r.b where n.act = 'block'),
+own as (
+  select page_id, u, arg_max(h || p, length(h) + length(p)) as rule,
+         arg_max(act, length(h) + length(p) + case act when 'allow' then 0.5 else 0 end) as act
+  from (select distinct page_id, u, host, path from parts) join rules on (host = h or host like '%.' || h) and starts_with(path, p)
+  group by page_id, u)
+select t.page_id, t.host, t.path, o.rule, case when o.act is not null then o.act when b.node is not null then 'block' else 'allow' end as verdict
+from parts t left join own o on o.page_id is not distinct from t.page_id and o.u is not distinct from t.u
+left join bad b on contains(t.u, '://') and b.node = t.host || case when t.path = '' then '/' else t.path end || t.query
+""",
     "op5_ngram_jaccard_join": """
 with recursive
 ws as (
