@@ -121,16 +121,16 @@ def sample(docs: DataFrame, slots: int = SLOTS, languages: int = LANGUAGES) -> d
     return out
 
 
-def identify(docs: DataFrame, model: CompressionClassifier | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, confident, one row per document; one pass over the texts."""
-    samples = sample(docs) if model is None else None
-    shared = docs.sparkSession.sparkContext.broadcast(samples if samples is not None else model)
+def identify(docs: DataFrame, samples: dict[str, list[str]] | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, confident, one row per document; one pass over the texts.
+
+    ``samples``: training texts by language, else those of ``sample(docs)``."""
+    shared = docs.sparkSession.sparkContext.broadcast(sample(docs) if samples is None else samples)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)).alias("held_out"))
 
     def run(batches):
-        own = shared.value
-        own = CompressionClassifier(own) if isinstance(own, dict) else own
+        own = CompressionClassifier(shared.value)
         for piece in chunks(batches):
             names, scores, sure = zip(*[own.predict(t) for t in piece.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
