@@ -9,6 +9,7 @@ is ``FIXTURE`` (which stand-in rows play which billing roles).
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from meterbill.functions.predicates import flag_is, in_list, like_any, valid_at
 from meterbill.functions.rules import FIXTURE
 from meterbill.functions.text import FIXTURE_FIREBIRD_LABELS, FIXTURE_ORACLE_LABELS
 from meterbill.operators.attributes import attribute_as_of, characteristic_id, to_number
-from meterbill.operators.intervals import covering_counts
+from meterbill.operators.intervals import covering_counts, range_join
 from meterbill.operators import periods as P
 from meterbill.operators.periods import CLOSED, OPEN, open_and_closed, period_scalar
 from meterbill.operators.readings import (grouped_multi_max, last_reading, latest_max_reading,
@@ -32,9 +33,10 @@ from meterbill.plans.monthly import MonthlyStats, metric_rows
 from meterbill.session import scratch_path
 from meterbill.sources import charset, sinks
 from meterbill.sources.shards import BASES, read_shards
-from meterbill.sources.materialize import SharedParquet, lazy, to_shared_parquet
+from meterbill.sources.materialize import SharedParquet, to_shared_parquet
 from meterbill.sources.standins import Standins
-from meterbill.streaming.ledger import LEDGER_SCHEMA, MONTHLY_JOB
+from meterbill.plans.tables import FrameMap, TypedTables
+from meterbill.streaming.ledger import LEDGER_SCHEMA, read_ledger, run_once_per_period
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +47,8 @@ AS_OF = dt.datetime(2024, 1, 15, 12, 0, 0)
 ATTRIBUTE_CODE = "CLICK"
 WHITELIST = (("42-10017", (130, 130)), ("42-1032", (33, 33)), ("42-10380", (91, 91)))
 MISSING_SHARD = 29
+MONTHLY_JOB = "monthly report"
+READING_ORDER = ("date_ind_take", "value", "cd_indic_src_id")   # the stand-in readings have no id
 LEDGER_ROWS = ((MONTHLY_JOB, 0), ("other_job", 209912))
 
 
@@ -68,8 +72,8 @@ def _stats(spark, sf_dir) -> MonthlyStats:
     return MonthlyStats(_t(spark, sf_dir), FIXTURE)
 
 
-def _extract(spark, sf_dir, materialize=lazy) -> MeterExtract:
-    return MeterExtract(_t(spark, sf_dir), FIXTURE, FIXTURE_ORACLE_LABELS, AS_OF, materialize=materialize)
+def _extract(spark, sf_dir) -> MeterExtract:
+    return MeterExtract(_t(spark, sf_dir), FIXTURE, FIXTURE_ORACLE_LABELS, AS_OF, READING_ORDER)
 
 
 def _shard_reader(t: Standins):
@@ -98,6 +102,28 @@ def period_gate(spark, sf_dir):
     return P.period_gate(_t(spark, sf_dir).bl_bill_periods, ledger, MONTHLY_JOB)
 
 
+@query
+def period_gate_append(spark, sf_dir):
+    """The gate, the work, the ledger row, and the gate again: a second run in the
+    same period does nothing."""
+    path = scratch_path(spark, "ledger")
+    periods = _t(spark, sf_dir).bl_bill_periods
+    ran = [run_once_per_period(periods, path, MONTHLY_JOB, lambda period: None) for _ in range(2)]
+    schema = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("processed", T.LongType())])
+    runs = spark.createDataFrame([(i + 1, p) for i, p in enumerate(ran)], schema)
+    return runs.withColumn("in_ledger", read_ledger(spark, path).agg(F.count("*")).scalar())
+
+
+@query
+def flag_types(spark, sf_dir):
+    """Account versions by activity, from a source that holds the flag as text."""
+    t = _t(spark, sf_dir)
+    as_text = t.us_flat_account_ver.withColumn("is_active", F.concat(F.lit(" "), F.col("is_active").cast("string")))
+    typed = TypedTables(FrameMap({"us_flat_account_ver": as_text}))["us_flat_account_ver"]
+    return (typed.groupBy("is_active").agg(F.count("*").alias("versions"), F.count_if(flag_is("is_active")).alias("active"))
+            .select("is_active", "versions", "active"))
+
+
 @query
 def shard_union(spark, sf_dir):
     read = _shard_reader(_t(spark, sf_dir))
@@ -107,18 +133,16 @@ def shard_union(spark, sf_dir):
 
 @query
 def shard_completeness(spark, sf_dir):
+    # one shard is not read; the others count as read by their status, with or without rows
     read = _shard_reader(_t(spark, sf_dir))
     present = [b for b in BASES if b != MISSING_SHARD]
-    union = read_shards(lambda b: read(b)["nanim"].select("lic"), present)
-    return missing_bases(union, BASES)
+    status = [read(b)["nanim"].agg(F.count("*").alias("rows")).select(F.lit(b).alias("base"), "rows") for b in present]
+    return missing_bases(reduce(DataFrame.union, status), BASES)
 
 
 @query("consolidated_accounts")
 def _consolidated_accounts(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    # the fixture's shards are slices of one table and share one set of
-    # address dimensions; per-shard dimensions are covered by the tests
-    return consolidated_accounts(_shard_reader(t), BASES, FIXTURE_FIREBIRD_LABELS, shared_dims=True)
+    return consolidated_accounts(_shard_reader(_t(spark, sf_dir)), BASES, FIXTURE_FIREBIRD_LABELS)
 
 
 @query
@@ -127,7 +151,7 @@ def full_refresh(spark, sf_dir):
     target = scratch_path(spark, "nanim-target")
     sinks.full_refresh(df, target)
     sinks.full_refresh(df, target)  # a second run replaces, never appends
-    return spark.read.parquet(target)
+    return sinks.read_target(spark, target)
 
 
 @query
@@ -145,21 +169,10 @@ def report_sink(spark, sf_dir):
 
 @query
 def decode_legacy_charset(spark, sf_dir):
-    """Customer names with a Cyrillic prefix, written as WIN1251 CSV and read
-    back; the bytes are also round-tripped in a column."""
-    t = _t(spark, sf_dir)
-    path = scratch_path(spark, "cp1251")
-    schema = T.StructType([T.StructField("c_custkey", T.LongType()),
-                           T.StructField("name", T.StringType())])
-    with charset.legacy_charsets(spark):
-        src = t.customer.select("c_custkey", F.concat(F.lit("Абонент "), "c_name").alias("name"))
-        charset.write_csv(src, path)
-        back = charset.read_csv(spark, path, schema)
-        name = charset.decode_text(charset.encode_text("name"))
-        # Materialise while the flag is on (reader and codec both need it);
-        # a reliable checkpoint in the shared folder, not executor-local.
-        out = back.select("c_custkey", name.alias("name")).checkpoint(eager=True)
-    return out
+    """Customer names with a Cyrillic prefix as WIN1251 bytes, and back."""
+    src = _t(spark, sf_dir).customer.select("c_custkey", F.concat(F.lit("Абонент "), "c_name").alias("name"))
+    stored = src.select("c_custkey", charset.encode_text("name").alias("bytes"))
+    return stored.select("c_custkey", charset.decode_text("bytes").alias("name"))
 
 
 # ------------------------------------------------------------------- filters
@@ -212,7 +225,7 @@ def not_like(spark, sf_dir):
 
 @query
 def pair_whitelist(spark, sf_dir):
-    rows = _extract(spark, sf_dir, to_shared_parquet).rows(whitelist=WHITELIST)
+    rows = _extract(spark, sf_dir).base_rows(whitelist=WHITELIST)
     return rows.select("contract_nmbr", "cntr_contract_key_id", "h_hos_id", "service", "ser_number")
 
 
@@ -270,6 +283,15 @@ def range_join_periods(spark, sf_dir):
     return counts.select("bl_bill_id", F.col("versions").cast("bigint").alias("versions"))
 
 
+@query
+def range_join_pairs(spark, sf_dir):
+    """Account versions with every period they cover, as pairs."""
+    t = _t(spark, sf_dir)
+    fa = t.us_flat_account_ver.select("us_flat_account_kid", "date_begin", "date_end")
+    pairs = range_join(fa, t.bl_bill_periods.select("bl_bill_id", "bill_date"), "bill_date")
+    return pairs.select("us_flat_account_kid", "date_begin", "bl_bill_id")
+
+
 @query
 def valid_at_join(spark, sf_dir):
     ms = _stats(spark, sf_dir)
@@ -347,7 +369,7 @@ def last_reading_lookup(spark, sf_dir):
 @query
 def as_of_attribute(spark, sf_dir):
     t = _t(spark, sf_dir)
-    ch = characteristic_id(t.cn_characteristic_ref, FIXTURE.attribute_type, ATTRIBUTE_CODE)
+    ch = characteristic_id(t, FIXTURE.attribute_type, ATTRIBUTE_CODE, ATTRIBUTE_CODE.lower())
     a = attribute_as_of(t.attributes, ch, AS_OF, out="text_value")
     return a.select("object_id", to_number("text_value").alias("value"))
 
@@ -367,7 +389,7 @@ def _latest_snapshot_per_base(spark, sf_dir):
     read = _shard_reader(_t(spark, sf_dir))
     union = read_shards(lambda b: read(b)["nanim"].select("lic", "fio", "close_ls", "data_my"), BASES,
                         names=("ls", "fio", "close_ls", "data_my"))
-    return latest_snapshot_per_base(union, "base", "data_my", bases=BASES)
+    return latest_snapshot_per_base(union, "base", "data_my")
 
 
 # ------------------------------------------------------------------ metrics
@@ -408,4 +430,9 @@ def monthly_report(spark, sf_dir):
 
 @query
 def meter_extract(spark, sf_dir):
-    return _extract(spark, sf_dir, to_shared_parquet).report()
+    return _extract(spark, sf_dir).report()
+
+
+@query
+def meter_extract_whitelisted(spark, sf_dir):
+    return _extract(spark, sf_dir).report(whitelist=WHITELIST)

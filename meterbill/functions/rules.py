@@ -27,6 +27,7 @@ class Rules:
     individual_user_type: str
     stormwater_service: str
     inspector_code: str
+    inspector_name: str
     stormwater_code: str
     attribute_type: str
 
@@ -48,6 +49,7 @@ PRODUCTION = Rules(
     individual_user_type="Физическое лицо",
     stormwater_service="Ливневые стоки",
     inspector_code="NLC846169",
+    inspector_name="Контролеры",
     stormwater_code="LIVN",
     attribute_type="Характеристики объекта недвижимости",
 )
@@ -103,6 +105,7 @@ FIXTURE = Rules(
     individual_user_type="HOUSEHOLD",
     stormwater_service="old rod",
     inspector_code="VIEW",
+    inspector_name="view",
     stormwater_code="CLICK",
     attribute_type="object",
 )

@@ -6,19 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterbill.functions.predicates import AsOf, valid_at
+from meterbill.plans.tables import BillingTables
 
 
-def characteristic_id(catalogue: DataFrame, type_name: str, code: str, name: str | None = None,
-                      *, id_col: str = "cn_chrct_id") -> Column:
-    """Catalogue lookup (type name, code[, name]) -> characteristic id, as a scalar.
+def characteristic_id(tables: BillingTables, type_name: str, code: str, name: str | None = None) -> Column:
+    """Catalogue lookup (type name, code[, name]) -> characteristic id, as a scalar:
+    characteristic -> its group -> the group's type, three small tables.
 
-    ``max`` keeps it a single value even if the catalogue repeats a code,
-    where a plain scalar subquery would fail at run time.
+    A code may occur under several names, so callers that know the name give it;
+    ``max`` keeps the scalar a single value where the catalogue repeats all three.
     """
-    cond = (F.col("char_type_name") == F.lit(type_name)) & (F.col("code") == F.lit(code))
-    if name is not None:
-        cond = cond & (F.col("name") == F.lit(name))
-    return catalogue.filter(cond).agg(F.max(id_col)).scalar()
+    types = tables["cn_char_type"].filter(F.col("name") == F.lit(type_name)).select("char_type_id")
+    groups = tables["cn_chrctrstc_group"].join(types, "char_type_id", "left_semi").select("cn_chrctrstc_group_id")
+    named = F.lit(True) if name is None else F.col("name") == F.lit(name)
+    found = tables["cn_characteristic_ref"].filter((F.col("code") == F.lit(code)) & named)
+    return found.join(groups, "cn_chrctrstc_group_id", "left_semi").agg(F.max("cn_chrct_id")).scalar()
 
 
 def attribute_as_of(attrs: DataFrame, characteristic: Column | str, as_of: AsOf, *,

@@ -2,83 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcast limit for the point side of a range join, in rows.  The nested
-# loop costs (interval rows x points) comparisons, so the cap is kept small.
-MAX_BROADCAST_POINTS = 10_000
 
-
-def _month_bucket(c: Column) -> Column:
+def _month(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c)
 
 
 def range_join(intervals: DataFrame, points: DataFrame, point: str, begin: str = "date_begin",
-               end: str = "date_end", *, max_broadcast_rows: int = MAX_BROADCAST_POINTS) -> DataFrame:
+               end: str = "date_end") -> DataFrame:
     """Inner join of every interval row with every point row inside it
     (``point BETWEEN begin AND end``, both ends included).
 
-    The point side is counted first (capped count, a tiny job).  Up to
-    ``max_broadcast_rows`` it is broadcast and the join is a nested loop on
-    the broadcast copy - linear in the interval side, no shuffle.  Beyond
-    that the join becomes an equi-join on a month bucket: each interval is
-    expanded to the buckets it spans (clamped to the buckets that hold
-    points, so open-ended intervals do not explode), both sides shuffle on
-    the bucket, and the exact BETWEEN is applied after the join.
+    An equi-join on a month bucket: each interval is expanded to the months
+    it spans (clamped to the months that hold points, so open-ended intervals
+    do not explode), and the exact BETWEEN is applied after the join.  One
+    plan for every size; AQE broadcasts the points if they are small.
     """
-    n = points.limit(max_broadcast_rows + 1).count()
-    cond = F.col(point).between(F.col(begin), F.col(end))
-    if n <= max_broadcast_rows:
-        return intervals.join(F.broadcast(points), cond, "inner")
-    bounds = points.agg(F.min(_month_bucket(F.col(point))).alias("lo"),
-                        F.max(_month_bucket(F.col(point))).alias("hi"))
-    lo_all = bounds.select("lo").scalar()
-    hi_all = bounds.select("hi").scalar()
-    lo = F.greatest(_month_bucket(F.col(begin)), lo_all)
-    hi = F.least(_month_bucket(F.col(end)), hi_all)
-    spread = intervals.withColumn("_bucket", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
-    keyed = points.withColumn("_bucket", _month_bucket(F.col(point)))
-    return spread.join(keyed, "_bucket").filter(cond).drop("_bucket")
-
-
-def _sum_up_to(dated: DataFrame, points: DataFrame, point: str, *, strict: bool,
-               max_broadcast_rows: int) -> DataFrame:
-    """Per point row: the sum of ``_n`` over rows of ``dated`` with ``_d <= point``
-    (``_d < point`` if ``strict``).  ``dated`` is small (one row per distinct
-    date); the pairing goes through ``range_join`` with the largest point as
-    the open upper end."""
-    top = points.agg(F.max(point)).scalar()
-    pairs = range_join(dated.withColumn("_hi", top), points, point, "_d", "_hi",
-                       max_broadcast_rows=max_broadcast_rows)
-    if strict:
-        pairs = pairs.filter(F.col("_d") < F.col(point))
-    return pairs.groupBy(*points.columns).agg(F.sum("_n").alias("_sum"))
+    months = points.agg(F.min(_month(F.col(point))).alias("lo"), F.max(_month(F.col(point))).alias("hi"))
+    lo = F.greatest(_month(F.col(begin)), months.select("lo").scalar())
+    hi = F.least(_month(F.col(end)), months.select("hi").scalar())
+    spread = intervals.withColumn("_month", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
+    keyed = points.withColumn("_month", _month(F.col(point)))
+    return spread.join(keyed, "_month").filter(F.col(point).between(F.col(begin), F.col(end))).drop("_month")
 
 
 def covering_counts(intervals: DataFrame, points: DataFrame, point: str, begin: str = "date_begin",
-                    end: str = "date_end", *, out: str = "versions",
-                    max_broadcast_rows: int = MAX_BROADCAST_POINTS) -> DataFrame:
+                    end: str = "date_end", *, out: str = "versions") -> DataFrame:
     """For every point row, how many interval rows contain it (``BETWEEN``,
     both ends included) - the result of ``range_join(...).groupBy(point
     columns).count()`` without pairing any interval row with a point.
 
     An interval with a NULL bound or ``begin > end`` contains nothing.  For
-    the others, count(p) = #(begin <= p) - #(end < p).  The interval side is
-    first reduced to per-date counts of begins and of ends (partial
-    aggregation: at most one row per distinct date, however many intervals
-    there are), and only those small tables meet the points.  Points
+    the others, count(p) = #(begin <= p) - #(end < p): a running sum over
+    dates.  Begins and ends are first reduced to totals per date (partial
+    aggregation), summed up within each month and, over one row per month,
+    across months; the counts come back to the points by an equi-join on the
+    date alone, so NULLs in other point columns do not matter.  Points
     contained in no interval are absent, as with an inner join.
     """
-    valid = intervals.filter(F.col(begin).isNotNull() & F.col(end).isNotNull()
-                             & (F.col(begin) <= F.col(end)))
-    starts = valid.groupBy(F.col(begin).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    stops = valid.groupBy(F.col(end).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    keys = points.columns
-    started = _sum_up_to(starts, points, point, strict=False,
-                         max_broadcast_rows=max_broadcast_rows).withColumnRenamed("_sum", "_started")
-    stopped = _sum_up_to(stops, points, point, strict=True,
-                         max_broadcast_rows=max_broadcast_rows).withColumnRenamed("_sum", "_stopped")
-    counts = (started.join(stopped, keys, "left")
-              .select(*keys, (F.col("_started") - F.coalesce("_stopped", F.lit(0))).alias(out)))
-    return counts.filter(F.col(out) > 0)
+    valid = intervals.filter(F.col(begin) <= F.col(end))
+    # at one date: begins count, then the point itself is read, ends count only later
+    begins = valid.groupBy(F.col(begin).alias("_d")).agg(F.count("*").alias("_n")).withColumn("_step", F.lit(0))
+    reads = points.select(F.col(point).alias("_d")).filter("_d is not null").distinct() \
+        .withColumn("_n", F.lit(0).cast("bigint")).withColumn("_step", F.lit(1))
+    ends = valid.groupBy(F.col(end).alias("_d")).agg((-F.count("*")).alias("_n")).withColumn("_step", F.lit(2))
+    steps = begins.unionByName(reads).unionByName(ends).withColumn("_month", _month(F.col("_d")))
+    monthly = steps.groupBy("_month").agg(F.sum("_n").alias("_n"))
+    before = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)   # one row per month
+    carried = monthly.select("_month", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carried"))
+    inside = Window.partitionBy("_month").orderBy("_d", "_step")
+    at = (steps.withColumn("_run", F.sum("_n").over(inside)).filter("_step = 1").join(carried, "_month")
+          .select("_d", (F.col("_run") + F.col("_carried")).alias(out)).filter(F.col(out) > 0))
+    return points.join(at, F.col(point) == F.col("_d")).select(*points.columns, out)

@@ -38,27 +38,29 @@ def latest_max_reading(readings: DataFrame, keys: Sequence[str] = ("cd_cntr_kid"
     return readings.join(maxima, on=[*keys, date, value], how="inner")
 
 
+# Tables with a reading id order by (date, id); the stand-ins have none and order by value, then source.
+READING_ORDER = ("date_ind_take", "cd_ind_id")
 _ORDER_FIELDS = ("date_ind_take", "value", "cd_indic_src_id")
 
 
-def last_reading(readings: DataFrame, key: str = "cd_cntr_kid",
-                 order: Sequence[str] = _ORDER_FIELDS) -> DataFrame:
-    """Per meter, the reading with the greatest ``order`` tuple.
+def last_reading(readings: DataFrame, key: str = "cd_cntr_kid", order: Sequence[str] = _ORDER_FIELDS,
+                 carry: Sequence[str] = ("value", "cd_indic_src_id")) -> DataFrame:
+    """Per meter, the reading with the greatest ``order`` tuple, with the ``carry`` columns.
 
     One ``max(struct(...))`` aggregate: deterministic (ties broken by the
     later fields; exact duplicates give the same output row) and partially
     aggregated before the shuffle.  Meters with no readings are absent; join
     with ``how='left'`` to keep them as NULLs.
     """
-    best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
-    out = readings.groupBy(key).agg(best)
-    return out.select(key, *[F.col(f"_best.{c}").alias(c) for c in order])
+    fields = list(dict.fromkeys([*order, *carry]))
+    out = readings.groupBy(key).agg(F.max(F.struct(*fields)).alias("_best"))
+    return out.select(key, *[F.col(f"_best.{c}").alias(c) for c in fields])
 
 
 def period_last_values(readings: DataFrame, key: str = "cd_cntr_kid", period: str = "bl_bill_id",
                        order: Sequence[str] = _ORDER_FIELDS, value: str = "value") -> DataFrame:
     """Per (meter, period), the value of the last reading in that period."""
-    best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
+    best = F.max(F.struct(*dict.fromkeys([*order, value]))).alias("_best")
     return (readings.groupBy(key, period).agg(best)
             .select(key, period, F.col(f"_best.{value}").alias("last_value")))
 
@@ -79,22 +81,22 @@ def period_volume(readings: DataFrame, key: str = "cd_cntr_kid", period: str = "
 
 
 def meter_summary(readings: DataFrame, period_id, key: str = "cd_cntr_kid", period: str = "bl_bill_id",
-                  order: Sequence[str] = _ORDER_FIELDS, value: str = "value") -> DataFrame:
-    """Per meter, in one pass over the readings: the volume of ``period_id``
+                  order: Sequence[str] = _ORDER_FIELDS, value: str = "value",
+                  carry: Sequence[str] = ("date_ind_take", "cd_indic_src_id")) -> DataFrame:
+    """Per meter, in one aggregate over the readings: the volume of ``period_id``
     (``period_volume`` of that period, NULL if the meter has no reading in it
     or none before) and the last reading overall (``last_reading``).
 
-    The readings are aggregated per (meter, period) first; the window over a
-    meter then sees one row per period, and the final per-meter aggregate
-    reuses the window's partitioning (no further shuffle).
+    Three conditional maxima: the last reading in the period, the last reading
+    of the latest earlier period, and the last reading of all.  They are
+    combined before the shuffle, so a meter with a third of all readings
+    arrives as one row per map task; no window, and no raw reading is shuffled.
     """
-    best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
-    per_period = readings.groupBy(key, period).agg(best)
-    w = Window.partitionBy(key).orderBy(period)
-    last_value = F.col(f"_best.{value}")
-    with_prev = per_period.select(key, period, "_best",
-                                  (last_value - F.lag(last_value).over(w)).alias("_volume"))
-    out = with_prev.groupBy(key).agg(
-        F.max(F.when(F.col(period) == period_id, F.col("_volume"))).alias("volume"),
-        F.max("_best").alias("_last"))
-    return out.select(key, "volume", *[F.col(f"_last.{c}").alias(c) for c in order])
+    fields = [F.col(c) for c in dict.fromkeys([*order, value, *carry])]
+    last = F.struct(*fields)
+    out = readings.groupBy(key).agg(
+        F.max(F.when(F.col(period) == period_id, last)).alias("_now"),
+        F.max(F.when(F.col(period) < period_id, F.struct(F.col(period), *fields))).alias("_before"),
+        F.max(last).alias("_last"))
+    return out.select(key, (F.col(f"_now.{value}") - F.col(f"_before.{value}")).alias("volume"),
+                      *[F.col(f"_last.{c}").alias(c) for c in dict.fromkeys([*carry, value])])

@@ -4,50 +4,39 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def latest_snapshot_per_base(df: DataFrame, base: str = "base", stamp: str = "data_my",
-                             bases: Sequence[int] | None = None) -> DataFrame:
+def latest_snapshot_per_base(df: DataFrame, base: str = "base", stamp: str = "data_my") -> DataFrame:
     """Rows carrying the newest ``stamp`` of their own shard.
 
     The newest stamp is per shard (each shard answered its own ``max``), never
-    global.  Plan: aggregate the maxima (partial aggregation, so a shard
-    holding a third of all rows is no hot spot), then a semi-join on
-    (base, stamp).  When the shard list is given the maxima have at most
-    ``len(bases)`` rows - a proven bound - and are broadcast: the snapshot
-    rows are never shuffled.  Without it the join strategy is left to AQE's
-    runtime size check.
+    global; every shard that has rows is kept.  Plan: aggregate the maxima
+    (partial aggregation, so a shard holding a third of all rows is no hot
+    spot), then a semi-join on (base, stamp) whose right side has one row per
+    shard; AQE broadcasts it when its measured size is small.
     """
     newest = df.groupBy(base).agg(F.max(stamp).alias(stamp))
-    if bases is not None:
-        newest = F.broadcast(newest.filter(F.col(base).isin([int(b) for b in bases])))
     return df.join(newest, on=[base, stamp], how="left_semi")
 
 
-def expected_bases(spark: SparkSession, bases: Sequence[int], name: str = "base") -> DataFrame:
-    return spark.createDataFrame([(int(b),) for b in bases],
-                                 T.StructType([T.StructField(name, T.IntegerType(), False)]))
-
-
-def missing_bases(df: DataFrame, bases: Sequence[int], base: str = "base") -> DataFrame:
-    """Expected shard ids that have no row in ``df`` (anti-join, bounded sides)."""
-    spark = df.sparkSession
-    present = df.select(F.col(base).cast("int").alias(base)).distinct()
-    return expected_bases(spark, bases, base).join(present, on=base, how="left_anti")
+def missing_bases(read: DataFrame, bases: Sequence[int], base: str = "base") -> DataFrame:
+    """Expected shard ids that were not read: ``read`` has one row per shard whose
+    read succeeded, with any number of rows (an empty shard is a read shard)."""
+    expected = read.sparkSession.createDataFrame([(int(b),) for b in bases],
+                                                 T.StructType([T.StructField(base, T.IntegerType(), False)]))
+    present = read.select(F.col(base).cast("int").alias(base)).distinct()
+    return expected.join(present, on=base, how="left_anti")
 
 
 class IncompleteShards(RuntimeError):
-    pass
+    """A shard could not be read, or a shard nobody expects was."""
 
 
-def assert_complete(df: DataFrame, bases: Sequence[int], base: str = "base") -> None:
-    """Fail before any target is touched if a shard is missing.
-
-    Collects at most ``len(bases)`` ids - the only driver round trip.
-    """
-    missing = sorted(r[0] for r in missing_bases(df, bases, base).collect())
-    if missing:
-        raise IncompleteShards(f"shards without rows: {missing}")
+def assert_complete(read: Sequence[int], bases: Sequence[int]) -> None:
+    """Fail before any target is touched if a shard was not read or is unknown."""
+    missing, unknown = sorted(set(bases) - set(read)), sorted(set(read) - set(bases))
+    if missing or unknown:
+        raise IncompleteShards(f"shards not read: {missing}, unknown shards: {unknown}")

@@ -1,12 +1,9 @@
 """Shard consolidation: newest snapshot of every shard, address rendered,
-tagged with the shard id, written as one full refresh.
+tagged with the shard id, published as one full refresh.
 
-Plan: union the shards' account rows (tagged), keep each shard's newest
-snapshot (a per-shard max joined back by broadcast - the maxima are one row
-per shard), and only then join the address dimensions - once for all shards,
-not once per shard.  When every shard carries its own dimension tables they
-are unioned with the same tag and joined on (base, id); when the shards share
-one set of dimensions the join is on the id alone.
+Plan: every shard's accounts and address dimensions are read once, under the
+connection cap, into the shared folder; each shard's newest snapshot (a per-shard
+max and a semi-join) is joined with its own dimensions on (base, id).
 """
 
 from __future__ import annotations
@@ -18,10 +15,11 @@ from pyspark.sql import functions as F
 
 from meterbill.functions.text import FirebirdAddressLabels, address_null_propagating
 from meterbill.operators.snapshots import assert_complete, latest_snapshot_per_base
-from meterbill.sources.shards import TARGET_COLUMNS, read_shards
+from meterbill.sources.shards import MAX_PARALLEL_READS, TARGET_COLUMNS, stage_shards
 from meterbill.sources.sinks import full_refresh
 
 ShardTables = Callable[[int], dict[str, DataFrame]]
+TABLES = ("nanim", "dom", "ulicy", "city")
 
 
 def render_accounts(a: DataFrame, dom: DataFrame, ulicy: DataFrame, city: DataFrame,
@@ -50,31 +48,24 @@ def shard_accounts(tables: dict[str, DataFrame], labels: FirebirdAddressLabels)
     return render_accounts(tables["nanim"], tables["dom"], tables["ulicy"], tables["city"], labels)
 
 
-def consolidated_accounts(read_shard: ShardTables, bases: Sequence[int],
-                          labels: FirebirdAddressLabels, *, shared_dims: bool = False,
-                          max_parallel: int | None = None) -> DataFrame:
-    """Union of all shards' newest snapshots in the target column order.
+def consolidated_accounts(read_shard: ShardTables, bases: Sequence[int], labels: FirebirdAddressLabels, *,
+                          max_parallel: int = MAX_PARALLEL_READS) -> DataFrame:
+    """All shards' newest snapshots in the target column order.
 
-    ``shared_dims``: all shards use the same dimension frames (the first
-    shard's are used); otherwise each shard's dimensions are unioned with
-    its tag and joined on (base, id).
+    Accounts and dimensions of every shard are staged once under the read cap;
+    completeness is checked on what was read; the newest snapshot, the joins on
+    (base, id) and the rendering then run on the staged tables at full
+    parallelism.  Shard readers over databases should answer with their newest
+    snapshot only (``newest_snapshot_sql``); the filter here keeps that result.
     """
-    shards = {b: read_shard(b) for b in bases}
-    accounts = read_shards(lambda b: shards[b]["nanim"], bases, max_parallel=max_parallel)
-    newest = latest_snapshot_per_base(accounts, "base", "data_my", bases=bases)
-    if shared_dims:
-        first = shards[bases[0]]
-        rendered = render_accounts(newest, first["dom"], first["ulicy"], first["city"], labels,
-                                   carry=("base",))
-    else:
-        dims = {name: read_shards(lambda b, n=name: shards[b][n], bases)
-                for name in ("dom", "ulicy", "city")}
-        rendered = render_accounts(newest, dims["dom"], dims["ulicy"], dims["city"], labels,
-                                   keys=("base",))
+    staged, read = stage_shards(read_shard, bases, TABLES, max_parallel=max_parallel)
+    assert_complete(read, bases)
+    newest = latest_snapshot_per_base(staged["nanim"], "base", "data_my")
+    rendered = render_accounts(newest, staged["dom"], staged["ulicy"], staged["city"], labels, keys=("base",))
     return rendered.select(*TARGET_COLUMNS)
 
 
-def refresh_target(df: DataFrame, bases: Sequence[int], path: str) -> None:
-    """Write the consolidated table only when every shard delivered rows."""
-    assert_complete(df, bases)
-    full_refresh(df, path)
+def refresh_target(read_shard: ShardTables, bases: Sequence[int], labels: FirebirdAddressLabels, path: str, *,
+                   max_parallel: int = MAX_PARALLEL_READS) -> None:
+    """Publish the consolidated table; if a shard is not read, the old target stays."""
+    full_refresh(consolidated_accounts(read_shard, bases, labels, max_parallel=max_parallel), path)

@@ -15,9 +15,8 @@ from meterbill.functions.text import OracleAddressLabels, address_null_as_empty
 from meterbill.operators.attributes import (attribute_as_of, attributes_as_of, characteristic_id,
                                             to_number)
 from meterbill.operators.periods import OPEN, current_period
-from meterbill.operators.readings import meter_summary, period_volume
+from meterbill.operators.readings import READING_ORDER, meter_summary
 from meterbill.plans.tables import BillingTables
-from meterbill.sources.materialize import Materializer, lazy
 
 Whitelist = Sequence[tuple[str, Iterable[int]]]
 
@@ -70,21 +69,23 @@ def whitelist_key(pairs: Whitelist) -> list[tuple[str, int]]:
 class MeterExtract:
     """The meter extract over one set of billing tables.
 
-    ``materialize`` (see ``sources.materialize``) decides how the service rows,
-    read twice, are kept: ``lazy`` or written once to the shared folder.
+    ``as_of`` is the extract's "now" (by default the time of construction);
+    ``reading_order`` names the columns that say which reading is the last.
     """
 
     def __init__(self, tables: BillingTables, rules: Rules, labels: OracleAddressLabels,
-                 as_of: AsOf = None, materialize: Materializer = lazy):
+                 as_of: AsOf = None, reading_order: Sequence[str] = READING_ORDER):
         self.t = tables
         self.rules = rules
         self.labels = labels
-        self.as_of = as_of_value(as_of) if as_of is not None else F.current_timestamp()
-        self._materialize = materialize
-        self._shared: dict[str, DataFrame] = {}
+        if as_of is None:      # read once, so that all parts of a report mean the same "now"
+            spark = tables["bl_bill_periods"].sparkSession
+            as_of = spark.sql("select cast(current_timestamp() as string)").first()[0]
+        self.as_of = as_of_value(as_of)
+        self.reading_order = reading_order
 
     def attribute(self, code: str, out: str) -> DataFrame:
-        ch = characteristic_id(self.t["cn_characteristic_ref"], self.rules.attribute_type, code)
+        ch = characteristic_id(self.t, self.rules.attribute_type, code)
         return attribute_as_of(self.t["attributes"], ch, self.as_of, out=out).withColumnRenamed(
             "object_id", "tu_rlty_kid")
 
@@ -104,11 +105,11 @@ class MeterExtract:
     def realty_attributes(self) -> DataFrame:
         """(tu_rlty_kid, inspector, storm_attr): both characteristics of a realty
         object as of ``as_of``, in one pass over the attribute table."""
-        cat, typ = self.t["cn_characteristic_ref"], self.rules.attribute_type
+        typ = self.rules.attribute_type
         attrs = attributes_as_of(
             self.t["attributes"],
-            {"inspector": characteristic_id(cat, typ, self.rules.inspector_code),
-             "storm_attr": characteristic_id(cat, typ, self.rules.stormwater_code)},
+            {"inspector": characteristic_id(self.t, typ, self.rules.inspector_code, self.rules.inspector_name),
+             "storm_attr": characteristic_id(self.t, typ, self.rules.stormwater_code)},
             self.as_of)
         return attrs.withColumnRenamed("object_id", "tu_rlty_kid")
 
@@ -127,25 +128,14 @@ class MeterExtract:
         return rows.filter(self.keep_row())
 
     def volumes(self, period_id) -> DataFrame:
-        readings = self.t["cd_indication"]
-        v = period_volume(readings).filter(F.col("bl_bill_id") == period_id)
-        return v.select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"))
+        summary = meter_summary(self.t["cd_indication"], period_id, order=self.reading_order)
+        return summary.select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"))
 
-    def meter_facts(self, period_id, meters: DataFrame | None = None) -> DataFrame:
+    def meter_facts(self, period_id) -> DataFrame:
         """Per meter: volume of the period and last reading with its source
-        name - one pass over the readings (see ``meter_summary``).
-
-        ``meters`` (column ``meter_id``) restricts the readings to the meters
-        that are reported before anything is aggregated: exact, since every
-        figure of a meter depends only on its own readings, and it keeps the
-        whole reading history of all other meters out of the shuffle.
-        """
+        name - one aggregate over the readings (see ``meter_summary``)."""
         src = self.t["cd_indication_source"].select("cd_indic_src_id", F.col("name").alias("src_name"))
-        readings = self.t["cd_indication"]
-        if meters is not None:
-            readings = readings.join(meters.select(F.col("meter_id").alias("cd_cntr_kid")),
-                                     "cd_cntr_kid", "left_semi")
-        summary = meter_summary(readings, period_id)
+        summary = meter_summary(self.t["cd_indication"], period_id, order=self.reading_order)
         return (summary.join(src, "cd_indic_src_id", "left")
                 .select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"),
                         F.col("value").alias("last_value"), F.col("date_ind_take").alias("last_date"),
@@ -165,52 +155,46 @@ class MeterExtract:
         if whitelist is not None:
             numbers = whitelist_frame(t["bl_bill_periods"].sparkSession, whitelist).select(
                 "contract_nmbr").distinct()
-            c = c.join(F.broadcast(numbers), "contract_nmbr", "left_semi")
+            c = c.join(numbers, "contract_nmbr", "left_semi")
         return ck.join(c, "cntr_contract_key_id")
 
     def extract_services(self, whitelist: Whitelist | None = None) -> DataFrame:
         """Services of the candidate contracts with optional meter and the two
         realty attributes, kept when a meter is present or the stormwater
-        attribute applies.  Two consumers (the rows and the meter list for the
-        readings), so it goes through the materializer."""
-        def build():
-            contracts = self.corporate_contracts(whitelist).select("cntr_contract_key_id")
-            return (self.service_meters().join(contracts, "cntr_contract_key_id", "left_semi")
-                    .join(self.realty_attributes(), "tu_rlty_kid", "left")
-                    .filter(self.keep_row()))
-        key = ("extract_services" if whitelist is None
-               else f"extract_services_{abs(hash(tuple(whitelist_key(whitelist))))}")
-        if key not in self._shared:
-            self._shared[key] = self._materialize(build(), key)
-        return self._shared[key]
+        attribute applies."""
+        contracts = self.corporate_contracts(whitelist).select("cntr_contract_key_id")
+        return (self.service_meters().join(contracts, "cntr_contract_key_id", "left_semi")
+                .join(self.realty_attributes(), "tu_rlty_kid", "left").filter(self.keep_row()))
 
-    def rows(self, whitelist: Whitelist | None = None) -> DataFrame:
+    def base_rows(self, whitelist: Whitelist | None = None) -> DataFrame:
+        """The extract's rows without what the readings say about their meters."""
         t = self.t
         cc = t["cn_realty_bunch_key"].select("cntr_contract_key_id", "tu_rlty_kid")
-        rk = t["tu_realty_key"].select("tu_rlty_kid", "ns_adr_id", "tu_rlty_spcs_id")
         rk_ref = t["tu_realty_species_ref"].select("tu_rlty_spcs_id", F.col("name").alias("object_type"))
-        q = t["us_counteragent"].select("us_counteragent_id", "us_corp_id", "ns_user_typ_id")
+        rk = t["tu_realty_key"].select("tu_rlty_kid", "ns_adr_id", "tu_rlty_spcs_id").join(rk_ref, "tu_rlty_spcs_id")
         corp = t["us_corp_card"].select("us_corp_id", F.col("name").alias("party"))
         ut = t["ns_user_type"].select("ns_user_typ_id", F.col("name").alias("user_type"))
+        # small dimensions meet each other first, so the contract rows are joined on the party id once
+        q = (t["us_counteragent"].select("us_counteragent_id", "us_corp_id", "ns_user_typ_id")
+             .join(corp, "us_corp_id").join(ut, "ns_user_typ_id"))
         addr = rendered_addresses(t, self.labels).select("ns_adr_id", "h_hos_id", "address")
         # The original comma-joins the one open period; as a scalar it is a
         # column, and no open period means no rows, as with the join.
         open_id = current_period(t["bl_bill_periods"], OPEN).select("bl_bill_id").scalar()
-
         head = (self.corporate_contracts(whitelist).join(cc, "cntr_contract_key_id")
-                .join(rk, "tu_rlty_kid").join(rk_ref, "tu_rlty_spcs_id")
-                .join(addr, "ns_adr_id"))
+                .join(rk, "tu_rlty_kid").join(addr, "ns_adr_id"))
         if whitelist is not None:
             wl = whitelist_frame(t["bl_bill_periods"].sparkSession, whitelist)
-            head = head.join(F.broadcast(wl), (head.contract_nmbr == wl.contract_nmbr)
-                             & (head.h_hos_id == wl.wl_hos_id), "left_semi")
-        services = self.extract_services(whitelist)
-        body = (head.join(services, ["cntr_contract_key_id", "tu_rlty_kid"])
-                .join(q, "us_counteragent_id").join(corp, "us_corp_id").join(ut, "ns_user_typ_id")
+            head = head.join(wl, (head.contract_nmbr == wl.contract_nmbr) & (head.h_hos_id == wl.wl_hos_id), "left_semi")
+        return (head.join(self.extract_services(whitelist), ["cntr_contract_key_id", "tu_rlty_kid"])
+                .join(q, "us_counteragent_id")
                 .withColumn("bl_bill_id", open_id).filter(F.col("bl_bill_id").isNotNull()))
-        meters = services.select("meter_id").filter(F.col("meter_id").isNotNull()).distinct()
-        facts = self.meter_facts(open_id, meters)
-        body = body.join(facts, "meter_id", "left")
+
+    def rows(self, whitelist: Whitelist | None = None) -> DataFrame:
+        body = self.base_rows(whitelist)
+        # the readings arrive as one row per meter
+        open_id = current_period(self.t["bl_bill_periods"], OPEN).select("bl_bill_id").scalar()
+        body = body.join(self.meter_facts(open_id), "meter_id", "left")
         volume = F.when(F.col("service") == F.lit(self.rules.stormwater_service),
                         to_number("storm_attr")).otherwise(F.col("meter_volume"))
         return body.select(
@@ -219,8 +203,9 @@ class MeterExtract:
             "last_value", "last_date", "src_name", "h_hos_id")
 
     def report(self, whitelist: Whitelist | None = None) -> DataFrame:
-        """The 13 output columns under their original names, in report order."""
-        out = self.rows(whitelist).orderBy("contract_nmbr", "cntr_contract_key_id", "address")
+        """The 13 output columns under their original names, in report order (NULLs last)."""
+        out = self.rows(whitelist).orderBy(*[F.col(c).asc_nulls_last() for c in
+                                             ("contract_nmbr", "cntr_contract_key_id", "address")])
         src = ("contract_nmbr", "party", "object_type", "address", "user_type", "inspector",
                "ser_number", "cntr_number", "service", "volume", "last_value", "last_date", "src_name")
         return out.select(*[F.col(a).alias(b) for a, b in zip(src, EXTRACT_COLUMNS)])

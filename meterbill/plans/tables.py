@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from typing import Mapping, Protocol
+from typing import Mapping, Protocol, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 class BillingTables(Protocol):
@@ -27,3 +28,35 @@ class FrameMap:
             return self._frames[name]
         except KeyError as e:
             raise AttributeError(name) from e
+
+
+# Flag columns of the billing tables; one source holds them as numbers, another as text.
+FLAG_COLUMNS = ("is_active", "close_ls")
+
+
+class TypedTables:
+    """A provider whose flag columns are integers, whatever the source declares.
+
+    They are cast once, where a table is handed out, so that every flag
+    comparison is one between integers.  Text that is no number fails the query
+    (it is never read as "not active"); NULL stays NULL.
+    """
+
+    def __init__(self, tables: BillingTables, flags: Sequence[str] = FLAG_COLUMNS):
+        self._tables = tables
+        self._flags = tuple(flags)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._tables[name]
+        for c in self._flags:
+            if c in df.columns and dict(df.dtypes)[c] != "int":
+                flag = F.trim(F.col(c).cast("string"))
+                number = flag.try_cast("int")
+                bad = F.raise_error(F.concat(F.lit(f"{name}.{c} is no flag: "), flag)).cast("int")
+                df = df.withColumn(c, F.when(F.col(c).isNull() | number.isNotNull(), number).otherwise(bad))
+        return df
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return self[name]

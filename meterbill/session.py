@@ -73,9 +73,10 @@ def get_session(master: str | None = None, app_name: str = "meterbill",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables and lineage cuts.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in local tests, a fresh folder is created and registered as the
-    checkpoint directory of this session.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only where it is
+    unset and the master is local, as in tests, a fresh folder is created and
+    registered as the checkpoint directory of this session; on a cluster that
+    folder would be another disk on every machine, so there it is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -84,6 +85,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not (sc.master or "").startswith("local") or (sc.master or "").startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     local = tempfile.mkdtemp(prefix="meterbill-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

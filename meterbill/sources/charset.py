@@ -26,13 +26,28 @@ def legacy_charsets(spark: SparkSession):
             spark.conf.set(LEGACY_CHARSETS_FLAG, old)
 
 
+def _upper_half(charset: str) -> tuple[str, str]:
+    """Characters 0x80-0xFF of Latin-1 and of a single-byte charset, without the places that agree or are not assigned."""
+    latin, other = [], []
+    for b in range(128, 256):
+        c = bytes([b]).decode(charset, "replace")
+        if c != chr(b) and c != "\ufffd":
+            latin.append(chr(b))
+            other.append(c)
+    return "".join(latin), "".join(other)
+
+
 def decode_text(c: Column | str, charset: str = "windows-1251") -> Column:
-    """Bytes in ``charset`` to text (needs ``legacy_charsets`` for non-ANSI sets)."""
-    return F.decode(F.col(c) if isinstance(c, str) else c, charset)
+    """Bytes in a single-byte ``charset`` to text: Latin-1, then its upper half mapped.  A plain
+    expression; no session flag is needed."""
+    latin, other = _upper_half(charset)
+    return F.translate(F.decode(F.col(c) if isinstance(c, str) else c, "ISO-8859-1"), latin, other)
 
 
 def encode_text(c: Column | str, charset: str = "windows-1251") -> Column:
-    return F.encode(F.col(c) if isinstance(c, str) else c, charset)
+    """Text to bytes in a single-byte ``charset``; the inverse of ``decode_text`` for text the charset has."""
+    latin, other = _upper_half(charset)
+    return F.encode(F.translate(F.col(c) if isinstance(c, str) else c, other, latin), "ISO-8859-1")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *, charset: str = "windows-1251",

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterbill.sources.materialize import to_shared_parquet
+
+log = logging.getLogger(__name__)
+
 # ---------------------------------------------------------------------------
 # Fixed values of the consolidation job: shard ids and the concurrent-read cap.
 # ---------------------------------------------------------------------------
@@ -19,15 +24,12 @@ TARGET_COLUMNS = ("base", "ls", "fio", "address", "close_ls")
 
 
 def read_shards(read_one: Callable[[int], DataFrame], bases: Sequence[int], *,
-                names: Sequence[str] | None = None, base_col: str = "base",
-                max_parallel: int | None = None) -> DataFrame:
+                names: Sequence[str] | None = None, base_col: str = "base") -> DataFrame:
     """Union of one read per shard, each row tagged with its shard id.
 
     ``names`` renames the shard columns positionally (the shard answers with
-    its own column names).  ``max_parallel`` caps how many source partitions
-    are read at once by coalescing the union - meant for JDBC sources, where
-    each shard read is one connection; leave it unset for files, where the
-    scan should use the whole cluster.
+    its own column names).  To read databases under a cap of connections,
+    stage the union first (``stage_shards``).
     """
     parts = []
     for b in bases:
@@ -35,7 +37,36 @@ def read_shards(read_one: Callable[[int], DataFrame], bases: Sequence[int], *,
         if names is not None:
             df = df.toDF(*names)
         parts.append(df.withColumn(base_col, F.lit(int(b))))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    if max_parallel:
-        out = out.coalesce(max_parallel)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def newest_snapshot_sql(table: str, stamp: str = "data_my", columns: Sequence[str] = ("*",)) -> str:
+    """The query a shard database should answer: its newest snapshot only, so
+    that older snapshots never leave it (``sources.jdbc.read_query``)."""
+    return f"select {', '.join(columns)} from {table} where {stamp} = (select max({stamp}) from {table})"
+
+
+def stage_shards(read_one: Callable[[int], dict[str, DataFrame]], bases: Sequence[int], names: Sequence[str], *,
+                 max_parallel: int = MAX_PARALLEL_READS, base_col: str = "base") -> tuple[dict[str, DataFrame], list[int]]:
+    """Every shard's tables, each read once and kept in the shared folder, and the
+    shards that were read.
+
+    One write job per table, coalesced to ``max_parallel`` tasks: at most that
+    many source partitions are read at a time, and what works on the staged
+    tables afterwards uses the whole cluster.  A shard that cannot be opened is
+    left out of the list; one that fails while it is read fails the job.  A shard
+    without rows is a read shard.
+    """
+    shards: dict[int, dict[str, DataFrame]] = {}
+    for b in bases:
+        try:
+            shards[b] = read_one(b)
+        except Exception as e:  # noqa: BLE001 - whatever a source raises: the shard is reported as not read
+            log.warning("shard %s not read: %s", b, e)
+    if not shards:
+        return {}, []
+    staged = {}
+    for name in names:
+        union = read_shards(lambda b, n=name: shards[b][n], list(shards), base_col=base_col)
+        staged[name] = to_shared_parquet(union.coalesce(max_parallel), f"shards-{name}")
+    return staged, list(shards)

@@ -2,32 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 from meterbill.session import scratch_path
 from meterbill.sources.materialize import release_path
 
 
-def full_refresh(df: DataFrame, path: str, *, fmt: str = "parquet", stage: bool = True) -> None:
+POINTER = "CURRENT"      # no leading mark: Spark's readers skip such names
+
+
+def full_refresh(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     """Replace the whole target with ``df``.
 
-    Spark's ``overwrite`` of a path clears the target when the write job
-    starts, so a failure during the job would leave it empty.  With ``stage``
-    (the default) ``df`` is first computed and written to a fresh folder in
-    the shared checkpoint area; only after that succeeded is the target
-    replaced by a copy of the staged files - a short job over already
-    computed data.  Task retries never duplicate rows (file commit protocol).
-    (The original job deleted first and inserted shard by shard.)
+    The rows are written to a new version folder below ``path``; only after that
+    job has succeeded is the pointer file renamed to name it, in one step.  A
+    failure before that leaves the old version current, readers never see a
+    part, and task retries never duplicate rows (file commit protocol).
+    Read with ``read_target``; older version folders are left to the target's retention.
     """
     spark = df.sparkSession
-    if not stage:
-        df.write.mode("overwrite").format(fmt).save(path)
-        return
-    staged = scratch_path(spark, "full-refresh-stage")
-    df.write.mode("overwrite").format(fmt).save(staged)
-    copy = spark.read.format(fmt).load(staged)
-    copy.write.mode("overwrite").format(fmt).save(path)
-    release_path(spark, staged, copy.schema)
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").format(fmt).save(f"{path}/{version}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(f"{path}/{POINTER}")
+    draft = hadoop.Path(f"{path}/{POINTER}-{version}")
+    conf = spark._jsc.hadoopConfiguration()
+    fs = target.getFileSystem(conf)
+    out = fs.create(draft, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    # FileContext renames over an existing file in one step
+    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = getattr(spark._jvm.org.apache.hadoop.fs.Options.Rename, "OVERWRITE")
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, overwrite)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The version the target's pointer names, None if nothing was published."""
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
+    if not pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer):
+        return None
+    return spark.read.text(f"{path}/{POINTER}").first()[0]
+
+
+def read_target(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame:
+    """The current version of a refreshed target."""
+    return spark.read.format(fmt).load(f"{path}/{current_version(spark, path)}")
 
 
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:

@@ -211,11 +211,21 @@ VIEWS["ns_town_type"] = """
 SELECT DISTINCT cast(r_regionkey % 1 + 1 AS int) AS ns_twntyp_id, 't.' AS short_name FROM {region}
 """
 
+VIEWS["cn_char_type"] = """
+SELECT DISTINCT cast(length(event_type) * 0 + 1 AS int) AS char_type_id, 'object' AS name FROM {events}
+"""
+
+VIEWS["cn_chrctrstc_group"] = """
+SELECT DISTINCT cast(length(event_type) * 0 + 10 AS int) AS cn_chrctrstc_group_id,
+       cast(length(event_type) * 0 + 1 AS int) AS char_type_id
+FROM {events}
+"""
+
 VIEWS["cn_characteristic_ref"] = """
 SELECT DISTINCT event_type AS cn_chrct_id,
                 upper(event_type) AS code,
                 event_type AS name,
-                'object' AS char_type_name
+                cast(length(event_type) * 0 + 10 AS int) AS cn_chrctrstc_group_id
 FROM {events}
 """
 

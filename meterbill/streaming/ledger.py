@@ -20,9 +20,6 @@ from meterbill.sources.sinks import append_ledger
 LEDGER_SCHEMA = T.StructType([T.StructField("dag_name", T.StringType(), False),
                               T.StructField("exec_period", T.LongType(), False)])
 
-# Fixed value: the job name the monthly statistics run is recorded under.
-MONTHLY_JOB = "01.Monthly_Statistic"
-
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table; an absent ledger is an empty one."""

@@ -5,10 +5,11 @@ import math
 
 import pytest
 
-import __spark_entry__ as entry
+from meterbill.catalog import QUERIES
+from meterbill.oracle import ORACLE
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(QUERIES)
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
                  "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
                  "boolean": "BOOLEAN"}
@@ -28,14 +29,14 @@ def _rows(cols, rows):
 
 
 def test_every_key_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     got_cols, got = df.columns, [tuple(r) for r in df.collect()]
-    res = duck.sql(entry.oracle_sql()[key])
+    res = duck.sql(ORACLE[key])
     assert sorted(got_cols) == sorted(res.columns)
     duck_types = {c: str(t) for c, t in zip(res.columns, res.types)}
     assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types

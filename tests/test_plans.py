@@ -4,27 +4,24 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from meterbill.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
-NESTED_LOOP_ALLOWED = {"range_join_periods"}  # broadcast point side after a size check
-
 
 def _plan(df):
     df.collect()  # final adaptive plan
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cartesian_and_no_unplanned_nested_loop(spark, key):
-    plan = _plan(entry.queries()[key](spark, SF_SMALL))
+    plan = _plan(QUERIES[key](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
-    if key not in NESTED_LOOP_ALLOWED:
-        assert "BroadcastNestedLoopJoin" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_scans_read_only_needed_columns(spark):
-    df = entry.queries()["scan_table"](spark, SF_SMALL)
+    df = QUERIES["scan_table"](spark, SF_SMALL)
     plan = _plan(df)
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert sorted(f.split(":")[0] for f in schema.split(",")) == sorted(df.columns)
@@ -40,11 +37,42 @@ def test_filters_reach_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(p_size,5\)", plan)
 
 
-def test_newest_snapshot_never_shuffles_the_rows(spark):
-    """The per-shard maxima are broadcast; the snapshot rows stay in place."""
+def test_newest_snapshot_meets_one_row_per_shard(spark):
+    """The rows are joined with per-shard maxima, which are combined before the shuffle."""
     from pyspark.sql import functions as F
     from meterbill.operators.snapshots import latest_snapshot_per_base
     df = spark.range(0, 10000).select((F.col("id") % 9).cast("int").alias("base"),
                                       (F.col("id") % 5).alias("data_my"), "id")
-    plan = _plan(latest_snapshot_per_base(df, bases=range(9)))
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    plan = _plan(latest_snapshot_per_base(df))
+    assert "LeftSemi" in plan and "partial_max" in plan
+
+
+def test_readings_reach_the_extract_as_one_row_per_meter(spark):
+    """Without broadcasts, the only exchange of the readings is the one between the partial and the final
+    aggregate per meter: no raw reading is shuffled, and no window runs over them."""
+    from meterbill.catalog import _extract
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _extract(spark, SF_SMALL).meter_facts(199801)._jdf.queryExecution().sparkPlan().toString()
+        physical = _extract(spark, SF_SMALL).meter_facts(199801)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Window" not in plan
+    lines = physical.splitlines()
+    at = max(i for i, line in enumerate(lines) if "lineitem" in line and "l_quantity" in line)
+    above = [line for line in lines[:at] if "Exchange" in line or "partial_max" in line]
+    assert "partial_max" in above[-1] and "Exchange" in above[-2]
+
+
+def test_each_shard_table_is_read_once(spark, monkeypatch):
+    """Consolidation writes every shard table once, under the read cap, and works on what it wrote."""
+    from meterbill.catalog import _consolidated_accounts
+    from meterbill.sources import shards
+    written = []
+    keep = shards.to_shared_parquet
+    monkeypatch.setattr(shards, "to_shared_parquet", lambda df, name: written.append((name, df.rdd.getNumPartitions())) or keep(df, name))
+    plan = _plan(_consolidated_accounts(spark, SF_SMALL))
+    assert [n for n, _ in written] == ["shards-nanim", "shards-dom", "shards-ulicy", "shards-city"]
+    assert all(n <= shards.MAX_PARALLEL_READS for _, n in written)
+    assert "orders.parquet" not in plan

@@ -4,6 +4,7 @@ legacy charset, shared-folder placement."""
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterbill.session import scratch_path, shared_dir
@@ -43,12 +44,11 @@ def test_sql_file_source(spark, tmp_path):
     assert got == t.us_flat_account_ver.filter("is_active = 1").count()
 
 
-def test_shard_union_renames_tags_and_caps(spark):
+def test_shard_union_renames_and_tags(spark):
     def read_one(b):
         return spark.createDataFrame([(b * 10, "x"), (b * 10 + 1, "y")], "a long, b string")
-    out = read_shards(read_one, [1, 2, 3, 4, 5], names=("ls", "fio"), max_parallel=4)
+    out = read_shards(read_one, [1, 2, 3, 4, 5], names=("ls", "fio"))
     assert out.columns == ["ls", "fio", "base"]
-    assert out.rdd.getNumPartitions() <= 4
     assert sorted((r.base, r.ls) for r in out.collect())[:2] == [(1, 10), (1, 11)]
     assert dict(out.dtypes)["base"] == "int"
 
@@ -56,8 +56,34 @@ def test_shard_union_renames_tags_and_caps(spark):
 def test_full_refresh_replaces(spark, tmp_path):
     target = str(tmp_path / "t")
     sinks.full_refresh(spark.range(5), target)
+    assert sinks.read_target(spark, target).count() == 5
     sinks.full_refresh(spark.range(3), target)
-    assert spark.read.parquet(target).count() == 3
+    assert sinks.read_target(spark, target).count() == 3
+
+
+def test_failed_refresh_leaves_the_old_target(spark, tmp_path):
+    target = str(tmp_path / "t")
+    sinks.full_refresh(spark.range(5), target)
+    bad = spark.range(3).withColumn("x", F.raise_error(F.lit("source failed")).cast("int"))
+    with pytest.raises(Exception, match="source failed"):
+        sinks.full_refresh(bad, target)
+    assert sinks.read_target(spark, target).count() == 5
+
+
+def test_newest_snapshot_query_names_the_newest_stamp():
+    from meterbill.sources.shards import newest_snapshot_sql
+    assert newest_snapshot_sql("nanim") == "select * from nanim where data_my = (select max(data_my) from nanim)"
+
+
+def test_shared_dir_needs_a_shared_folder_on_a_cluster():
+    """Without spark.checkpoint.dir a cluster has no folder all executors share."""
+    from types import SimpleNamespace
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
+                         getConf=lambda: SimpleNamespace(get=lambda k, d: d))
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        sc.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(SimpleNamespace(sparkContext=sc))
 
 
 def test_report_sink_single_file_with_header(spark, tmp_path):
@@ -80,7 +106,11 @@ def test_legacy_charset_round_trip_restores_flag(spark, tmp_path):
         charset.write_csv(df, path)
         raw = spark.read.text(path).filter(~F.col("value").startswith("id")).first()[0]
         back = charset.read_csv(spark, path, df.schema).first()
-        enc = df.select(charset.encode_text("name").alias("b")).first().b
+    enc = df.select(charset.encode_text("name").alias("b")).first().b
+    assert enc == "Киров г".encode("windows-1251")
+    every = bytes(b for b in range(256) if b != 0x98)       # the one place without a character
+    both = spark.createDataFrame([(every,)], "b binary").select(charset.decode_text("b").alias("t"), charset.encode_text(charset.decode_text("b")).alias("b")).first()
+    assert both.t == every.decode("windows-1251") and bytes(both.b) == every
     assert back.name == "Киров г"
     assert raw != "1,Киров г"           # the file is not UTF-8
     assert len(enc) == len("Киров г")   # one byte per letter

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from meterbill.functions.predicates import like_any, valid_at
+from meterbill.functions.predicates import flag_is, like_any, valid_at
 from meterbill.functions.text import (FIXTURE_FIREBIRD_LABELS, FIXTURE_ORACLE_LABELS,
                                       address_null_as_empty, address_null_propagating,
                                       concat_null_as_empty, concat_null_propagating)
@@ -122,7 +122,6 @@ def test_t12_newest_snapshot_is_per_shard(spark):
                                "base int, data_my date, ls int")
     got = sorted(r.ls for r in latest_snapshot_per_base(df).collect())
     assert got == [2, 3]
-    assert sorted(r.ls for r in latest_snapshot_per_base(df, bases=(1, 2)).collect()) == [2, 3]
 
 
 def test_t13_whitelist_duplicates_do_not_multiply(spark):
@@ -135,16 +134,92 @@ def test_t13_whitelist_duplicates_do_not_multiply(spark):
     assert ex.rows(pair_twice).count() == ex.rows(pair_once).count() > 0
 
 
-def test_t14_missing_shard_fails_before_write(spark, tmp_path):
+def test_t14_missing_shard_keeps_the_old_target(spark, tmp_path):
+    from meterbill.catalog import _shard_reader
+    from meterbill.functions.text import FIXTURE_FIREBIRD_LABELS
     from meterbill.plans.consolidate import refresh_target
-    df = spark.createDataFrame([(15, 1), (20, 2)], "base int, ls int")
-    assert [r[0] for r in missing_bases(df, (15, 20, 27)).collect()] == [27]
+    from meterbill.sources.shards import BASES
+    from meterbill.sources.sinks import read_target
+    from meterbill.sources.standins import Standins
+    status = spark.createDataFrame([(15, 0), (20, 2)], "base int, rows int")
+    assert [r[0] for r in missing_bases(status, (15, 20, 27)).collect()] == [27]   # 15 has no rows, but was read
+    assert_complete([15, 20], (15, 20))
+    with pytest.raises(IncompleteShards):
+        assert_complete([15, 20, 99], (15, 20))
+    same = _shard_reader(Standins.of(spark, SF_SMALL))
     target = str(tmp_path / "target")
+    refresh_target(same, BASES, FIXTURE_FIREBIRD_LABELS, target)
+    before = read_target(spark, target).count()
+
+    def broken(b):
+        if b == 29:
+            raise ConnectionError("no route to shard")
+        return same(b)
     with pytest.raises(IncompleteShards):
-        refresh_target(df, (15, 20, 27), target)
-    import os
-    assert not os.path.exists(target)
-    assert_complete(df, (15, 20))
+        refresh_target(broken, BASES, FIXTURE_FIREBIRD_LABELS, target)
+    assert read_target(spark, target).count() == before > 0
+
+
+def test_t5_flags_are_integers_whatever_the_source_says(spark):
+    from meterbill.plans.tables import TypedTables
+    rows = spark.createDataFrame([(1, "1"), (2, " 0 "), (3, None)], "id int, is_active string")
+    typed = TypedTables(FrameMap({"t": rows}))
+    assert dict(typed["t"].dtypes)["is_active"] == "int"
+    assert [r.id for r in typed.t.filter(flag_is("is_active")).collect()] == [1]
+    assert typed["t"].filter("is_active is null").count() == 1
+    with pytest.raises(Exception, match="is no flag"):
+        TypedTables(FrameMap({"t": rows.union(spark.createDataFrame([(4, "Y")], "id int, is_active string"))}))["t"].collect()
+
+
+def test_t10_failed_work_is_tried_again(spark, tmp_path):
+    from meterbill.streaming.ledger import run_once_per_period
+    periods = spark.createDataFrame([(202402, D(2024, 2, 1), "P2", "O")],
+                                    "bl_bill_id long, bill_date date, bill_name string, period_status string")
+
+    def fail(period):
+        raise RuntimeError("report failed")
+    ledger, calls = str(tmp_path / "ledger"), []
+    with pytest.raises(RuntimeError):
+        run_once_per_period(periods, ledger, "job", fail)
+    assert run_once_per_period(periods, ledger, "job", calls.append) == 202402 and calls == [202402]
+
+
+def _catalogue(spark, rows):
+    return FrameMap({"cn_char_type": spark.createDataFrame([(1, "object"), (2, "other")], "char_type_id int, name string"),
+                     "cn_chrctrstc_group": spark.createDataFrame([(10, 1), (20, 2)], "cn_chrctrstc_group_id int, char_type_id int"),
+                     "cn_characteristic_ref": spark.createDataFrame(rows, "cn_chrct_id string, code string, name string, cn_chrctrstc_group_id int")})
+
+
+def test_catalogue_lookup_needs_type_code_and_name(spark):
+    cat = _catalogue(spark, [("right", "X", "n", 10), ("wrong", "X", "other name", 10), ("zz", "X", "n", 20), ("zy", "Y", "n", 10)])
+    one = spark.range(1)
+    assert one.select(characteristic_id(cat, "object", "X", "n")).first()[0] == "right"
+    assert one.select(characteristic_id(cat, "object", "X")).first()[0] == "wrong"
+    assert one.select(characteristic_id(cat, "object", "Z", "n")).first()[0] is None
+
+
+def test_last_reading_of_a_day_is_the_one_with_the_greater_id(spark):
+    from meterbill.operators.readings import READING_ORDER, meter_summary
+    rows = [(100, 1, 202401, D(2024, 1, 5), 9.0, "a"), (101, 1, 202401, D(2024, 1, 5), 3.0, "b"), (99, 1, 202312, D(2023, 12, 5), 1.0, "a")]
+    df = spark.createDataFrame(rows, "cd_ind_id int, cd_cntr_kid int, bl_bill_id int, date_ind_take date, value double, cd_indic_src_id string")
+    r = meter_summary(df, 202401, order=READING_ORDER).first()
+    assert (r.value, r.cd_indic_src_id, r.volume) == (3.0, "b", 2.0)
+
+
+def test_extract_order_puts_nulls_last_and_now_is_fixed(spark):
+    from meterbill.catalog import _extract
+    from meterbill.functions.rules import FIXTURE
+    from meterbill.plans.extract import MeterExtract
+    from meterbill.sources.standins import Standins
+    ex = _extract(spark, SF_SMALL)
+    rows = [(r.contract_nmbr, r.cntr_contract_key_id, r.address) for r in ex.rows().collect()]
+    want = sorted(rows, key=lambda r: [(x is None, x) for x in r])
+    number, address = ex.report().columns[0], ex.report().columns[3]
+    assert [(r[number], r[address]) for r in ex.report().collect()] == [(a, c) for a, _, c in want]
+    plan = ex.report()._jdf.queryExecution().optimizedPlan().toString()
+    assert "NULLS LAST" in plan and "NULLS FIRST" not in plan.split("Sort")[1].split("\n")[0]
+    now = MeterExtract(Standins.of(spark, SF_SMALL), FIXTURE, FIXTURE_ORACLE_LABELS)
+    assert "current_timestamp" not in now.as_of._jc.toString()
 
 
 def test_t16_town_name_and_type_coalesce_independently(spark):
@@ -167,8 +242,7 @@ def test_t16_town_name_and_type_coalesce_independently(spark):
 
 
 def test_t17_catalogue_duplicates_stay_scalar(spark):
-    cat = spark.createDataFrame([("a", "X", "n", "object"), ("b", "X", "n", "object")],
-                                "cn_chrct_id string, code string, name string, char_type_name string")
+    cat = _catalogue(spark, [("a", "X", "n", 10), ("b", "X", "n", 10)])
     attrs = spark.createDataFrame([(1, "b", "5", dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)),
                                    (1, "b", "6", dt.datetime(2024, 1, 10), dt.datetime(2024, 2, 1))],
                                   "object_id int, cn_chrct_id string, value string, "
@@ -221,20 +295,14 @@ def _world(spark, houses):
                      "cn_service_key": sk, "ns_svc_ref": svc, "cd_const_service_bunch": b})
 
 
-def test_range_join_binned_path_equals_broadcast(spark):
-    """Above the broadcast limit the range join becomes a month-bucket
-    equi-join; both paths give the same pairs, open-ended intervals included."""
-    from meterbill.operators.intervals import range_join
-    from meterbill.sources.standins import Standins
-    t = Standins(spark, SF_SMALL)
-    fa = t.us_flat_account_ver.select("us_flat_account_kid", "date_begin", "date_end")
-    bp = t.bl_bill_periods.select("bl_bill_id", "bill_date")
-    small = range_join(fa, bp, "bill_date")
-    binned = range_join(fa, bp, "bill_date", max_broadcast_rows=0)
-    plan = binned._jdf.queryExecution().optimizedPlan().toString()
-    assert "Generate" in plan  # the bucket expansion, not a nested loop
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, binned.collect()))
-    assert small.count() > 0
+def test_counts_do_not_depend_on_other_point_columns(spark):
+    """A NULL in a carried column, or two points on one date, change no count."""
+    from meterbill.operators.intervals import covering_counts
+    iv = spark.createDataFrame([(D(2024, 1, 1), D(2024, 1, 10)), (D(2024, 1, 1), D(2024, 3, 1))], "date_begin date, date_end date")
+    pts = spark.createDataFrame([(D(2024, 2, 1), None), (D(2024, 2, 1), "x"), (D(2024, 1, 10), "y"), (None, "z"), (D(2025, 1, 1), "w")],
+                                "d date, label string")
+    got = sorted((r.d, r.label or "", r.n) for r in covering_counts(iv, pts, "d", out="n").collect())
+    assert got == [(D(2024, 1, 10), "y", 2), (D(2024, 2, 1), "", 1), (D(2024, 2, 1), "x", 1)]
 
 
 def test_t8_production_rules_differ_by_section(spark):
