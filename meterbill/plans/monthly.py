@@ -27,6 +27,7 @@ and keeps the shuffle join otherwise, so no side is broadcast on faith.
 
 from __future__ import annotations
 
+from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,9 +143,8 @@ class MonthlyStats:
         def build():
             ci = self.t["cd_indication"].filter(F.col("bl_bill_id") == self.bill_id)
             latest = latest_max_reading(ci)
-            src = self.t["cd_indication_source"]
-            return (latest.join(src, "cd_indic_src_id")
-                    .filter(in_list("name", channels))
+            src = self.t["cd_indication_source"].filter(in_list("name", channels))
+            return (latest.select("cd_cntr_kid", "cd_indic_src_id").distinct().join(src, "cd_indic_src_id")
                     .select("cd_cntr_kid", F.col("name").alias("channel"))
                     .distinct())
         return self._once("meter_channels", build)
@@ -268,10 +268,11 @@ class MonthlyStats:
     def m02(self) -> DataFrame:
         ck = self.t["cn_contract_key"].select("cntr_contract_key_id", "us_counteragent_id")
         q = self.t["us_counteragent"].select("us_counteragent_id", "ns_user_typ_id")
-        ut = self.t["ns_user_type"].select("ns_user_typ_id", "name")
+        ut = (self.t["ns_user_type"].filter(F.col("name") != F.lit(self.rules.individual_user_type))
+              .select("ns_user_typ_id"))
+        # parties and their types meet first: the contracts are never shuffled by the few type ids
         return (ck.join(self.active_contracts().select("cntr_contract_key_id"), "cntr_contract_key_id")
-                .join(q, "us_counteragent_id").join(ut, "ns_user_typ_id")
-                .filter(F.col("name") != F.lit(self.rules.individual_user_type))
+                .join(q.join(ut, "ns_user_typ_id"), "us_counteragent_id")
                 .agg(_count("M02")))
 
     def reading_counts(self) -> DataFrame:
@@ -328,10 +329,22 @@ class MonthlyStats:
         """Build the shared base frames.  With a writing materializer these are
         two independent jobs; they are submitted together so they share the
         cluster instead of running one after the other."""
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            for f in [pool.submit(self.meter_channels), pool.submit(self.account_services)]:
-                f.result()
+        failed: list[BaseException] = []
+
+        def build(frame) -> None:
+            try:
+                frame()
+            except BaseException as e:  # noqa: BLE001 - raised again below
+                failed.append(e)
+        spark = self.t["bl_bill_periods"].sparkSession
+        # the threads keep the caller's job group and pool
+        threads = [InheritableThread(target=build, args=(f,), session=spark) for f in (self.meter_channels, self.account_services)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        if failed:
+            raise failed[0]
 
     def report(self) -> DataFrame:
         """(seq, parameter, value) in report order; value is text, NULL on
