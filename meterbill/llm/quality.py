@@ -151,7 +151,7 @@ def _start(rows: DataFrame) -> DataFrame:
                          .alias("dim", "cell"))
     xs = list(STATS)
     med = _wide(grid_quantile(cells(rows, lambda i: F.col(xs[i])), ["gk", "dim"], "cell", 0.5), "m")
-    dev = cells(rows.join(med, "gk"), lambda i: F.abs(F.col(xs[i]) - F.col(f"m{i}")))
+    dev = cells(rows.join(_salted(med), ["gk", "salt"]), lambda i: F.abs(F.col(xs[i]) - F.col(f"m{i}")))
     mad = _wide(grid_quantile(dev, ["gk", "dim"], "cell", 0.5), "s")
     floors = list(STATS.values())
     inv = {(i, i): 1.0 / F.pow(F.greatest(1.4826 * F.col(f"s{i}"), F.lit(floors[i])), 2) for i in range(DIM)}
@@ -193,6 +193,18 @@ def _inverse(sums: DataFrame) -> DataFrame:
     return sums.mapInPandas(run, schema)
 
 
+SALT = 8           # shares a group's rows are dealt in where they are joined with the group's figures
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.floor(F.rand(3) * SALT).cast("int"))
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    """The figures of each group once per share, so that a group with a third of all rows is joined in many tasks."""
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+
+
 def fit(stats: DataFrame, steps: int = STEPS, min_group: int = MIN_GROUP) -> tuple[DataFrame, DataFrame]:
     """(groups, params): the estimation group ``gk`` of each (lang, source), and centre and inverse scatter per gk.
 
@@ -206,28 +218,30 @@ def fit(stats: DataFrame, steps: int = STEPS, min_group: int = MIN_GROUP) -> tup
                              F.when(level > 1, F.col("source")).alias("source")))
     groups = stored(sizes.join(by_lang, sizes["lang"].eqNullSafe(by_lang["l"]))
                     .select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), key.alias("gk")), "mcd-groups")
-    rows = stored(_grouped(rows, groups).select("gk", *STATS), "mcd-rows")
+    rows = stored(_grouped(rows, groups).select("gk", "salt", *STATS), "mcd-rows")
     params = stored(_start(rows), "mcd-start")
     means = [F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS)]
     xs = list(STATS)
     cross = [F.avg(F.col(xs[i]) * F.col(xs[j])).alias(f"c{i}_{j}") for i in range(DIM) for j in range(i, DIM)]
     for step in range(steps):
-        near = rows.join(params, "gk").select("gk", *STATS, _distance().alias("d2")) \
+        near = rows.join(_salted(params), ["gk", "salt"]).select("gk", "salt", *STATS, _distance().alias("d2")) \
             .withColumn("bin", F.floor(32 * F.log2(F.col("d2") + 1e-6)).cast("int"))
         cut = grid_quantile(near, ["gk"], "bin", SUPPORT)
-        inner = near.join(cut, "gk").filter(F.col("bin") <= F.col("cell"))
+        inner = near.join(_salted(cut), ["gk", "salt"]).filter(F.col("bin") <= F.col("cell"))
         params = stored(_inverse(inner.groupBy("gk").agg(F.count("*").alias("n"), *means, *cross)
                                  .filter(F.col("n") >= SUPPORT * min_group)), f"mcd-{step}")
     return groups, params
 
 
 def _grouped(df: DataFrame, groups: DataFrame) -> DataFrame:
-    return df.join(groups, df["lang"].eqNullSafe(groups["g_lang"]) & df["source"].eqNullSafe(groups["g_source"]), "left")
+    df, groups = _dealt(df), _salted(groups).withColumnRenamed("salt", "g_salt")
+    return df.join(groups, df["lang"].eqNullSafe(groups["g_lang"]) & df["source"].eqNullSafe(groups["g_source"])
+                   & (df["salt"] == groups["g_salt"]), "left")
 
 
 def _judged(stats: DataFrame, groups: DataFrame, params: DataFrame, cutoff: float) -> DataFrame:
     """Adds distance and kept."""
-    joined = _grouped(stats, groups).join(params, "gk", "left")
+    joined = _grouped(stats, groups).join(_salted(params), ["gk", "salt"], "left")
     return joined.withColumn("distance", F.when(~F.col("base_failed"), _distance())) \
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
 
