@@ -48,7 +48,7 @@ FINDER = re.compile(r"""(?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@
   | (?<![\w.])(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4} | \+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4} | \(\d{3}\)[ ]?\d{3}[ .-]\d{4} | \d{3}[.-]\d{3}[.-]\d{4})(?![\w-])
 """, re.X)
 # A text without any of these has no value of the kinds above.
-HINT = re.compile(r"@|\d[\d ().+-]{5}|[A-Z]{2}\d\d")
+HINT = re.compile(r"@|\d[\d ()./+-]{5}|[A-Z]{2}\d\d|\(\d")
 
 
 def luhn_digit(digits: str) -> str:
