@@ -10,7 +10,7 @@ of all pieces count.  ``score`` is the share of the second-best size that the be
 
 Learning: from rows with a text and a non-null language whose crc32(doc_id as text) mod 3 is not 1.  Each
 language's dictionary is made of at most ``SLOTS`` documents (those with the least hash in each of ``SLOTS``
-slots of hashed ids) and ``DICTIONARY`` bytes: a bounded, documented sample.  At most ``LANGUAGES`` languages, the
+slots of hashed ids, ``SAMPLE_CHARS`` characters of each at most) and ``DICTIONARY`` bytes: a bounded, documented sample.  At most ``LANGUAGES`` languages, the
 most frequent, are learned.
 
 Defined cases: NULL text, or a text without letters, gives ``und`` with score 0; texts are read whole; repeated
@@ -32,6 +32,7 @@ from meterbill.llm.common import chunks
 
 DICTIONARY = 96 * 1024
 SLOTS = 64
+SAMPLE_CHARS = 24 * 1024     # of a sampled document, at most
 LANGUAGES = 200
 PIECE = 1024
 LEVEL = 6
@@ -114,7 +115,7 @@ def sample(docs: DataFrame, slots: int = SLOTS, languages: int = LANGUAGES) -> d
     pick = rows.groupBy("lang", F.pmod(h, F.lit(slots)).alias("slot")).agg(F.min_by("doc_id", F.struct(h, F.length("text"))).alias("doc_id")) \
         .join(known, "lang").select("lang", "doc_id")
     texts = rows.join(F.broadcast(pick), ["lang", "doc_id"]) \
-        .groupBy("lang", "doc_id").agg(F.max(F.substring("text", 1, 2 * DICTIONARY // slots * 8)).alias("text"))
+        .groupBy("lang", "doc_id").agg(F.max(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
     out: dict[str, list[str]] = {}
     for r in texts.orderBy("lang", "doc_id").collect():
         out.setdefault(r.lang, []).append(r.text)
