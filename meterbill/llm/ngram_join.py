@@ -4,9 +4,12 @@ Two documents link when the Jaccard similarity of their shingle sets reaches the
 
 1. **Signatures.** A set is cut by hash range into parts, in bands of similar set size.  Linked
    sets differ in at most ``d`` shingles, so with ``d + 1`` parts at least one part is equal; its
-   digest is a key both sets emit.  ``slack`` further parts allow parts of under ``STRONG`` shingles
+   digest is a key both sets emit.  ``slack`` further parts allow parts of under two or three shingles
    to be left out (at most ``slack`` equal parts can be such; a set with more emits all its parts),
-   which keeps unrelated sets apart.  No pair is lost and no key needs a cap.
+   which keeps unrelated sets apart.  No pair is lost and no key needs a cap.  For thresholds below
+   ``EXACT_FROM`` per cent such parts would hold too few shingles to tell sets apart and be as many as
+   half the shingles; there the keys are min-hash bands, which miss a link at the threshold with a
+   probability of 3e-6 (at 0.8) and less above it.
 2. **Candidate groups.** Sets with a common key are chained (never paired) and the chains'
    connected components are the candidate groups: every link lies inside a group.
 3. **Signature trees.** Within a group the sets are leaves of a tree whose nodes hold OR-combined
@@ -28,18 +31,23 @@ empty result; extra columns are ignored by ``components`` and kept by ``keep_one
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterbill.llm.common import chunks, map_chunks, packed, stored, unpacked
-from meterbill.llm.components import connected_components
+from meterbill.llm.components import contracted_components
 from meterbill.llm.wordhash import mix, shingles, word_hashes
 
 WIDTH = 3
 PERCENT = 90                    # threshold, as whole per cent so that comparisons are exact
 STRONG = 3                      # shingles a part needs to be a key by itself
+EXACT_FROM = 88                 # per cent
+BANDS, ROWS = 32, 5             # of the min-hash keys below that
 BAND_RATIO = 1.25
 FLUSH_KEYS = 400_000            # signature keys a task combines before it passes them on
 BLOCK_SHINGLES = 1_000_000      # shingles of a block (8 MB)
@@ -82,15 +90,26 @@ def least_size(percent: int) -> int:
     return n
 
 
-def bands(percent: int, upto: int) -> list[tuple[int, int, int]]:
-    """(low, high, parts) of the size bands from the least linkable size to past ``upto``."""
-    out, low = [], least_size(percent)
-    while low <= upto:
-        high = int(low * max(BAND_RATIO, 100 / percent + 0.01)) + 1
-        d = _differences(high, percent)
-        out.append((low, high, d + 1 + _slack(d)))
-        low = high + 1
-    return out
+@lru_cache(None)
+def band(percent: int, k: int) -> tuple[int, int, int, int, int]:
+    """(low, high, parts, strong, slack) of the k-th size band; the first starts at the least linkable size."""
+    low = least_size(percent) if k == 0 else band(percent, k - 1)[1] + 1
+    high = int(low * max(BAND_RATIO, 100 / percent + 0.01)) + 1
+    return (low, high, *_plan(high, percent))
+
+
+def _plan(high: int, percent: int) -> tuple[int, int, int]:
+    """Parts of a band, shingles a part needs to be a key, and parts that may be left out: as many as a
+    typical set of the band has below that size."""
+    d = _differences(high, percent)
+    for strong in range(STRONG, 1, -1):
+        for slack in range(max(1, d // 8)):
+            parts = d + 1 + slack
+            mean = 0.85 * high / parts
+            weak = parts * math.exp(-mean) * sum(mean ** i / math.factorial(i) for i in range(strong))
+            if d < 10 or weak + math.sqrt(weak) <= slack:
+                return parts, strong, slack
+    return d + 1, STRONG, 0
 
 
 def _differences(high: int, percent: int) -> int:
@@ -100,16 +119,20 @@ def _differences(high: int, percent: int) -> int:
     return union * (100 - percent) // 100
 
 
-def _slack(d: int) -> int:
-    return 0 if d < 10 else -(-7 * d // 100)
-
-
 def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of a sorted set; linked sets share at least one."""
+    """Keys of a sorted set; linked sets share at least one (below ``EXACT_FROM``: miss none but with
+    probability ``(1 - t^ROWS)^BANDS``)."""
     n = len(s)
+    if n < least_size(percent):
+        return np.zeros(0, np.uint64)
+    if percent < EXACT_FROM:
+        return _minhash_keys(s)
     found = []
     total = None
-    for low, high, parts in bands(percent, n * 100 // percent + 1):
+    for k in range(1000):
+        low, high, parts, least, slack = band(percent, k)
+        if 100 * n < percent * low and n < low:
+            break
         # a set belongs to its own band and, as the smaller of a pair, to the next one
         if not (low <= n <= high or (n < low and 100 * n >= percent * low)):
             continue
@@ -121,13 +144,22 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         size = np.diff(cut)
         name = mix(np.arange(parts, dtype=np.uint64) + np.uint64(low) * np.uint64(0x100000001))
         key = mix((total[cut[1:]] - total[cut[:-1]]) + name * np.uint64(3) + size.astype(np.uint64))
-        strong = size >= STRONG
-        if (~strong).sum() <= _slack(_differences(high, percent)):
-            key = key[strong]
-        found.append(key)
+        strong = size >= least
+        found.append(key[strong] if int((~strong).sum()) <= slack else key)
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def _minhash_keys(s: np.ndarray) -> np.ndarray:
+    """One key per band: the least hashes of the set under the band's ROWS hash functions."""
+    seeds = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64))
+    least = np.concatenate([((s[:, None] ^ seeds[None, a:a + 32]) * (seeds[None, a:a + 32] | np.uint64(1))).min(axis=0)
+                            for a in range(0, len(seeds), 32)]).reshape(BANDS, ROWS)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for row in least.T:
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + row)
+    return key
+
+
 def _key_rows(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """(kind, key, id): kind 0 a signature key of class id; kind 1 a chain edge key - id found inside the task."""
     def flush(keys, ids):
@@ -345,8 +377,7 @@ def class_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
                      block_shingles: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): (doc_id, n, cls) per document, stored, and (node, root) of the classes that link."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    groups = stored(connected_components(stored(candidate_edges(texts, width, percent), "join-edges"))
-                    .select(F.col("node").alias("cls"), F.col("root").alias("grp")), "join-candidates")
+    groups = contracted_components(candidate_edges(texts, width, percent)).select(F.col("node").alias("cls"), F.col("root").alias("grp"))
     rows = stored(classes(docs, width), "join-classes")
     # one row stands for each class: the row with the smallest doc_id that is not NULL, else any
     stand = rows.join(groups, "cls").groupBy("cls", "grp").agg(F.min("doc_id").alias("doc_id"))
@@ -358,7 +389,7 @@ def class_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         lone = named.filter("doc_id is null").withColumn("grp", F.lit(None).cast("long"))
         own = _classed(lone, width).join(nameless.select("cls", F.col("grp").alias("g")), "cls")
         sets = stored(sets.union(own.select(F.col("g").alias("grp"), "cls", "n", "shingles")).dropDuplicates(["cls"]), "join-sets")
-    return rows, connected_components(_links(sets, percent, block_shingles))
+    return rows, contracted_components(_links(sets, percent, block_shingles))
 
 
 def _classed(texts: DataFrame, width: int) -> DataFrame:
@@ -388,12 +419,13 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
                block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
     rows, roots = class_components(docs, width, percent, block_shingles)
-    placed = rows.join(roots, rows["cls"] == roots["node"], "left") \
-        .select("doc_id", "n", "cls", F.coalesce("root", "cls").alias("root"))
-    names = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return placed.filter("root is not null").join(names, "root") \
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id") \
-        .union(placed.filter("root is null").select("doc_id", "n", "doc_id"))
+    # one row per class up to the last join, whose class side is small and whose rows AQE can split
+    per_class = rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
+    placed = per_class.join(roots, per_class["cls"] == roots["node"], "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
+    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stored(placed.join(names, "root").select("cls", "component_id"), "join-named")
+    return rows.filter("cls is not null").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id") \
+        .union(rows.filter("cls is null").select("doc_id", "n", "doc_id"))
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from meterbill.llm import ngram_join, sentence_spans
+from meterbill.llm import components, ngram_join, sentence_spans
 from meterbill.llm.common import table
 from meterbill.llm.components import connected_components
 
@@ -118,6 +118,16 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("task_edges", [1_000_000, 7])
+def test_contracted_components(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(components, "TASK_EDGES", task_edges)
+    rnd = random.Random(task_edges)
+    edges = [(i, i + 1) for i in range(30)] + [(100, 101), (200, 200), (None, 5)] + [(1000 + rnd.randrange(40), 1000 + rnd.randrange(40)) for _ in range(25)]
+    want = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {r.node: r.root for r in components.contracted_components(spark.createDataFrame(edges, "a long, b long")).collect()} == want
+    assert components.contracted_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def brute_spans(texts):
     """Units of each text that a span covers which occurs earlier (all runs of SPAN units and WORDS words)."""
     places = defaultdict(list)
