@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterbill.llm.common import chunks, map_chunks
+from meterbill.llm.common import chunks, map_chunks, stored
 from meterbill.llm.wordhash import PLAIN, SPACE, run_hashes, words_at
 
 SPAN = 3
@@ -100,26 +100,32 @@ def _span_rows(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """doc_id, text (without repeated spans), n_sentences, n_removed, removed (unit ranges), one row per document."""
+    """doc_id, text (without repeated spans), n_removed, removed (ranges of sentences), one row per document."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .withColumn("doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn("row_key", F.xxhash64("doc_id", "text"))
     rows = _span_rows(named)
-    shared = rows.groupBy("h").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).filter("first_doc < last_doc")
+    # written first, so that the join below meets two plain shuffles and AQE can split a hot hash
+    shared = stored(rows.groupBy("h").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+                    .filter("first_doc < last_doc").select("h", "first_doc"), "spans-shared")
     late = rows.join(shared, "h").filter("doc > first_doc").select("row_key", "unit", "size")
     inside = rows.filter("again").select("row_key", "unit", "size")
     # what to remove of a row: bounded by the row's own sentences
     gone = late.union(inside).groupBy("row_key").agg(F.collect_set(F.struct("unit", "size")).alias("gone"))
 
     def one(batch):
-        texts, counts, removed, ranges = [], [], [], []
+        texts, removed, ranges = [], [], []
         for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
+            if not gone:
+                texts.append(text)
+                removed.append(0)
+                ranges.append([])
+                continue
             raw, starts, at, _ = units(text)
             drop = np.zeros(len(at) + 1, np.int64)
-            for g in gone or ():
+            for g in gone:
                 drop[g["unit"]] += 1
                 drop[g["unit"] + g["size"]] -= 1
             covered = np.cumsum(drop[:-1]) > 0
-            counts.append(len(at))
             removed.append(int(covered.sum()))
             edge = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
             ranges.append([{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])])
@@ -130,9 +136,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
             texts.append(text)
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int32()), pa.array(removed, pa.int32()),
-             pa.array(ranges, span)], names=["doc_id", "text", "n_sentences", "n_removed", "removed"])
+            [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(removed, pa.int32()),
+             pa.array(ranges, span)], names=["doc_id", "text", "n_removed", "removed"])
 
     whole = named.join(gone, "row_key", "left").select("doc_id", "text", "gone")
-    return map_chunks(whole, one, "doc_id long, text string, n_sentences int, n_removed int, "
+    return map_chunks(whole, one, "doc_id long, text string, n_removed int, "
                                   "removed array<struct<start: int, end: int>>")
