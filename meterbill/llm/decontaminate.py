@@ -7,7 +7,9 @@ Windows as long as the item (to 15 %) are embedded by the CGK random walk: readi
 ``2 n`` steps by a random bit of (step, symbol), so that few edits between two windows become few differing
 symbols between the embeddings.  Each repetition has its own walk and samples ``SAMPLES`` positions of the
 embedding as a key; windows and items that agree in a key are verified by edit distance against the window's
-surroundings.  ``REPETITIONS`` is set for a recall of at least 0.95 at the very bound, nearly 1 short of it (``tests/llm`` measures it).
+surroundings.  ``REPETITIONS`` is set for a recall of at least 0.95 at the very bound for windows of up to ``SEGMENT`` words, nearly 1
+short of it (``tests/llm`` measures it).  A window's recall falls with its length, so longer items are indexed by equal segments of
+at most ``SEGMENT`` words, any of which makes a candidate: of an item within the bound at least one segment is within its own.
 Before the walk a count filter drops windows that cannot match: an item within ``k`` edits keeps at least
 ``n - 1 - 2 k`` of its word pairs, so a window with fewer word pairs of the benchmark is out (nothing is lost by this).
 
@@ -33,6 +35,7 @@ from meterbill.llm.wordhash import PLAIN, mix, word_hashes
 SIMILARITY = 0.8
 MIN_WORDS = 8
 REPETITIONS, SAMPLES = 24, 3
+SEGMENT = 32                       # longer items are indexed by segments of at most so many words
 BLOCK_CHARS = 4_000_000
 SLICE = 4096                       # windows embedded at once
 PAIR_BITS = 22
@@ -71,7 +74,11 @@ class ItemIndex:
         self.similarity, self.repetitions, self.samples = similarity, repetitions, samples
         words = [words_of(t) for t in texts]
         self.items = {i: w for i, w in enumerate(words) if len(w) >= MIN_WORDS}
-        lengths = sorted({len(w) for w in self.items.values()})
+        self.parts = []                # (item, offset in the item, words) of every segment
+        for i, w in self.items.items():
+            edges = np.linspace(0, len(w), -(-len(w) // SEGMENT) + 1).astype(int).tolist()
+            self.parts += [(i, a, w[a:b]) for a, b in zip(edges, edges[1:])]
+        lengths = sorted({len(w) for _, _, w in self.parts})
         self.longest = max(lengths, default=0)
         rng = np.random.default_rng(seed)
         self.odd = rng.integers(0, 1 << 63, (repetitions, 2 * self.longest), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -86,8 +93,8 @@ class ItemIndex:
             need = min(n - 1 - 2 * allowed_edits(n, similarity) for n in own)
             sampled = np.sort(np.stack([rng.choice(2 * own[0], samples, replace=False) for _ in range(repetitions)]), axis=1)
             self.classes.append((own[-1], max(need, 1), own[-1] + allowed_edits(own[-1], similarity) - 1, sampled))
-            mine = [i for i, w in self.items.items() if own[0] <= len(w) <= own[-1]]
-            rows = np.stack([np.pad(self.items[i], (0, own[-1] - len(self.items[i])), constant_values=PAD) for i in mine])
+            mine = [p for p, (_, _, w) in enumerate(self.parts) if own[0] <= len(w) <= own[-1]]
+            rows = np.stack([np.pad(self.parts[p][2], (0, own[-1] - len(self.parts[p][2])), constant_values=PAD) for p in mine])
             keys.append(self._keys(rows, sampled).ravel())
             which.append(np.repeat(np.array(mine, np.int64), repetitions))
             at += len(own)
@@ -139,8 +146,9 @@ class ItemIndex:
                 low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
                 for i, r in zip(*np.nonzero(high > low)):
                     text = int(np.searchsorted(bounds, s[i], "right")) - 1
-                    for item in self.which[low[i, r]:high[i, r]].tolist():
-                        found.setdefault((text, item), set()).add(int(s[i]))
+                    for part in self.which[low[i, r]:high[i, r]].tolist():
+                        item, offset, _ = self.parts[part]
+                        found.setdefault((text, item), set()).add(max(int(s[i]) - offset, int(bounds[text])))
         out = []
         for (text, item), at in sorted(found.items()):
             w, own = self.items[item], words[text]

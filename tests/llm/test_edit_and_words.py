@@ -79,6 +79,29 @@ def test_decontamination_recall_at_the_bound_and_no_false_hits(spark):
             assert 0 <= a < b <= len(words)
 
 
+@pytest.mark.parametrize("n,share", [(16, 0.2), (40, 0.2), (100, 0.2), (100, 0.1), (200, 0.2), (200, 0.05), (400, 0.2), (400, 0.15)])
+def test_recall_does_not_fall_with_the_length_of_items(n, share):
+    rnd = random.Random(n + int(100 * share))
+    some = lambda k: [f"w{rnd.randrange(20_000)}" for _ in range(k)]
+    items = [some(n) for _ in range(40)]
+    index = decontaminate.ItemIndex([" ".join(x) for x in items])
+    texts = []
+    for words in map(list, items):
+        for _ in range(int(share * n + 1e-9)):
+            kind, j = rnd.random(), rnd.randrange(len(words))
+            if kind < 0.4:
+                words[j] = some(1)[0]
+            elif kind < 0.7:
+                words.insert(j, some(1)[0])
+            else:
+                words.pop(j)
+        texts.append(some(50) + words + some(50))
+    want = {i for i, t in enumerate(texts) if brute_edits(items[i], t) <= decontaminate.allowed_edits(n)}
+    got = {t: (item, edits) for t, item, edits, _, _ in index.search([" ".join(t) for t in texts])}
+    assert len(want) == len(items) and all(got[t] == (t, brute_edits(items[t], texts[t])) for t in got)
+    assert len(got) >= (0.9 if n < 40 else 0.97) * len(want)
+
+
 def test_exact_passages_are_all_found(spark):
     bench = {r.item_id: r.text for r in table(spark, SF, "benchmark").collect()}
     docs = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
