@@ -1,10 +1,13 @@
 """Secret scans: a random forest removes false positives.  DataFrame operations and Spark's own forest only.
 
-Candidates are runs of at least ``LEAST`` characters of ``A-Z a-z 0-9 + / _ -`` in a word.  Each is described by its length,
+Candidates are all runs of at least ``LEAST`` characters of ``A-Z a-z 0-9 + / _ -`` in a word, keys whose published format
+has dots (JWT, SG), and values of at least ``SHORT`` characters, some other marks among them, right after an assignment to a
+credential word (in the word itself or the two words before it).  Each is described by its length,
 its character transitions (changes between lower case, upper case and digits, long consonant runs), the share of it
 that a dictionary covers (the corpus's most frequent short words, counted over all documents), its path (the
 document's source, and path marks in the word) and its neighbouring words (credential words and assignment
-signs before it, quotes around it).  A random forest trained from labelled findings gives the probability that a candidate
+signs before it, quotes around it).  In a word of several candidates these are read from what stands between a candidate and the
+next ones, the assignment from the text after the last of ``, ; & | { } [ ] ( )`` before it.  A random forest trained from labelled findings gives the probability that a candidate
 is a secret.
 
 ``scan`` takes labelled findings as a parameter (doc_id, word, label); without them it labels what is certain by itself:
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from meterbill.llm.common import stored
 
-LEAST = 16
+LEAST, SHORT = 16, 6
 TRAIN_ROWS = 10_000
 TREES, DEPTH = 20, 6
 DICTIONARY = 150
@@ -36,7 +39,15 @@ THRESHOLD = 0.5
 CREDENTIAL = "passw|passwd|pwd|secret|token|api.?key|access.?key|auth|bearer|credential|private.?key|signature"
 # Published formats of keys.
 FORMATS = (r"^AKIA[0-9A-Z]{16}$|^ASIA[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36,}$|^glpat-[0-9A-Za-z_-]{20,}$|^xox[abprs]-[0-9A-Za-z-]{10,}$"
-           r"|^sk_live_[0-9A-Za-z]{16,}$|^AIza[0-9A-Za-z_-]{35}$|^SG\.[0-9A-Za-z_-]{16,}$|^eyJ[0-9A-Za-z_-]{10,}$")
+           r"|^sk_live_[0-9A-Za-z]{16,}$|^AIza[0-9A-Za-z_-]{35}$|^SG\.[0-9A-Za-z_.-]{16,}$|^eyJ[0-9A-Za-z_.-]{10,}$")
+RUN = f"[A-Za-z0-9+/_-]{{{LEAST},}}"
+DOTTED = r"(?<![A-Za-z0-9+/_-])(?:eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}(?:\.[0-9A-Za-z_-]+)?|SG\.[0-9A-Za-z_-]{16,}(?:\.[0-9A-Za-z_-]+)?)"
+NAMED = f"(?i:{CREDENTIAL})[A-Za-z0-9_-]{{0,24}}[\"'`]?"
+VALUE = f"[A-Za-z0-9+/_!@#$%^*~-]{{{SHORT},}}"
+MARK = "\x01"                       # set before a word that the words before it assign
+# the look at one character spares the look for the credential word nearly everywhere
+ASSIGNED = f"(?<=[=:\"'`{MARK}])(?:(?<={NAMED}[=:]{{1,2}}[\"'`]?)|(?<={MARK}[\"'`]?)){VALUE}"
+CANDIDATE = f"{DOTTED}|{ASSIGNED}|{RUN}"
 FEATURES = ["f_length", "f_digits", "f_upper", "f_transitions", "f_runs", "f_dictionary", "f_path", "f_marks", "f_credential",
             "f_assigned", "f_quoted"]
 
@@ -49,28 +60,41 @@ def frequent_words(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, source, at (number of the word), value, word and its neighbours, of every candidate."""
+    """doc_id, source, at (number of the word), run (number in the word), value, lead, word and its neighbours, of every candidate.
+
+    ``word`` is the word from the candidate before to the one after; ``lead`` is what of it stands before the value, the candidate
+    before included."""
     words = F.split("text", r"[\x20\x09-\x0D]+")
     near = lambda ws, i, d: F.coalesce(F.try_element_at(ws, (i + 1 + d).cast("int")), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                         F.col("text").cast("string").alias("text")) \
-        .filter(F.col("text").rlike(f"[A-Za-z0-9+/_-]{{{LEAST},}}")).withColumn("ws", words)
-    hits = F.filter(F.transform("ws", lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
-                    lambda x: (F.length(x["word"]) >= LEAST) & x["word"].rlike(f"[A-Za-z0-9+/_-]{{{LEAST},}}"))
+        .withColumn("assigns", F.col("text").rlike(f"{NAMED}[\\x20\\x09-\\x0D]*[=:]{{1,2}}[\\x20\\x09-\\x0D]*[\"'`]?{VALUE}")) \
+        .filter(F.col("assigns") | F.col("text").rlike(f"{RUN}|{DOTTED}")).withColumn("ws", words)
+    before = lambda ws, at: F.concat_ws(" ", F.when(at > 1, near(ws, at, -2)), F.when(at > 0, near(ws, at, -1)))
+    marked = lambda w, i: F.when(F.col("assigns") & (F.length(w) >= SHORT) & before(F.col("ws"), i).rlike(f"{NAMED} ?[=:]{{1,2}}$"),
+                                 F.concat(F.lit(MARK), w)).otherwise(w)
+    hits = F.filter(F.transform("ws", lambda w, i: F.struct(i.alias("at"), marked(w, i).alias("word"))),
+                    lambda x: (F.length(x["word"]) >= F.when(F.col("assigns"), SHORT).otherwise(LEAST)) & x["word"].rlike(CANDIDATE))
     found = plain.select("doc_id", "source", "ws", F.explode(hits).alias("hit"))
-    # the value is the last long run: what follows an assignment sign, or the key itself
-    value = F.element_at(F.regexp_extract_all(F.col("hit.word"), F.lit(f"([A-Za-z0-9+/_-]{{{LEAST},}})"), 1), -1)
+    # every candidate with the gap before it; the last gap is the rest of the word, with an empty value
+    parts = lambda group: F.regexp_extract_all(F.col("hit.word"), F.lit(f"(?s)(.*?)({CANDIDATE}|$)"), group)
     at = F.col("hit.at")
-    before = F.concat_ws(" ", F.when(at > 1, near(F.col("ws"), at, -2)), F.when(at > 0, near(F.col("ws"), at, -1)))
-    return found.select("doc_id", "source", at.alias("at"), value.alias("value"), F.col("hit.word").alias("word"), before.alias("before"))
+    found = found.select("doc_id", "source", at.alias("at"), before(F.col("ws"), at).alias("before"),
+                         F.transform(parts(1), lambda g: F.translate(g, MARK, "")).alias("gaps"), parts(2).alias("values"))
+    found = found.select("doc_id", "source", "at", "before", "gaps", "values", F.posexplode("values").alias("run", "value")).filter("value != ''")
+    run = F.col("run")
+    lead = F.concat(F.when(run > 0, near(F.col("values"), run, -1)).otherwise(""), F.element_at("gaps", run + 1))
+    return found.select("doc_id", "source", "at", "run", "value", lead.alias("lead"), "before", near(F.col("gaps"), run, 1).alias("rest")) \
+        .select("doc_id", "source", "at", "run", "value", "lead", F.concat("lead", "value", "rest").alias("word"), "before")
 
 
 def described(found: DataFrame, dictionary: list[str]) -> DataFrame:
     """Adds the features, and ``label`` where the finding is certain by itself."""
-    value, word, before = F.col("value"), F.col("word"), F.lower("before")
+    value, word = F.col("value"), F.col("word")
     size = F.length(value)
-    lead = F.lower(F.split_part(word, value, F.lit(1)))           # what stands before the value in its word
-    context = F.concat_ws(" ", before, lead)
+    # what assigns the value: the words before too, unless another value ends in between
+    own = F.lower(F.regexp_extract("lead", r"([^,;&|{}\[\]()]*)$", 1))
+    context = F.when((F.col("run") == 0) & (F.length(own) == F.length("lead")), F.concat_ws(" ", F.lower("before"), own)).otherwise(own)
     rest = F.regexp_replace(F.lower(value), "|".join(sorted(dictionary, key=lambda w: (-len(w), w))) or "$.", "")
     count = lambda pattern: F.regexp_count(value, F.lit(pattern))
     out = found.select(
@@ -91,7 +115,7 @@ def described(found: DataFrame, dictionary: list[str]) -> DataFrame:
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS):
     """A random forest of findings with features and ``label``; None unless both labels occur."""
     h = F.xxhash64("doc_id", "at", "value")
-    parts = [stored(labelled.filter(F.col("label") == x).withColumn("h", h).orderBy("h", "doc_id", "at").limit(train_rows)
+    parts = [stored(labelled.filter(F.col("label") == x).withColumn("h", h).orderBy("h", "doc_id", "at", "run").limit(train_rows)
                     .select("label", *FEATURES), f"secrets-train-{int(x)}") for x in (0.0, 1.0)]
     if any(p.isEmpty() for p in parts):
         return None

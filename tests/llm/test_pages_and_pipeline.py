@@ -118,6 +118,22 @@ def test_secret_cases(spark):
     assert secret_scan.scan(docs, labelled=known).count() == 3
 
 
+def test_every_secret_of_a_word_is_a_candidate(spark):
+    a, b, c = "a1B2c3D4e5F6g7H8i9", "Zz9Yy8Xx7Ww6Vv5Uu4", "q1w2e3r4t5y6u7i8o9"
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    grid = "SG.ngeVfQFYQlKU0ufo8x5d1A.TwL2iGABf9DHoTf09kqeF8tAmbihYbrHpwVs"
+    texts = {1: f"{{\"api_key\":\"{a}\",\"name\":\"{b}\",\"secret\":\"{c}\"}}", 2: f"http://h.com/?key=x&token={a}&sig={b}", 3: f"see {jwt} there",
+             4: f"SENDGRID={grid};x", 5: "password=hunter2xyz and", 6: "pwd: 's3cr3t!' or", 7: "token = ab12cd", 8: f"aws_secret_access_key={a}",
+             9: "the secret of short words, name=hunter2xyz", 10: f"passwd=pa55word;user=someone;path={b}", 11: f"{a},{a}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").selectExpr("*", "'s' as source")
+    rows = secret_scan.described(secret_scan.candidates(docs), ["the"]).collect()
+    got = {i: sorted((r.value, r.label) for r in rows if r.doc_id == i) for i in texts}
+    assert got == {i: sorted(x) for i, x in {
+        1: [(a, 1.0), (b, None), (c, 1.0)], 2: [(a, 1.0), (b, None)], 3: [(jwt, 1.0)], 4: [(grid, 1.0)], 5: [("hunter2xyz", 1.0)], 6: [("s3cr3t!", 1.0)],
+        7: [("ab12cd", 1.0)], 8: [("aws_secret_access_key", None), (a, 1.0)], 9: [], 10: [("pa55word", 1.0), (b, None)], 11: [(a, None)] * 2}.items()}
+    assert {(r.doc_id, r.value) for r in secret_scan.scan(docs).collect() if r.is_secret} >= {(1, a), (1, c), (2, a), (3, jwt), (4, grid), (5, "hunter2xyz")}
+
+
 def test_pipeline_equals_its_operators(spark):
     docs = table(spark, SF, "documents")
     columns = docs.columns
