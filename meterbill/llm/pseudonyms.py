@@ -5,7 +5,8 @@ and e-mail addresses) are replaced by other valid values of the same format.  A
 its format's domain, permuted by a keyed Feistel network on that domain (cycle walking keeps it inside), and
 written back with its separators, so equal values get equal pseudonyms in every document and the mapping can be
 undone with the key.  Check digits are recomputed, so a pseudonym validates as the original did; digit runs that
-fail validation are left alone.
+fail validation are left alone.  Where a value of one kind does not validate, the other kinds are tried at the same place; digits
+grouped by both spaces and hyphens are no card if a phone or social security number is among them.
 
 What is permuted: cards - all digits but the check digit and the first (the scheme); phones - the digits after the
 country code; social security numbers - within the assignable area, group and serial ranges; IBANs - the account
@@ -38,15 +39,18 @@ DAYS = datetime.date(2100, 1, 1).toordinal() - EPOCH
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-# One alternation; a value starts and ends where no letter or digit continues it.
-FINDER = re.compile(r"""(?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})(?![\w-])
-  | (?<![\w])(?P<iban>[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])
-  | (?<![\w.+-])(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?![\w-]|\.\d)
-  | (?<![\w.-])(?P<date>(?:19|20)\d\d(?P<ds>[-/.])\d{1,2}(?P=ds)\d{1,2} | \d{1,2}(?P<es>[-/.])\d{1,2}(?P=es)(?:19|20)\d\d)(?![\w-]|\.\d)
-  | (?<![\w.-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])
-  | (?<![\w.+-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w]|[.,-]\d)
-  | (?<![\w.])(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4} | \+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4} | \(\d{3}\)[ ]?\d{3}[ .-]\d{4} | \d{3}[.-]\d{3}[.-]\d{4})(?![\w-])
-""", re.X)
+# By kind, the first first; a value starts and ends where no letter or digit continues it.
+PATTERNS = {
+    "email": r"""(?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})(?![\w-])""",
+    "iban": r"""(?<![\w])(?P<iban>[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])""",
+    "ip": r"""(?<![\w.+-])(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?![\w-]|\.\d)""",
+    "date": r"""(?<![\w.-])(?P<date>(?:19|20)\d\d(?P<ds>[-/.])\d{1,2}(?P=ds)\d{1,2} | \d{1,2}(?P<es>[-/.])\d{1,2}(?P=es)(?:19|20)\d\d)(?![\w-]|\.\d)""",
+    "ssn": r"""(?<![\w.-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])""",
+    "card": r"""(?<![\w.+-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w]|[.,-]\d)""",
+    "phone": r"""(?<![\w.])(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4} | \+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4} | \(\d{3}\)[ ]?\d{3}[ .-]\d{4} | \d{3}[.-]\d{3}[.-]\d{4})(?![\w-])""",
+}
+FINDER = re.compile("|".join(PATTERNS.values()), re.X)
+KINDS = {kind: re.compile(x, re.X) for kind, x in PATTERNS.items()}
 # A text without any of these has no value of the kinds above.
 HINT = re.compile(r"@|\d[\d ()./+-]{5}|[A-Z]{2}\d\d|\(\d")
 
@@ -213,11 +217,17 @@ class Pseudonyms:
         out, spans, at, look = [], [], 0, 0
         while m := FINDER.search(text, look):
             kind = m.lastgroup if m.lastgroup not in ("ds", "es") else "date"
-            found = m.group(kind)
-            new = self.value(kind, found)
-            while new is None and " " in found:      # a shorter value before a space, as in a phone number before a card
-                found = found[:found.rfind(" ")]
-                new = self.value(kind, found) if FINDER.fullmatch(found) else None
+            new = None
+            for kind in list(KINDS)[list(KINDS).index(kind):]:      # no kind before it matches here
+                if own := KINDS[kind].match(text, m.start()):
+                    found = own.group(kind)
+                    new = None if kind == "card" and _joined(text, *own.span()) else self.value(kind, found)
+                    while new is None and " " in found:      # a shorter value before a space, as in a phone number before a card
+                        found = found[:found.rfind(" ")]
+                        joined = kind == "card" and _joined(text, m.start(), m.start() + len(found))
+                        new = self.value(kind, found) if KINDS[kind].fullmatch(found) and not joined else None
+                    if new is not None:
+                        break
             if new is None:
                 look = m.start() + 1
                 continue
@@ -227,6 +237,12 @@ class Pseudonyms:
         return "".join(out) + text[at:], spans
 
 
+def _joined(text: str, start: int, end: int) -> bool:
+    """Whether digits grouped by both spaces and hyphens hold a phone or social security number, and so are no one card."""
+    found = text[start:end]
+    return " " in found and "-" in found and any(KINDS[k].search(text, start, end + 1) for k in ("ssn", "phone"))
+
+
 def _refill(shape: str, symbols: str) -> str:
     """``symbols`` put in the places of the letters and digits of ``shape``."""
     rest = iter(symbols)

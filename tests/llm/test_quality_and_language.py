@@ -175,6 +175,21 @@ def test_neighbouring_values_are_all_found(names):
     assert not set(text.split()[3:]) & set(new.split()) - {"and"}
 
 
+@pytest.mark.parametrize("text,phones", [
+    ("call 212-555-0187 1200 y", ["212-555-0187"]), ("555-123-4567 555 987 6543", ["555-123-4567"]), ("on 1200 212-555-0187 y", ["212-555-0187"]),
+    ("212-555-0187 555-123-4567", ["212-555-0187", "555-123-4567"]), *[(f"a 555-123-4567 {n} z", ["555-123-4567"]) for n in range(2020, 2040)],
+    *[(f"a {n} 555-123-4567 z", ["555-123-4567"]) for n in range(2020, 2040)]])
+def test_phones_beside_other_digits_are_found(names, text, phones):
+    new, spans = names.replace(text)
+    assert [(k, text[a:b]) for k, a, b in spans] == [("phone", p) for p in phones]
+    assert not any(p in new for p in phones) and all(names.replace(p)[0] in new for p in phones)
+
+
+def test_cards_of_any_grouping_are_found(names):
+    for card in ("4111 1111 1111 1111", "4111-1111-1111-1111", "4111-1111 1111-1111", "3782 822463 10005", "4111111111111111"):
+        assert names.replace(f"a {card} z")[1] == [("card", 2, 2 + len(card))]
+
+
 def test_values_link_across_documents_and_nothing_else_changes(spark):
     docs = table(spark, SF, "documents")
     before = {r.doc_id: r.text for r in docs.collect()}
