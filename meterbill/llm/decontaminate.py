@@ -1,7 +1,8 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
 A document is contaminated by a benchmark item if some passage of it is within
-``(1 - similarity) * n`` word edits of the item's ``n`` words (words are runs of letters and digits, lower-cased).
+``(1 - similarity) * n`` word edits of the item's ``n`` words (words are runs of letters and digits, lower-cased; in
+Chinese, Japanese kana, Thai, Lao, Khmer and Burmese, which set no spaces, every character is a word).
 
 Windows as long as the item (to 15 %) are embedded by the CGK random walk: reading position ``p`` advances at each of
 ``2 n`` steps by a random bit of (step, symbol), so that few edits between two windows become few differing
@@ -16,21 +17,23 @@ Before the walk a count filter drops windows that cannot match: an item within `
 The documents are read once per block of items and never shuffled.  The benchmark is the stated query set; its
 distinct texts are taken in blocks of ``BLOCK_CHARS``, and each block's index is broadcast.
 
-Defined cases: NULL or empty texts of documents or items never match; items under ``MIN_WORDS`` words are too
-short to be evidence and never match; repeated items are all reported; repeated documents each get their rows;
+Defined cases: NULL or empty texts of documents or items never match; of items under ``MIN_WORDS`` words
+only exact passages match, found by the hash of the whole run, down to items of one word; items without a word never match; repeated items are all reported; repeated documents each get their rows;
 of several matching passages for one item the one with the fewest edits, then the first, is reported; empty
 tables give empty results; extra columns are ignored by ``search`` and kept by ``drop``.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbill.llm.common import chunks, packed, unpacked
-from meterbill.llm.wordhash import PLAIN, mix, word_hashes
+from meterbill.llm.wordhash import PLAIN, mix, shingles, word_hashes
 
 SIMILARITY = 0.8
 MIN_WORDS = 8
@@ -41,9 +44,16 @@ SLICE = 4096                       # windows embedded at once
 PAIR_BITS = 22
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 PAD = np.uint64(0x7F4A7C159E3779B9)  # the symbol past a window's end
+# Scripts without spaces, and the marks between their sentences.
+UNSPACED = re.compile("[\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecd\u1000-\u1049\u1050-\u109f\u1780-\u17d3\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029"
+                      "\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3100-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                      "\uff66-\uff9f\U00020000-\U000323af]")
+MARKS = re.compile("[\u0e4f\u0e5a\u0e5b\u104a-\u104f\u17d4-\u17da\u3000-\u3003\u3008-\u3020\u3030\u30a0\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 
 
 def words_of(text: str | None) -> np.ndarray:
+    if text and not text.isascii():
+        text = UNSPACED.sub(r" \g<0> ", MARKS.sub(" ", text))
     return word_hashes((text or "").lower().encode("utf-8", "surrogatepass"), PLAIN)
 
 
@@ -73,9 +83,15 @@ class ItemIndex:
                  samples: int = SAMPLES, seed: int = 7) -> None:
         self.similarity, self.repetitions, self.samples = similarity, repetitions, samples
         words = [words_of(t) for t in texts]
-        self.items = {i: w for i, w in enumerate(words) if len(w) >= MIN_WORDS}
+        self.items = {i: w for i, w in enumerate(words) if len(w)}
+        long = {i: w for i, w in self.items.items() if len(w) >= MIN_WORDS}
+        self.short = []                # (words, sorted hashes, items) of the items of each length below
+        for n in sorted({len(w) for w in self.items.values()} - {len(w) for w in long.values()}):
+            own = np.array([i for i, w in self.items.items() if len(w) == n])
+            h = np.array([shingles(self.items[i], n)[0] for i in own.tolist()])
+            self.short.append((n, np.sort(h), own[np.argsort(h, kind="stable")]))
         self.parts = []                # (item, offset in the item, words) of every segment
-        for i, w in self.items.items():
+        for i, w in long.items():
             edges = np.linspace(0, len(w), -(-len(w) // SEGMENT) + 1).astype(int).tolist()
             self.parts += [(i, a, w[a:b]) for a, b in zip(edges, edges[1:])]
         lengths = sorted({len(w) for _, _, w in self.parts})
@@ -83,7 +99,7 @@ class ItemIndex:
         rng = np.random.default_rng(seed)
         self.odd = rng.integers(0, 1 << 63, (repetitions, 2 * self.longest), np.uint64) * np.uint64(2) + np.uint64(1)
         self.pairs = np.zeros(1 << PAIR_BITS, bool)
-        for w in self.items.values():
+        for w in long.values():
             self.pairs[self._pair(w)] = True
         # Lengths in classes of up to 15 %: a window is as long as the longest item of its class.  Positions are
         # sampled where a walk still reads words of the shortest (a step advances by one half on average).
@@ -124,6 +140,20 @@ class ItemIndex:
             np.minimum(point, last, out=point)
         return mix(key).T
 
+    def _exact(self, whole: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """What ``search`` gives for the short items: the first exact passage of each pair."""
+        out = []
+        for n, hashes, items in self.short:
+            runs = shingles(whole, n)
+            low, high = np.searchsorted(hashes, runs, "left"), np.searchsorted(hashes, runs, "right")
+            at = np.flatnonzero(high > low)
+            text = np.searchsorted(bounds, at, "right") - 1
+            first = np.unique(np.stack([text, low[at]]), axis=1, return_index=True)[1]   # of a text and run
+            for p, t in zip(at[first].tolist(), text[first].tolist()):
+                start = p - int(bounds[t])
+                out += [(t, i, 0, start, start + n) for i in items[low[p]:high[p]].tolist() if (whole[p:p + n] == self.items[i]).all()]
+        return out
+
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, edits, first word, word after the last) of the best passage of each pair."""
         if not self.items:
@@ -149,7 +179,7 @@ class ItemIndex:
                     for part in self.which[low[i, r]:high[i, r]].tolist():
                         item, offset, _ = self.parts[part]
                         found.setdefault((text, item), set()).add(max(int(s[i]) - offset, int(bounds[text])))
-        out = []
+        out = self._exact(whole, bounds)
         for (text, item), at in sorted(found.items()):
             w, own = self.items[item], words[text]
             edits = allowed_edits(len(w), self.similarity)

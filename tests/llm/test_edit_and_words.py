@@ -102,6 +102,16 @@ def test_recall_does_not_fall_with_the_length_of_items(n, share):
     assert len(got) >= (0.9 if n < 40 else 0.97) * len(want)
 
 
+def test_short_items_match_exactly_and_characters_are_words_without_spaces():
+    chinese = "今天天气很好我们一起去公园散步然后回家吃饭"
+    thai = "ประเทศไทยมีเมืองหลวงคือกรุงเทพ"
+    index = decontaminate.ItemIndex(["What is the capital?", "what IS the capital", "Zyzzyva", chinese, "北京。", "", thai])
+    near = chinese[:5] + "不" + chinese[6:]
+    texts = ["So what is the capital of it, what is the capital", "what is a capital", "a zyzzyva x zyzzyva", f"他说：“{near}。”", "去北京吧", "北方京城", None, "", f"x{thai}y"]
+    assert sorted(index.search(texts)) == [(0, 0, 0, 1, 5), (0, 1, 0, 1, 5), (2, 2, 0, 1, 2), (3, 3, 1, 3, 3 + len(chinese)), (4, 4, 0, 1, 3), (8, 6, 0, 1, 1 + len(thai))]
+    assert decontaminate.ItemIndex(["too short"]).search(["not too short", "too", None]) == [(0, 0, 0, 1, 3)]
+
+
 def test_exact_passages_are_all_found(spark):
     bench = {r.item_id: r.text for r in table(spark, SF, "benchmark").collect()}
     docs = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
