@@ -67,6 +67,12 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             label = label[label]
 
 
+def contract_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from every node to the smallest of its component, in place of the links a - b."""
+    node, root = _stars(a, b)
+    return node[node != root], root[node != root]
+
+
 def contracted_components(edges: DataFrame) -> DataFrame:
     """``connected_components`` for edges between long ids, with few rounds."""
     a, b = edges.columns[:2]

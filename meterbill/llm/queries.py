@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from meterbill.llm import decontaminate, language_id, ngram_join, page_text, pieces, pseudonyms, quality, secret_scan, sentence_spans, url_filter
+from meterbill.llm import (collocations, decontaminate, filter_audit, language_id, ngram_join, page_text, pieces, pseudonyms, quality,
+                           secret_scan, sentence_spans, simhash, url_filter)
 from meterbill.llm.common import table
 
 
@@ -67,6 +68,21 @@ def op10_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "lang", "source", "distance")
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    """Each language's first 2,000 phrases by collocation score."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    """What every step of every order of five filters removes, per language, with the filters' Shapley values."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_simhash_near_duplicates(spark, sf_dir):
+    """Fingerprint of every document and its component under at most four differing bits."""
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_substring_dedup,
@@ -78,6 +94,9 @@ QUERIES = {f.__name__: f for f in (
     op8_secret_scans,
     op9_pii,
     op10_quality_rules,
+    op11_phrase_collocations,
+    op12_filter_audit,
+    op13_simhash_near_duplicates,
 )}
 
 _URL_PARTS = """
@@ -154,5 +173,70 @@ reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from
 select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, r.component_id
 from documents d left join sizes s using (doc_id)
 join (select a as doc_id, min(b) as component_id from reach group by 1) r using (doc_id)
+""",
+    "op11_phrase_collocations": """
+with recursive
+ps as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+ws as (select lang, list_filter(regexp_split_to_array(piece, '[ \\x09]+'), lambda w: w <> '') as w from ps),
+totals as (select lang, sum(len(w))::bigint as n from ws group by lang),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) as g
+  from ws, (values (1), (2), (3), (4), (5)) ks(k) where len(w) >= k),
+counts as (select lang, k, g, count(*)::bigint as f from grams group by lang, k, g having count(*) >= 100),
+cuts as (
+  select c.lang, c.g, c.f as a, x.k as cut, x.f as l, y.f as r, n, ((1000::hugeint * c.f * n) // (x.f::hugeint * y.f))::bigint as score
+  from counts c join totals using (lang) join counts x on x.lang = c.lang and x.k < c.k and x.g = c.g[1:x.k]
+  join counts y on y.lang = c.lang and y.k = c.k - x.k and y.g = c.g[x.k + 1:c.k]),
+best as (select * from cuts qualify row_number() over (partition by lang, g order by score, cut) = 1),
+inner_parts as (
+  select lang, f, g[i:i + s - 1] as g
+  from (select lang, f, g, k, s, unnest(range(1, k - s + 2)) as i from counts, (values (2), (3), (4)) ss(s) where s < k)),
+kept as (
+  select * from best b
+  where not exists (select 1 from inner_parts p where p.lang = b.lang and p.g = b.g and 100 * p.f >= 100 * b.a)),
+named as (select lang, array_to_string(g, ' ') as phrase, a, l, r, n, score from kept)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from named qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000
+""",
+    "op12_filter_audit": """
+with
+ds as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+  from documents),
+flags as (
+  select part, doc_id, len(w) < 100 as a, 100 * len(list_distinct(w)) < 80 * len(w) as b,
+         100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) as c, regexp_matches(t, '[#$%&*|]') as d,
+         coalesce(doc_id > min(doc_id) over (partition by t), false) as e
+  from ds),
+marks as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+docs as (
+  select part, if(a, 'A', '') || if(b, 'B', '') || if(c, 'C', '') || if(d, 'D', '') || if(e, 'E', '') as fails,
+         coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n
+  from flags left join marks using (doc_id) group by all),
+letters(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+  select p.x || q.x || r.x || s.x || t.x as filter_order from letters p, letters q, letters r, letters s, letters t
+  where len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps as (select filter_order, step, substr(filter_order, step, 1) as letter, substr(filter_order, 1, step - 1) as before
+          from orders, range(1, 6) g(step)),
+seen as (
+  select part, filter_order, step, letter, fails = letter as alone, good, toxic, n, contains(fails, letter) as now,
+         translate(fails, before, '') <> fails as gone
+  from docs, steps),
+rows as (
+  select part, filter_order, step, letter,
+         coalesce(sum(n) filter (where not gone and not now), 0)::bigint as kept, coalesce(sum(n) filter (where now and not gone), 0)::bigint as removed,
+         coalesce(sum(n) filter (where now and gone), 0)::bigint as redundant, coalesce(sum(n) filter (where alone), 0)::bigint as unique_fails,
+         coalesce(sum(n) filter (where now and not gone and good), 0)::bigint as good_lost,
+         coalesce(sum(n) filter (where now and not gone and toxic), 0)::bigint as toxic_lost
+  from seen group by part, filter_order, step, letter)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, letter))::bigint as shapley
+from rows
 """,
 }
