@@ -20,9 +20,12 @@ from meterbill.functions import predicates
 from meterbill.functions.predicates import flag_is, in_list, like_any, valid_at
 from meterbill.functions.rules import FIXTURE
 from meterbill.functions.text import FIXTURE_FIREBIRD_LABELS, FIXTURE_ORACLE_LABELS
+from meterbill.operators.asof import as_of_join
 from meterbill.operators.attributes import attribute_as_of, characteristic_id, to_number
+from meterbill.operators.bitmaps import rolled_up
 from meterbill.operators.intervals import covering_counts, range_join
 from meterbill.operators import periods as P
+from meterbill.operators.meter_state import MeterState
 from meterbill.operators.periods import CLOSED, OPEN, open_and_closed, period_scalar
 from meterbill.operators.readings import (grouped_multi_max, last_reading, latest_max_reading,
                                           period_volume)
@@ -31,7 +34,7 @@ from meterbill.plans.consolidate import consolidated_accounts, shard_accounts
 from meterbill.plans.extract import MeterExtract, rendered_addresses
 from meterbill.plans.monthly import MonthlyStats, metric_rows
 from meterbill.session import scratch_path
-from meterbill.sources import charset, sinks
+from meterbill.sources import charset, sharded, sinks
 from meterbill.sources.shards import BASES, read_shards
 from meterbill.sources.materialize import SharedParquet, to_shared_parquet
 from meterbill.sources.standins import Standins
@@ -116,11 +119,14 @@ def period_gate_append(spark, sf_dir):
 
 @query
 def flag_types(spark, sf_dir):
-    """Account versions by activity, from a source that holds the flag as text."""
-    t = _t(spark, sf_dir)
-    as_text = t.us_flat_account_ver.withColumn("is_active", F.concat(F.lit(" "), F.col("is_active").cast("string")))
-    typed = TypedTables(FrameMap({"us_flat_account_ver": as_text}))["us_flat_account_ver"]
-    return (typed.groupBy("is_active").agg(F.count("*").alias("versions"), F.count_if(flag_is("is_active")).alias("active"))
+    """Account versions by activity, from sources that hold the flag as text, as a number without a scale, as a
+    floating-point number and as a boolean (a quarter of the accounts each)."""
+    rows = _t(spark, sf_dir).us_flat_account_ver.select("us_flat_account_kid", "is_active")
+    flag = F.col("is_active")
+    sources = [F.concat(F.lit(" "), flag.cast("string")), flag.cast("decimal(38,10)"), flag.cast("double"), flag.cast("boolean")]
+    parts = [TypedTables(FrameMap({"v": rows.filter(F.col("us_flat_account_kid") % 4 == i).withColumn("is_active", c)}))["v"]
+             for i, c in enumerate(sources)]
+    return (reduce(DataFrame.union, parts).groupBy("is_active").agg(F.count("*").alias("versions"), F.count_if(flag_is("is_active")).alias("active"))
             .select("is_active", "versions", "active"))
 
 
@@ -131,6 +137,18 @@ def shard_union(spark, sf_dir):
                        names=("ls", "fio", "close_ls", "data_my"))
 
 
+@query
+def sharded_source(spark, sf_dir):
+    """The shards, kept as one Parquet folder each, read as one source: newest snapshots, four readers at most."""
+    rows = reduce(DataFrame.unionByName, [_shard_reader(_t(spark, sf_dir))(b)["nanim"].withColumn("base", F.lit(b)) for b in BASES])
+    path = scratch_path(spark, "file-shards")
+    rows.write.partitionBy("base").parquet(path)
+    sharded.register(spark)
+    shards = (spark.read.format("shards").schema(rows.schema).option("path", path + "/base={base}")
+              .option("bases", ",".join(map(str, BASES))).option("newest", "data_my").load())
+    return shards.select("base", F.col("lic").alias("ls"), "fio", "close_ls", "data_my")
+
+
 @query
 def shard_completeness(spark, sf_dir):
     # one shard is not read; the others count as read by their status, with or without rows
@@ -167,6 +185,15 @@ def report_sink(spark, sf_dir):
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+@query
+def extract_sink(spark, sf_dir):
+    """The meter extract as sorted CSV parts, read back."""
+    report = _extract(spark, sf_dir).report()
+    path = scratch_path(spark, "meter-extract")
+    sinks.ordered_sink(report, path)
+    return reduce(DataFrame.union, sinks.read_parts(spark, path, report.schema))
+
+
 @query
 def decode_legacy_charset(spark, sf_dir):
     """Customer names with a Cyrillic prefix as WIN1251 bytes, and back."""
@@ -374,6 +401,33 @@ def as_of_attribute(spark, sf_dir):
     return a.select("object_id", to_number("text_value").alias("value"))
 
 
+@query("as_of_join")
+def _as_of_join(spark, sf_dir):
+    """Every event's user looked up at a date of the event's own, in versions that overlap."""
+    t = _t(spark, sf_dir)
+    own = F.when(F.col("event_id") % 2 == 0, F.lit(ATTRIBUTE_CODE.lower())).otherwise(F.col("event_type"))
+    taken = F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") % 97 - 48).cast("int"))
+    lookups = t.events.select("event_id", F.col("user_id").alias("object_id"), own.alias("cn_chrct_id"),
+                              F.when(F.col("event_id") % 11 != 0, taken).alias("taken_at"))
+    longer = F.when(F.col("date_end") < F.lit("9999-01-01").cast("date"), F.col("date_end") + F.make_dt_interval(days=F.lit(2))) \
+        .otherwise(F.col("date_end"))
+    versions = t.attributes.withColumn("date_end", longer)
+    return as_of_join(lookups, versions, ("object_id", "cn_chrct_id"), "taken_at")
+
+
+@query("meter_state_merge")
+def _meter_state_merge(spark, sf_dir):
+    """Volumes from a state that the readings reach in three deliveries, some of them late, some wrong at first."""
+    readings = _t(spark, sf_dir).cd_indication
+    state = MeterState(spark, scratch_path(spark, "meter-state"), order=READING_ORDER, buckets=16)
+    part, late, wrong = F.col("bl_bill_id") % 2, F.col("cd_cntr_kid") % 5 == 0, F.col("cd_cntr_kid") % 7 == 0
+    state.merge(readings.filter((part == 0) & ~late))
+    state.merge(readings.filter(part == 1).withColumn("value", F.when(wrong, F.col("value") + 1000).otherwise(F.col("value"))))
+    put_right = readings.filter((part == 1) & wrong)
+    state.merge(readings.filter((part == 0) & late).union(put_right), corrected=put_right.select("cd_cntr_kid", "bl_bill_id"))
+    return state.volumes()
+
+
 @query("period_volume")
 def _period_volume(spark, sf_dir):
     return period_volume(_t(spark, sf_dir).cd_indication)
@@ -422,6 +476,14 @@ def accounts_by_source(spark, sf_dir):
     return _stats(spark, sf_dir).m04()
 
 
+@query
+def accounts_by_source_bitmap(spark, sf_dir):
+    """Accounts with a counting reading per channel, and in all (channel NULL), from one set of bitmaps."""
+    bitmaps = to_shared_parquet(_stats(spark, sf_dir).reading_bitmaps(), "reading-bitmaps")
+    total = rolled_up(bitmaps, (), out="accounts").select(F.lit(None).cast("string").alias("channel"), "accounts")
+    return rolled_up(bitmaps, ("channel",), out="accounts").union(total)
+
+
 # ------------------------------------------------------------------ reports
 @query
 def monthly_report(spark, sf_dir):
@@ -435,4 +497,5 @@ def meter_extract(spark, sf_dir):
 
 @query
 def meter_extract_whitelisted(spark, sf_dir):
-    return _extract(spark, sf_dir).report(whitelist=WHITELIST)
+    extract = MeterExtract(_t(spark, sf_dir), FIXTURE, FIXTURE_ORACLE_LABELS, AS_OF, READING_ORDER, materialize=to_shared_parquet)
+    return extract.report(whitelist=WHITELIST)

@@ -56,8 +56,9 @@ def attributes_as_of(attrs: DataFrame, characteristics: dict[str, Column | str],
     return grouped.select(object_col, *[F.col(f"_{out}.{value_col}").alias(out) for out in ids])
 
 
-def to_number(c: Column | str, *, lenient: bool = False) -> Column:
+def to_number(c: Column | str, *, lenient: bool = False, number: str = "double") -> Column:
     """Text to number.  Strict (ANSI cast, raises on bad text like the source
-    database) by default; ``lenient`` yields NULL instead."""
+    database) by default; ``lenient`` yields NULL instead.  ``number`` is the type it gives,
+    e.g. ``decimal(18,4)`` where the source's numbers are decimals."""
     col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast("double") if lenient else col.cast("double")
+    return col.try_cast(number) if lenient else col.cast(number)

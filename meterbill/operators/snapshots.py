@@ -22,6 +22,16 @@ def latest_snapshot_per_base(df: DataFrame, base: str = "base", stamp: str = "da
     return df.join(newest, on=[base, stamp], how="left_semi")
 
 
+def newest_rows(df: DataFrame, stamp: str = "data_my") -> DataFrame:
+    """The rows of one shard that carry its newest ``stamp``.
+
+    The newest stamp is a scalar subquery: an aggregate over the stamp alone, whose answer is known before the rows
+    are scanned.  On snapshots laid out by stamp it prunes partitions at run time, and reads no column
+    file of an old snapshot; on other Parquet tables it reaches the scan as a filter.  No rows, or NULL stamps only: no rows.
+    """
+    return df.filter(F.col(stamp) == df.agg(F.max(stamp)).scalar())
+
+
 def missing_bases(read: DataFrame, bases: Sequence[int], base: str = "base") -> DataFrame:
     """Expected shard ids that were not read: ``read`` has one row per shard whose
     read succeeded, with any number of rows (an empty shard is a read shard)."""

@@ -1,9 +1,8 @@
 """Shard consolidation: newest snapshot of every shard, address rendered,
 tagged with the shard id, published as one full refresh.
 
-Plan: every shard's accounts and address dimensions are read once, under the
-connection cap, into the shared folder; each shard's newest snapshot (a per-shard
-max and a semi-join) is joined with its own dimensions on (base, id).
+Plan: every shard's newest snapshot (filtered where it is read) and address dimensions are read once, under the
+connection cap, into the shared folder; the snapshot rows are joined with their own shard's dimensions on (base, id).
 """
 
 from __future__ import annotations
@@ -14,12 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbill.functions.text import FirebirdAddressLabels, address_null_propagating
-from meterbill.operators.snapshots import assert_complete, latest_snapshot_per_base
+from meterbill.operators.snapshots import assert_complete
 from meterbill.sources.shards import MAX_PARALLEL_READS, TARGET_COLUMNS, stage_shards
 from meterbill.sources.sinks import full_refresh
 
 ShardTables = Callable[[int], dict[str, DataFrame]]
-TABLES = ("nanim", "dom", "ulicy", "city")
+# What the target needs of each shard table.
+COLUMNS = {
+    "nanim": ("lic", "fio", "close_ls", "adres_id", "kv", "kv2", "data_my"),
+    "dom": ("id", "ul_id", "dom", "dom2", "korp"),
+    "ulicy": ("id", "name", "city_id"),
+    "city": ("id", "name"),
+}
 
 
 def render_accounts(a: DataFrame, dom: DataFrame, ulicy: DataFrame, city: DataFrame,
@@ -52,16 +57,15 @@ def consolidated_accounts(read_shard: ShardTables, bases: Sequence[int], labels:
                           max_parallel: int = MAX_PARALLEL_READS) -> DataFrame:
     """All shards' newest snapshots in the target column order.
 
-    Accounts and dimensions of every shard are staged once under the read cap;
-    completeness is checked on what was read; the newest snapshot, the joins on
+    Newest snapshot and dimensions of every shard are staged once under the read
+    cap, so no older snapshot is written; completeness is checked on what was read; the joins on
     (base, id) and the rendering then run on the staged tables at full
-    parallelism.  Shard readers over databases should answer with their newest
+    parallelism.  Shard readers over databases answer with their newest
     snapshot only (``newest_snapshot_sql``); the filter here keeps that result.
     """
-    staged, read = stage_shards(read_shard, bases, TABLES, max_parallel=max_parallel)
+    staged, read = stage_shards(read_shard, bases, tuple(COLUMNS), max_parallel=max_parallel, newest={"nanim": "data_my"}, columns=COLUMNS)
     assert_complete(read, bases)
-    newest = latest_snapshot_per_base(staged["nanim"], "base", "data_my")
-    rendered = render_accounts(newest, staged["dom"], staged["ulicy"], staged["city"], labels, keys=("base",))
+    rendered = render_accounts(staged["nanim"], staged["dom"], staged["ulicy"], staged["city"], labels, keys=("base",))
     return rendered.select(*TARGET_COLUMNS)
 
 

@@ -14,9 +14,11 @@ from meterbill.functions.rules import EXTRACT_COLUMNS, Rules
 from meterbill.functions.text import OracleAddressLabels, address_null_as_empty
 from meterbill.operators.attributes import (attribute_as_of, attributes_as_of, characteristic_id,
                                             to_number)
+from meterbill.operators.membership import key_filter
 from meterbill.operators.periods import OPEN, current_period
 from meterbill.operators.readings import READING_ORDER, meter_summary
 from meterbill.plans.tables import BillingTables
+from meterbill.sources.materialize import Materializer, lazy
 
 Whitelist = Sequence[tuple[str, Iterable[int]]]
 
@@ -70,11 +72,13 @@ class MeterExtract:
     """The meter extract over one set of billing tables.
 
     ``as_of`` is the extract's "now" (by default the time of construction);
-    ``reading_order`` names the columns that say which reading is the last.
+    ``reading_order`` names the columns that say which reading is the last;
+    ``materialize`` keeps the rows of a whitelisted extract, which are read twice.
     """
 
     def __init__(self, tables: BillingTables, rules: Rules, labels: OracleAddressLabels,
-                 as_of: AsOf = None, reading_order: Sequence[str] = READING_ORDER):
+                 as_of: AsOf = None, reading_order: Sequence[str] = READING_ORDER,
+                 materialize: Materializer = lazy):
         self.t = tables
         self.rules = rules
         self.labels = labels
@@ -83,6 +87,7 @@ class MeterExtract:
             as_of = spark.sql("select cast(current_timestamp() as string)").first()[0]
         self.as_of = as_of_value(as_of)
         self.reading_order = reading_order
+        self.materialize = materialize
 
     def attribute(self, code: str, out: str) -> DataFrame:
         ch = characteristic_id(self.t, self.rules.attribute_type, code)
@@ -131,11 +136,17 @@ class MeterExtract:
         summary = meter_summary(self.t["cd_indication"], period_id, order=self.reading_order)
         return summary.select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"))
 
-    def meter_facts(self, period_id) -> DataFrame:
+    def meter_facts(self, period_id, wanted: DataFrame | None = None) -> DataFrame:
         """Per meter: volume of the period and last reading with its source
-        name - one aggregate over the readings (see ``meter_summary``)."""
+        name - one aggregate over the readings (see ``meter_summary``).
+
+        With ``wanted`` meters (one column), readings of others are left out where they are
+        scanned, by a filter that may let some of them through; the caller's join on the meter is exact."""
+        readings = self.t["cd_indication"]
+        if wanted is not None:
+            readings = readings.filter(key_filter(wanted)("cd_cntr_kid"))
         src = self.t["cd_indication_source"].select("cd_indic_src_id", F.col("name").alias("src_name"))
-        summary = meter_summary(self.t["cd_indication"], period_id, order=self.reading_order)
+        summary = meter_summary(readings, period_id, order=self.reading_order)
         return (summary.join(src, "cd_indic_src_id", "left")
                 .select(F.col("cd_cntr_kid").alias("meter_id"), F.col("volume").alias("meter_volume"),
                         F.col("value").alias("last_value"), F.col("date_ind_take").alias("last_date"),
@@ -191,10 +202,13 @@ class MeterExtract:
                 .withColumn("bl_bill_id", open_id).filter(F.col("bl_bill_id").isNotNull()))
 
     def rows(self, whitelist: Whitelist | None = None) -> DataFrame:
-        body = self.base_rows(whitelist)
+        body, wanted = self.base_rows(whitelist), None
+        if whitelist is not None:
+            body = self.materialize(body, "extract-rows")
+            wanted = body.select("meter_id")
         # the readings arrive as one row per meter
         open_id = current_period(self.t["bl_bill_periods"], OPEN).select("bl_bill_id").scalar()
-        body = body.join(self.meter_facts(open_id), "meter_id", "left")
+        body = body.join(self.meter_facts(open_id, wanted), "meter_id", "left")
         volume = F.when(F.col("service") == F.lit(self.rules.stormwater_service),
                         to_number("storm_attr")).otherwise(F.col("meter_volume"))
         return body.select(

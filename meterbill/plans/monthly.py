@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from meterbill.functions.predicates import flag_is, in_list, like_any, not_like, valid_at
 from meterbill.functions.rules import REPORT_LABELS, SECTION_SEQS, Rules
+from meterbill.operators.bitmaps import member_bitmaps
 from meterbill.operators.periods import CLOSED, current_period
 from meterbill.operators.readings import latest_max_reading
 from meterbill.plans.tables import BillingTables
@@ -149,15 +150,22 @@ class MonthlyStats:
                     .distinct())
         return self._once("meter_channels", build)
 
-    def reading_accounts(self) -> DataFrame:
-        """Distinct (channel, num_account) with a counting reading."""
+    def reading_accounts(self, distinct: bool = True) -> DataFrame:
+        """(channel, num_account) with a counting reading (M03/M04), each pair once if ``distinct``."""
         def build():
             meters = self.meter_channels().filter(in_list("channel", self.rules.reading_channels))
             svc = self.valid_bindings().join(meters, "cd_cntr_kid").select("cntr_service_key_id", "channel")
             acc = self.account_services().select("cntr_service_key_id", "num_account")
-            return acc.join(svc, "cntr_service_key_id").select("channel", "num_account").distinct()
+            pairs = acc.join(svc, "cntr_service_key_id").select("channel", "num_account")
+            return pairs.distinct() if distinct else pairs
         return build()
 
+    def reading_bitmaps(self) -> DataFrame:
+        """M03 and M04 as exact bitmaps of accounts per period and channel; ``bitmaps.rolled_up`` counts
+        them by channel, by period or in all, of one period's rows or of many periods' rows put together."""
+        pairs = self.reading_accounts(distinct=False).withColumn("bl_bill_id", self.bill_id)
+        return member_bitmaps(pairs, ("bl_bill_id", "channel"), "num_account")
+
     def reading_contracts(self) -> DataFrame:
         """Distinct corporate contract numbers with a counting reading."""
         meters = (self.meter_channels().filter(in_list("channel", self.rules.corporate_channels))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from typing import Mapping, Protocol, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class BillingTables(Protocol):
@@ -34,6 +35,24 @@ class FrameMap:
 FLAG_COLUMNS = ("is_active", "close_ls")
 
 
+def integer_flag(flag: Column, declared: T.DataType, name: str) -> Column:
+    """A flag of any declared type as an integer.
+
+    Booleans become 0 and 1, numbers (a database NUMBER without a scale arrives as decimal) are
+    taken if they are whole, text is trimmed and read as a whole number.  Anything else fails the query, NULL stays NULL.
+    """
+    if isinstance(declared, T.BooleanType):
+        return flag.cast("int")
+    if isinstance(declared, T.NumericType):
+        number = flag.try_cast("int")
+        whole = number.isNotNull() & (number.cast(declared) == flag)
+    else:
+        number = F.trim(flag.cast("string")).try_cast("int")
+        whole = number.isNotNull()
+    bad = F.raise_error(F.concat(F.lit(f"{name} is no flag: "), flag.cast("string"))).cast("int")
+    return F.when(flag.isNull() | whole, number).otherwise(bad)
+
+
 class TypedTables:
     """A provider whose flag columns are integers, whatever the source declares.
 
@@ -49,11 +68,8 @@ class TypedTables:
     def __getitem__(self, name: str) -> DataFrame:
         df = self._tables[name]
         for c in self._flags:
-            if c in df.columns and dict(df.dtypes)[c] != "int":
-                flag = F.trim(F.col(c).cast("string"))
-                number = flag.try_cast("int")
-                bad = F.raise_error(F.concat(F.lit(f"{name}.{c} is no flag: "), flag)).cast("int")
-                df = df.withColumn(c, F.when(F.col(c).isNull() | number.isNotNull(), number).otherwise(bad))
+            if c in df.columns and df.schema[c].dataType != T.IntegerType():
+                df = df.withColumn(c, integer_flag(F.col(c), df.schema[c].dataType, f"{name}.{c}"))
         return df
 
     def __getattr__(self, name: str) -> DataFrame:

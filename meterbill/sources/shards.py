@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import logging
 from functools import reduce
-from typing import Callable, Sequence
+from types import MappingProxyType
+from typing import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterbill.operators.snapshots import newest_rows
+
 from meterbill.sources.materialize import to_shared_parquet
 
 log = logging.getLogger(__name__)
+SOURCE_ERRORS = (PySparkException, Py4JError, OSError)      # what a database, a file system or Spark raises for a source
 
 # ---------------------------------------------------------------------------
 # Fixed values of the consolidation job: shard ids and the concurrent-read cap.
@@ -46,11 +52,27 @@ def newest_snapshot_sql(table: str, stamp: str = "data_my", columns: Sequence[st
     return f"select {', '.join(columns)} from {table} where {stamp} = (select max({stamp}) from {table})"
 
 
+class ShardTypes(ValueError):
+    """A shard's table has a column of another type than the first shard's, or other columns."""
+
+
+def assert_same_types(frames: dict[int, DataFrame], table: str) -> None:
+    """Fail, naming the shards, if a table differs between them: a union would widen the types in silence."""
+    (first, expected), *others = [(b, df.dtypes) for b, df in frames.items()]
+    for b, found in others:
+        if found != expected:
+            raise ShardTypes(f"{table} of shard {b} is {found}, of shard {first} {expected}")
+
+
 def stage_shards(read_one: Callable[[int], dict[str, DataFrame]], bases: Sequence[int], names: Sequence[str], *,
-                 max_parallel: int = MAX_PARALLEL_READS, base_col: str = "base") -> tuple[dict[str, DataFrame], list[int]]:
+                 max_parallel: int = MAX_PARALLEL_READS, base_col: str = "base", newest: Mapping[str, str] = MappingProxyType({}),
+                 columns: Mapping[str, Sequence[str]] = MappingProxyType({})) -> tuple[dict[str, DataFrame], list[int]]:
     """Every shard's tables, each read once and kept in the shared folder, and the
     shards that were read.
 
+    ``newest`` names the stamp column of snapshot tables: of those each shard hands out its newest snapshot only (``newest_rows``), so
+    no older row is written.  ``columns`` names what is needed of a table; a shard's other columns are not read.
+
     One write job per table, coalesced to ``max_parallel`` tasks: at most that
     many source partitions are read at a time, and what works on the staged
     tables afterwards uses the whole cluster.  A shard that cannot be opened is
@@ -61,12 +83,16 @@ def stage_shards(read_one: Callable[[int], dict[str, DataFrame]], bases: Sequenc
     for b in bases:
         try:
             shards[b] = read_one(b)
-        except Exception as e:  # noqa: BLE001 - whatever a source raises: the shard is reported as not read
+        except SOURCE_ERRORS as e:      # the shard is reported as not read; a programming error is raised
             log.warning("shard %s not read: %s", b, e)
     if not shards:
         return {}, []
     staged = {}
     for name in names:
-        union = read_shards(lambda b, n=name: shards[b][n], list(shards), base_col=base_col)
+        frames = {b: tables[name].select(*columns.get(name, ["*"])) for b, tables in shards.items()}
+        assert_same_types(frames, name)
+        if name in newest:
+            frames = {b: newest_rows(df, newest[name]) for b, df in frames.items()}
+        union = read_shards(frames.__getitem__, list(frames), base_col=base_col)
         staged[name] = to_shared_parquet(union.coalesce(max_parallel), f"shards-{name}")
     return staged, list(shards)

@@ -10,21 +10,25 @@ run is retried next time instead of being skipped for the whole period.
 from __future__ import annotations
 
 from typing import Callable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from meterbill.operators.periods import period_gate
+from meterbill.sources.claims import Claim, ClaimLost
 from meterbill.sources.sinks import append_ledger
 
+STALE_AFTER = 2 * 60 * 60.0     # seconds; twice the longest a job may run
+
 LEDGER_SCHEMA = T.StructType([T.StructField("dag_name", T.StringType(), False),
                               T.StructField("exec_period", T.LongType(), False)])
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger table; an absent ledger is an empty one."""
+    """The ledger table; an absent ledger is an empty one.  A row that was appended twice is one row."""
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path).distinct()
     except Exception as e:  # noqa: BLE001 - only "path does not exist" is expected
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
@@ -32,17 +36,33 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_once_per_period(periods: DataFrame, ledger_path: str, job: str,
-                        work: Callable[[int], None]) -> int | None:
+                        work: Callable[[int], None], *, stale_after: float = STALE_AFTER) -> int | None:
     """Run ``work(period)`` if the open period was not processed yet.
 
-    Returns the processed period, or None when the gate is closed.  The gate
+    Returns the processed period, or None when the gate is closed or another run holds the period.  The gate
     frame has at most one row, so taking it to the driver is bounded.
+
+    Two schedulers may start at once: both can find the gate open, one gets the claim on (job, period).  The gate is
+    asked again under the claim, for a run that ended in between.  A claim older than ``stale_after`` seconds is a dead
+    run's and is taken over; a run that lost its claim that way appends nothing (``ClaimLost``).  Work that fails
+    gives the claim up, so the next run tries again.
     """
     spark = periods.sparkSession
-    gate = period_gate(periods, read_ledger(spark, ledger_path), job)
-    row = gate.first()
+    row = period_gate(periods, read_ledger(spark, ledger_path), job).first()
     if row is None:
         return None
-    work(int(row["exec_period"]))
-    append_ledger(spark.createDataFrame([(job, int(row["exec_period"]))], LEDGER_SCHEMA), ledger_path)
-    return int(row["exec_period"])
+    period = int(row["exec_period"])
+    claim = Claim(spark, f"{ledger_path.rstrip('/')}-claims/{quote(job, safe='')}-{period}", stale_after)
+    if not claim.take():
+        return None
+    try:
+        again = period_gate(periods, read_ledger(spark, ledger_path), job).first()
+        if again is None or int(again["exec_period"]) != period:
+            return None
+        work(period)
+        if not claim.held():
+            raise ClaimLost(f"{job} {period}: another run took the period over")
+        append_ledger(spark.createDataFrame([(job, period)], LEDGER_SCHEMA), ledger_path)
+    finally:
+        claim.release()
+    return period
