@@ -3,16 +3,19 @@
 Validated values (payment card numbers, phone numbers, social security numbers, IBANs, IPv4 addresses, dates
 and e-mail addresses) are replaced by other valid values of the same format.  A value is read as a number of
 its format's domain, permuted by a keyed Feistel network on that domain (cycle walking keeps it inside), and
-written back with its separators, so equal values get equal pseudonyms in every document and the mapping can be
-undone with the key.  Check digits are recomputed, so a pseudonym validates as the original did; digit runs that
+written back with its separators, so equal values get equal pseudonyms in every document, different values different
+ones, and the mapping can be undone with the key (``undo``).  Check digits are recomputed, so a pseudonym validates as the original did; digit runs that
 fail validation are left alone.  Where a value of one kind does not validate, the other kinds are tried at the same place; digits
 grouped by both spaces and hyphens are no card if a phone or social security number is among them.
 
 What is permuted: cards - all digits but the check digit and the first (the scheme); phones - the digits after the
-country code; social security numbers - within the assignable area, group and serial ranges; IBANs - the account
-digits and letters, then the check digits; IPv4 - all 32 bits; dates - the day within 1900-2099, in its own
-notation; e-mail - letters and digits of the local part, each within its kind (the domain is kept).
-A pseudonym never equals its original: a fixed point is walked on once more.
+country code (ten digits without one are a North American number, the same with +1 or without, and ten in pairs after a 0 a French
+one); social security numbers - within the assignable area, group and serial ranges; IBANs - the account
+digits and letters, then the check digits; IPv4 - all 32 bits; dates - the day within 1900-2099, days up to the 12th and
+later ones each among themselves, so that a date reads the same way afterwards and is the same day in every notation;
+e-mail - letters and digits of the local part, each within its kind (the domain is kept).
+A pseudonym never equals its original: the permutation is a cyclic shift seen through the Feistel network (network,
+shift by a keyed number other than 0, network backwards), which is one-to-one and moves every value.
 
 Defined cases: NULL text stays NULL, empty text stays empty; texts of any length are searched whole; repeated rows
 get equal results; other columns are returned as they are; an empty table gives an empty result.
@@ -32,7 +35,6 @@ from pyspark.sql import DataFrame
 
 from meterbill.llm.common import chunks, packed, unpacked
 
-KEY = b"replace-this-key-in-production"
 ROUNDS = 8
 EPOCH = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - EPOCH
@@ -44,11 +46,12 @@ PATTERNS = {
     "email": r"""(?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})(?![\w-])""",
     "iban": r"""(?<![\w])(?P<iban>[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])""",
     "ip": r"""(?<![\w.+-])(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?![\w-]|\.\d)""",
-    "date": r"""(?<![\w.-])(?P<date>(?:19|20)\d\d(?P<ds>[-/.])\d{1,2}(?P=ds)\d{1,2} | \d{1,2}(?P<es>[-/.])\d{1,2}(?P=es)(?:19|20)\d\d)(?![\w-]|\.\d)""",
+    "date": r"""(?<![\w.-])(?P<date>(?:19|20)\d\d(?P<ds>[-/.])\d{1,2}(?P=ds)\d{1,2} | \d{1,2}(?P<es>[-/.])\d{1,2}(?P=es)(?:19|20)\d\d)(?=T\d\d:|(?![\w-]|\.\d))""",
     "ssn": r"""(?<![\w.-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])""",
     "card": r"""(?<![\w.+-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w]|[.,-]\d)""",
-    "phone": r"""(?<![\w.])(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4} | \+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4} | \(\d{3}\)[ ]?\d{3}[ .-]\d{4} | \d{3}[.-]\d{3}[.-]\d{4})(?![\w-])""",
+    "phone": r"""(?<![\w.])(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4} | \+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4} | \(\d{3}\)[ ]?\d{3}[ .-]\d{4} | \d{3}[.-]\d{3}[.-]\d{4} | 0[1-9](?:[ .]\d\d){4})(?![\w-])""",
 }
+FRENCH = re.compile(r"0[1-9](?:[ .]\d\d){4}")
 FINDER = re.compile("|".join(PATTERNS.values()), re.X)
 KINDS = {kind: re.compile(x, re.X) for kind, x in PATTERNS.items()}
 # A text without any of these has no value of the kinds above.
@@ -69,11 +72,22 @@ def iban_check(country: str, account: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+@lru_cache(1)
+def _days() -> tuple[list[int], list[int], list[int]]:
+    """Numbers of the days up to the 12th of their month, of the later ones, and every day's place among its kind."""
+    kinds, place = ([], []), []
+    for n in range(DAYS):
+        kind = kinds[datetime.date.fromordinal(EPOCH + n).day > 12]
+        place.append(len(kind))
+        kind.append(n)
+    return *kinds, place
+
+
 class Pseudonyms:
-    """Keyed permutations of the formats' domains; equal values always meet equal pseudonyms."""
+    """Keyed permutations of the formats' domains without fixed points; ``forward`` off gives the originals back."""
 
-    def __init__(self, key: bytes = KEY, rounds: int = ROUNDS) -> None:
-        self.key, self.rounds = key, rounds
+    def __init__(self, key: bytes, rounds: int = ROUNDS, forward: bool = True) -> None:
+        self.key, self.rounds, self.forward = key, rounds, forward
         self.value = lru_cache(20_000)(self._value)
 
     def permute(self, x: int, size: int, tag: str, forward: bool = True) -> int:
@@ -88,6 +102,14 @@ class Pseudonyms:
             x = step(x, left, right, tag)
         return x
 
+    def move(self, x: int, size: int, tag: str) -> int:
+        """A keyed bijection of range(size) that leaves no number where it is (size 2 or more)."""
+        if size < 2:
+            return x
+        by = 1 + self._round(0, size, tag + "|shift", size - 1)
+        y = (self.permute(x, size, tag) + (by if self.forward else -by)) % size
+        return self.permute(y, size, tag, False)
+
     def _round(self, k: int, half: int, tag: str, modulus: int) -> int:
         mac = hmac.digest(self.key, b"%d|%s|%d|%d" % (k, tag.encode(), modulus, half), hashlib.blake2b)
         return int.from_bytes(mac[:24], "big") % modulus
@@ -110,7 +132,7 @@ class Pseudonyms:
                 b = (b - self._round(k, a, tag, right)) % right
         return a * right + b
 
-    def symbols(self, text: str, tag: str, forward: bool = True) -> str:
+    def symbols(self, text: str, tag: str) -> str:
         """Letters and digits of ``text`` permuted together, each place within its kind; the rest is kept."""
         kinds = [DIGITS if c in DIGITS else LOWER if c in LOWER else LOWER.upper() if c in LOWER.upper() else c for c in text]
         size, number = 1, 0
@@ -118,9 +140,7 @@ class Pseudonyms:
             size *= len(kind)
             number = number * len(kind) + kind.index(c)
         shape = tag + "|" + "".join(k[0] if len(k) > 1 else "_" for k in kinds)
-        y = self.permute(number, size, shape, forward)
-        if y == number and size > 1:
-            y = self.permute((number + 1) % size, size, shape, forward)
+        y = self.move(number, size, shape)
         out = []
         for kind in reversed(kinds):
             y, at = divmod(y, len(kind))
@@ -154,9 +174,7 @@ class Pseudonyms:
         if max(parts) > 255:
             return None
         number = int.from_bytes(bytes(parts), "big")
-        y = self.permute(number, 1 << 32, "ip")
-        if y == number:
-            y = self.permute((number + 1) % (1 << 32), 1 << 32, "ip")
+        y = self.move(number, 1 << 32, "ip")
         return ".".join(map(str, y.to_bytes(4, "big")))
 
     def _ssn(self, text: str) -> str | None:
@@ -165,10 +183,7 @@ class Pseudonyms:
             return None
         size = 898 * 99 * 9999
         number = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
-        y = self.permute(number, size, "ssn")
-        if y == number:
-            y = self.permute((number + 1) % size, size, "ssn")
-        y, serial = divmod(y, 9999)
+        y, serial = divmod(self.move(number, size, "ssn"), 9999)
         area, group = divmod(y, 99)
         area += 1
         return f"{area + (area >= 666):03d}-{group + 1:02d}-{serial + 1:04d}"
@@ -177,11 +192,19 @@ class Pseudonyms:
         digits = re.sub(r"\D", "", text)
         if not 9 <= len(digits) <= 15:
             return None
+        if FRENCH.fullmatch(text):        # the 0 stands for the country code
+            return _refill(text, "0" + self._subscriber("33", digits[1:]))
         if text[0] != "+":
-            return _refill(text, self.symbols(digits, "phone"))
+            return _refill(text, self._subscriber("1", digits))
         code = re.match(r"\+(1|7|[2-9]\d{0,2}?)(?=\D|$)|\+(1|7|\d\d)", text)
         code = (code[1] or code[2]) if code else digits[:2]
-        return _refill(text, code + self.symbols(digits[len(code):], "phone+" + code))
+        return _refill(text, code + self._subscriber(code, digits[len(code):]))
+
+    def _subscriber(self, code: str, digits: str) -> str:
+        """The digits after a country code; French ones start with no 0, before or after."""
+        if code == "33" and len(digits) == 9 and digits[0] != "0":
+            return str(10 ** 8 + self.move(int(digits) - 10 ** 8, 9 * 10 ** 8, "phone+33|french"))
+        return self.symbols(digits, "phone+" + code)
 
     def _date(self, text: str) -> str | None:
         sep = re.search(r"\D", text)[0]
@@ -197,13 +220,9 @@ class Pseudonyms:
         except ValueError:
             return None
         number = day.toordinal() - EPOCH
-        y = self.permute(number, DAYS, "date" + order)
-        if order == "mdy":
-            # only days that read month first alone: walk on until the day is past 12
-            while datetime.date.fromordinal(EPOCH + y).day <= 12:
-                y = self.permute(y, DAYS, "date" + order)
-        if y == number:
-            y = self.permute((number + 1) % DAYS, DAYS, "date" + order)
+        *kinds, place = _days()
+        kind = kinds[day.day > 12]
+        y = kind[self.move(place[number], len(kind), f"date{day.day > 12:d}")]
         new = datetime.date.fromordinal(EPOCH + y)
         field = {"y": new.year, "m": new.month, "d": new.day}
         pad = 2 if any(w == 2 and x[0] == "0" for w, x in zip(widths, (a, b, c)) if w <= 2) else 1
@@ -249,14 +268,19 @@ def _refill(shape: str, symbols: str) -> str:
     return "".join(next(rest) if c.isalnum() else c for c in shape)
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def undo(docs: DataFrame, key: bytes) -> DataFrame:
+    """``pseudonymise`` backwards: every value again; a date without leading zeros may come back with them."""
+    return pseudonymise(docs, key, forward=False)
+
+
+def pseudonymise(docs: DataFrame, key: bytes, *, forward: bool = True) -> DataFrame:
     """All columns and rows of ``docs``, with ``text`` replaced; one pass, no shuffle."""
     rows = packed(docs)
     columns = docs.columns
     kind = rows.schema["row"].dataType.simpleString()
 
     def run(batches):
-        names = Pseudonyms(key)
+        names = Pseudonyms(key, forward=forward)
         for piece in chunks(batches):
             row = piece.column(0)
             fields = [row.field(c) for c in columns]
@@ -267,7 +291,7 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return unpacked(rows.mapInArrow(run, f"row {kind}"), columns)
 
 
-def findings(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def findings(docs: DataFrame, key: bytes) -> DataFrame:
     """One row per document: doc_id, text (replaced), n_values, kinds (sorted, distinct), spans (kind, start, end)."""
     plain = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
 
