@@ -1,8 +1,8 @@
 """Language identification by compression.
 
 A text is compressed once per language, each time with a zstandard raw-content dictionary made of texts of that
-language; the language whose dictionary compresses it best is the prediction; sizes within TIE bytes (very short texts) are told apart by how often the dictionaries hold the text's
-letter triples.  Texts are reduced to lower-case
+language; the language whose dictionary compresses it best is the prediction; sizes within ``TIE`` bytes are told apart by how
+often the dictionaries hold the letter triples of the whole text.  Texts are reduced to lower-case
 letters with single spaces (digits, marks and line ends say nothing about a language) and compressed in pieces of
 ``PIECE`` bytes, each against the fresh dictionary, so that a long text cannot become its own dictionary; the sizes
 of all pieces count.  ``score`` is the share of the second-best size that the best one saves, scaled to 0..1; below
@@ -10,17 +10,21 @@ of all pieces count.  ``score`` is the share of the second-best size that the be
 
 Learning: from rows with a text and a non-null language whose crc32(doc_id as text) mod 3 is not 1.  Each
 language's dictionary is made of at most ``SLOTS`` documents (those with the least hash in each of ``SLOTS``
-slots of hashed ids, ``SAMPLE_CHARS`` characters of each at most) and ``DICTIONARY`` bytes: a bounded, documented sample.  At most ``LANGUAGES`` languages, the
-most frequent, are learned.
+slots of hashed ids, ``SAMPLE_CHARS`` characters of each at most) and ``DICTIONARY`` bytes: a bounded, documented sample.  Every label is learned;
+if there are over 200, each gets a smaller share (``shares``), so that what the driver holds stays bounded.
 
-Defined cases: NULL text, or a text without letters, gives ``und`` with score 0; texts are read whole; repeated
+Defined cases: NULL text, or a text without Unicode letters (digits, fractions and superscripts are none), gives ``und`` with score 0; texts are read whole; repeated
 rows get equal results; with no learnable row every text is ``und``; an empty table gives an empty result; extra
 columns are ignored; language, source and id are never inputs of a prediction.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import sys
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +37,15 @@ from meterbill.llm.common import chunks
 DICTIONARY = 96 * 1024
 SLOTS = 64
 SAMPLE_CHARS = 24 * 1024     # of a sampled document, at most
-LANGUAGES = 200
+DICTIONARIES = 200 * DICTIONARY    # bytes of all dictionaries together; with over 200 languages each gets a smaller one
 PIECE = 1024
 LEVEL = 6
 TIE = 3              # bytes within which sizes count as equal
-TIE_CHARS = 400      # of the text that decides between equal sizes
 MARGIN = 0.01
 UNKNOWN = "und"
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Letters by Unicode: \w also takes numbers that are no decimal digits, such as superscripts and fractions.
+NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
+NOT_LETTERS = re.compile(rf"[\W\d_{NUMBERS}]+")
 
 
 def letters_of(text: str | None) -> str:
@@ -52,7 +57,7 @@ class CompressionClassifier:
     """Prepared dictionaries by language."""
 
     def __init__(self, samples: dict[str, list[str]], size: int = DICTIONARY, level: int = LEVEL) -> None:
-        self.names, self.packers, self.data = [], [], []
+        self.names, self.packers, self.triples = [], [], []
         for name in sorted(samples):
             texts = [letters_of(t) for t in samples[name]]
             share = max(256, size // max(1, len(texts)))
@@ -72,7 +77,8 @@ class CompressionClassifier:
             book = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             book.precompute_compress(level)
             self.names.append(name)
-            self.data.append(data)
+            padded = b" " + data + b" "
+            self.triples.append(Counter(padded[i:i + 3] for i in range(len(padded) - 2)))
             self.packers.append(zstandard.ZstdCompressor(dict_data=book, write_checksum=False, write_content_size=False,
                                                          write_dict_id=False, level=level))
 
@@ -83,9 +89,10 @@ class CompressionClassifier:
         return np.array([sum(len(p.compress(x)) for x in pieces) for p in self.packers], float)
 
     def matches(self, text: str, i: int) -> float:
-        """How well a short text's letter triples are covered by dictionary i, for sizes that a few bytes decide."""
-        data = f" {text[:TIE_CHARS]} ".encode()
-        return sum(np.log1p(self.data[i].count(data[a:a + 3])) for a in range(len(data) - 2))
+        """How well the letter triples of the whole text are covered by dictionary i, for sizes that a few bytes decide."""
+        data = f" {text} ".encode()
+        found = Counter(data[a:a + 3] for a in range(len(data) - 2))
+        return sum(n * math.log1p(self.triples[i][t]) for t, n in found.items())
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, confident)."""
@@ -104,18 +111,24 @@ class CompressionClassifier:
         return self.names[best], min(1.0, 4 * margin), margin >= MARGIN
 
 
-def sample(docs: DataFrame, slots: int = SLOTS, languages: int = LANGUAGES) -> dict[str, list[str]]:
-    """The bounded training sample by language.  The choice reads doc_id and lang only; then the chosen texts."""
+def shares(languages: int, slots: int = SLOTS) -> tuple[int, int, int]:
+    """(dictionary bytes, sampled documents, characters of each) of a language, so that all languages together stay bounded."""
+    size = max(2048, min(DICTIONARY, DICTIONARIES // max(1, languages)))
+    return size, max(4, slots * size // DICTIONARY), max(512, SAMPLE_CHARS * size // DICTIONARY)
+
+
+def sample(docs: DataFrame, slots: int = SLOTS) -> dict[str, list[str]]:
+    """The bounded training sample of every language.  The choice reads doc_id and lang only; then the chosen texts."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                         F.col("text").cast("string").alias("text"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     rows = named.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held, F.lit(False)))
     h = F.xxhash64(F.coalesce("doc_id", F.lit(-1)))
-    known = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
+    _, slots, chars = shares(rows.select("lang").distinct().count(), slots)
     pick = rows.groupBy("lang", F.pmod(h, F.lit(slots)).alias("slot")).agg(F.min_by("doc_id", F.struct(h, F.length("text"))).alias("doc_id")) \
-        .join(known, "lang").select("lang", "doc_id")
+        .select("lang", "doc_id")
     texts = rows.join(F.broadcast(pick), ["lang", "doc_id"]) \
-        .groupBy("lang", "doc_id").agg(F.max(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+        .groupBy("lang", "doc_id").agg(F.max(F.substring("text", 1, chars)).alias("text"))
     out: dict[str, list[str]] = {}
     for r in texts.orderBy("lang", "doc_id").collect():
         out.setdefault(r.lang, []).append(r.text)
@@ -131,7 +144,7 @@ def identify(docs: DataFrame, samples: dict[str, list[str]] | None = None) -> Da
                         F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)).alias("held_out"))
 
     def run(batches):
-        own = CompressionClassifier(shared.value)
+        own = CompressionClassifier(shared.value, shares(len(shared.value))[0])
         for piece in chunks(batches):
             names, scores, sure = zip(*[own.predict(t) for t in piece.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(

@@ -193,7 +193,7 @@ def test_cards_of_any_grouping_are_found(names):
 def test_values_link_across_documents_and_nothing_else_changes(spark):
     docs = table(spark, SF, "documents")
     before = {r.doc_id: r.text for r in docs.collect()}
-    rows = pseudonyms.findings(docs).collect()
+    rows = pseudonyms.findings(docs, b"k").collect()
     hits = 0
     for r in rows:
         outside, at = [], 0
@@ -211,8 +211,64 @@ def test_values_link_across_documents_and_nothing_else_changes(spark):
 def test_pseudonym_cases(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a1@b.com"), (3, "a1@b.com"), (3, "a1@b.com")], "doc_id long, text string") \
         .selectExpr("*", "1 as row", "2 as kinds")
-    out = pseudonyms.pseudonymise(docs)
+    out = pseudonyms.pseudonymise(docs, b"k")
     assert out.columns == docs.columns
     texts = Counter((r.doc_id, r.text) for r in out.collect())
     assert texts[(1, None)] == texts[(2, "")] == 1 and len({t for (i, t) in texts if i in (None, 3)}) == 1 and max(texts.values()) == 2
-    assert pseudonyms.findings(docs.limit(0)).count() == 0 and pseudonyms.pseudonymise(docs.limit(0)).count() == 0
+    assert pseudonyms.findings(docs.limit(0), b"k").count() == 0 and pseudonyms.pseudonymise(docs.limit(0), b"k").count() == 0
+
+
+def test_every_small_domain_is_permuted_without_a_fixed_point(names):
+    back = pseudonyms.Pseudonyms(b"test key", forward=False)
+    for size in [*range(2, 120), 1000, 9999]:
+        image = [names.move(x, size, "t") for x in range(size)]
+        assert sorted(image) == list(range(size)) and all(x != y for x, y in enumerate(image))
+        assert [back.move(y, size, "t") for y in image] == list(range(size))
+    small = [f"{a}{b}@x.org" for a in pseudonyms.LOWER for b in pseudonyms.DIGITS]
+    got = [names.value("email", v) for v in small]
+    assert sorted(got) == sorted(small) and all(a != b for a, b in zip(small, got))
+
+
+def test_every_day_has_its_own_pseudonym_in_every_notation(names):
+    days = [datetime.date.fromordinal(pseudonyms.EPOCH + n) for n in range(0, pseudonyms.DAYS)]
+    iso = {d: names.value("date", d.isoformat()) for d in days}
+    assert len(set(iso.values())) == len(days) and all(d.isoformat() != v for d, v in iso.items())
+    for d in days[::37]:
+        to = datetime.date.fromisoformat(iso[d])
+        assert names.value("date", f"{d:%d.%m.%Y}") == f"{to:%d.%m.%Y}"
+        if d.day > 12:     # month first, and still only to be read so
+            assert names.value("date", f"{d:%m/%d/%Y}") == f"{to:%m/%d/%Y}" and to.day > 12
+
+
+def test_one_number_in_two_notations_has_one_pseudonym(names):
+    digits = lambda t: "".join(c for c in t if c.isdigit())
+    assert digits(names.value("phone", "+1 212-555-0187")) == "1" + digits(names.value("phone", "212-555-0187"))
+    french = names.value("phone", "01 23 45 67 89")
+    assert digits(names.value("phone", "+33 1 23 45 67 89")) == "33" + digits(french)[1:] and french[0] == "0" and french[1] != "0"
+    text = names.replace("at 2024-03-05T10:00:00 call 01 23 45 67 89.")[0]
+    assert "2024-03-05" not in text and "01 23 45 67 89" not in text and "T10:00:00 call 0" in text
+
+
+def test_undo_gives_every_text_back(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    hidden = pseudonyms.pseudonymise(docs, b"one key")
+    assert hidden.exceptAll(docs).count() > 0
+    assert pseudonyms.undo(hidden, b"one key").exceptAll(docs).count() == 0
+    assert pseudonyms.undo(hidden, b"another key").exceptAll(docs).count() > 0
+
+
+@pytest.mark.parametrize("text", ["²³ ½ ②", "Ⅻ 1 ٣", "۱ _ !", "́"])
+def test_numerals_are_no_letters(text):
+    model = language_id.CompressionClassifier({"de": ["der die das und nicht " * 9], "en": ["the and of to in not " * 9]})
+    assert model.predict(text)[0] == "und" and model.predict(text + " nicht")[0] == "de"
+
+
+def test_ties_look_at_the_whole_text_and_rare_labels_are_learned(spark):
+    model = language_id.CompressionClassifier({"aa": ["xyz " * 30], "bb": ["uvw " * 30]})
+    assert model.matches("q " * 300 + "uvw", 1) > model.matches("q " * 300 + "uvw", 0)
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}ord{chr(97 + k)}" for k in range(20)), f"l{i:03d}") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = language_id.sample(docs)
+    assert set(learned) == {l for i, _, l in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    size, slots, chars = language_id.shares(100_000)
+    assert 100_000 * min(size, slots * chars) < 1 << 28 and language_id.shares(4) == (language_id.DICTIONARY, 64, language_id.SAMPLE_CHARS)
