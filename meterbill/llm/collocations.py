@@ -5,16 +5,17 @@ candidate if it occurs ``threshold`` times or more; so then does every part of i
 words and phrases whose counts the score needs.
 
 1. *Summaries.*  An n-gram (language, length, words) has a 64-bit key whose top bits name its hash partition.  A
-   first pass adds up the mass (occurrences) of every partition.  The next passes summarise: a task combines equal keys
-   of some million words, then keeps per partition a Misra-Gries summary whose capacity k exceeds mass / threshold (counters
-   beyond k are met by subtracting the (k+1)-th largest from all).  Summaries are merged per partition the same way.  Every
+   first pass adds up the mass (occurrences) of every partition.  The next passes summarise: a task counts the keys
+   of some million words, a summary per partition from which nothing is subtracted yet.  Merging them, a partition keeps a Misra-Gries summary
+   whose capacity k exceeds mass / threshold (counters beyond k are met by subtracting the (k+1)-th largest from all).  Every
    subtraction of c takes more than c * k of the partition's mass away, so all of them together stay below the threshold, and an n-gram that
    occurs that often keeps a counter.  What a partition really lost is known, and only counters that could reach the threshold with it survive.
+   (Tasks could cut their summaries to k as well; from a hundred of them on they are smaller than k.)
    Words and pairs come first, then triples of surviving pairs, then 4 and 5 words of surviving triples.
 2. *Sieve.*  The survivors' keys set bits of an array of at most ``SIEVE_BITS`` (32 MB, whatever the input), which is
    broadcast.  It loses none of them; what it lets through besides, more the larger the corpus, is only counted in vain.
 3. *Exact counts.*  The last pass counts the n-grams the sieve lets through by their words, not by keys (equal word
-   numbers within a task, the phrase itself across tasks), so no hash collision reaches a count.
+   numbers within a task, the phrase itself where a partition's counts are added up), so no hash collision reaches a count.
 
 Scores, dropped phrases and ranks are equi-joins and aggregates over the counts.  A phrase that holds a third of all
 occurrences is one counter per task; a language's ranking is cut to the wanted rows in slices before one task ranks them.
@@ -26,6 +27,7 @@ the phrase's bytes; an empty table or no candidate gives no rows; other columns
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from typing import Iterator
 
 import numpy as np
@@ -179,28 +181,29 @@ def masses(texts: DataFrame, power: int, longest: int) -> DataFrame:
     return texts.mapInArrow(run, "lang string, k int, part int, mass long").groupBy("lang", "k", "part").agg(F.sum("mass").alias("mass"))
 
 
-def _summary_rows(k: int, keys: np.ndarray, counts: np.ndarray, power: int, caps: dict) -> Iterator[tuple]:
-    """One summary per hash partition of ``keys``, which are in order."""
+def _by_partition(keys: np.ndarray, power: int) -> Iterator[tuple[int, int, int]]:
+    """(hash partition, start, end) of the runs of ``keys``, which are in order."""
     part = _partition(keys, power)
     first = np.flatnonzero(np.diff(part, prepend=-1))
-    for a, b in zip(first, np.append(first[1:], len(keys))):
-        p = int(part[a])
-        kept, left, cut = misra_gries(keys[a:b], counts[a:b], caps[k, p])
-        yield k, p, kept.tobytes(), left.astype(np.int64).tobytes(), cut
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)]):
+        yield int(part[a]), a, b
 
 
-SUMMARY = "k int, part int, keys binary, counts binary, lost long"
+SUMMARY = "k int, part int, keys binary, counts binary"
 
 
-def _summary_batch(rows: list[tuple]) -> pa.RecordBatch:
-    k, part, keys, counts, lost = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(part, pa.int32()), pa.array(keys, pa.binary()),
-                                       pa.array(counts, pa.binary()), pa.array(lost, pa.int64())], names=["k", "part", "keys", "counts", "lost"])
+def _batch(rows: list[tuple], types: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), types)], names=[n for n, _ in types])
 
 
-def summaries(texts: DataFrame, lengths: tuple[int, ...], sieve, inner: int, power: int, caps) -> DataFrame:
-    """Misra-Gries summaries of the k-grams of the given lengths, one per hash partition and some million words; only those
-    whose inner n-grams of ``inner`` words all pass the sieve (all, if ``inner`` is 0).  ``sieve`` and ``caps`` are broadcasts."""
+_SUMMARY = [("k", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+_COUNTED = [("lang", pa.string()), ("k", pa.int32()), ("part", pa.int32()), ("phrases", pa.binary()), ("counts", pa.binary())]
+_PHRASES = [("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())]
+
+
+def summaries(texts: DataFrame, lengths: tuple[int, ...], sieve, inner: int, power: int) -> DataFrame:
+    """Counters of the k-grams of the given lengths, one row per hash partition and some million words; only of those
+    whose inner n-grams of ``inner`` words all pass the sieve, a broadcast (all, if ``inner`` is 0)."""
     def run(batches):
         test = Sieve(sieve.value) if inner else None
         for group in texts_by_language(batches):
@@ -218,9 +221,10 @@ def summaries(texts: DataFrame, lengths: tuple[int, ...], sieve, inner: int, pow
                     found[k].append(grams.keys(k, at))
             for k in lengths:
                 keys, counts = combined(np.concatenate(found[k]))
-                rows = list(_summary_rows(k, keys, counts, power, caps.value))
+                small = counts.astype(np.uint32)
+                rows = [(k, p, keys[a:b].tobytes(), small[a:b].tobytes()) for p, a, b in _by_partition(keys, power)]
                 for i in range(0, len(rows), 1024):
-                    yield _summary_batch(rows[i:i + 1024])
+                    yield _batch(rows[i:i + 1024], _SUMMARY)
     return texts.mapInArrow(run, SUMMARY)
 
 
@@ -238,14 +242,14 @@ def merged(rows: DataFrame, threshold: int, caps) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(survivors(k[0], c[0], all_lost, threshold).view(np.int64))], names=["key"])
 
         for batch in chunks(batches, 64):
-            for k, part, some, n, cut in zip(*[c.to_pylist() for c in batch.columns]):
+            for k, part, some, n in zip(*[c.to_pylist() for c in batch.columns]):
                 if (k, part) != now:
                     if now is not None:
                         yield done()
                     now, keys, counts, lost, held = (k, part), [], [], 0, 0
                 keys.append(np.frombuffer(some, np.uint64))
-                counts.append(np.frombuffer(n, np.int64))
-                lost, held = lost + cut, held + len(keys[-1])
+                counts.append(np.frombuffer(n, np.uint32).astype(np.int64))
+                held += len(keys[-1])
                 if held > max(2 * caps.value[now], 1 << 20):
                     keys, counts, lost, held = fold()
         if now is not None:
@@ -287,9 +291,9 @@ def _sieve_bytes(keys: DataFrame) -> bytes:
     return bytes(out)
 
 
-def exact_counts(texts: DataFrame, sieve, longest: int) -> DataFrame:
-    """(lang, k, phrase, n): occurrences, counted by their words, of every n-gram whose parts pass the sieve; a phrase
-    has a row per task and some million words."""
+def exact_counts(texts: DataFrame, sieve, longest: int, power: int) -> DataFrame:
+    """(lang, k, part, phrases, counts): occurrences, counted by their words, of every n-gram whose parts pass the sieve; a
+    row holds those of one hash partition and some million words, phrases apart by line feeds."""
     def run(batches):
         test = Sieve(sieve.value)
         for group in texts_by_language(batches):
@@ -301,19 +305,44 @@ def exact_counts(texts: DataFrame, sieve, longest: int) -> DataFrame:
                     at = grams.at(k)
                     if number is not None:
                         at = at[(number[at] >= 0) & (number[at + 1] >= 0)]
-                    at = at[test(grams.keys(k, at))]
+                    keys = grams.keys(k, at)
+                    passes = test(keys)
+                    at, keys = at[passes], keys[passes]
                     exact = ids[at] if number is None else number[at] << 32 | ids[at + k - 1]
-                    found, back, n = np.unique(exact, return_inverse=True, return_counts=True)
+                    found, place, back, n = np.unique(exact, return_index=True, return_inverse=True, return_counts=True)
                     names = words[found] if number is None else [names[x >> 32] + b" " + words[x & 0xFFFFFFFF] for x in found.tolist()]
                     number = np.full(len(ids) + 1, -1, np.int64)
                     number[at] = back
-                    for i in range(0, len(found), 1 << 16):
-                        size = len(n[i:i + (1 << 16)])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * size, pa.string()), pa.array([k] * size, pa.int32()),
-                             pa.array(names[i:i + (1 << 16)], pa.binary()).cast(pa.string()), pa.array(n[i:i + (1 << 16)])],
-                            names=["lang", "k", "phrase", "n"])
-    return texts.mapInArrow(run, "lang string, k int, phrase string, n long")
+                    order = np.argsort(keys[place], kind="stable")
+                    listed, n = np.array([*names, None], object)[order], n[order].astype(np.uint32)
+                    rows = [(lang, k, p, b"\n".join(listed[a:b]), n[a:b].tobytes()) for p, a, b in _by_partition(keys[place][order], power)]
+                    for i in range(0, len(rows), 1024):
+                        yield _batch(rows[i:i + 1024], _COUNTED)
+    return texts.mapInArrow(run, "lang string, k int, part int, phrases binary, counts binary")
+
+
+def added_up(rows: DataFrame, threshold: int) -> DataFrame:
+    """(lang, k, phrase, f): the exact counts of each hash partition added up, those that reach the threshold."""
+    def run(batches):
+        now, total = None, defaultdict(Counter)
+
+        def done():
+            found = [(*who, phrase.decode(), f) for who, counts in total.items() for phrase, f in counts.items() if f >= threshold]
+            for i in range(0, len(found), 1 << 16):
+                yield _batch(found[i:i + (1 << 16)], _PHRASES)
+
+        for batch in chunks(batches, 64):
+            for lang, k, part, phrases, n in zip(*[c.to_pylist() for c in batch.columns]):
+                if part != now:
+                    yield from done() if now is not None else ()
+                    now, total = part, defaultdict(Counter)
+                counts = total[lang, k]
+                for phrase, f in zip(phrases.split(b"\n"), np.frombuffer(n, np.uint32).tolist()):
+                    counts[phrase] += f
+        if now is not None:
+            yield from done()
+
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, "lang string, k int, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -333,11 +362,11 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
         lengths = tuple(k for k in lengths if k <= longest)
         if not lengths:
             continue
-        more = stored(merged(summaries(texts, lengths, sieve, inner, power, caps), threshold, caps), "phrase-keys")
+        more = stored(merged(summaries(texts, lengths, sieve, inner, power), threshold, caps), "phrase-keys")
         keys = more if keys is None else keys.union(more)
         sieve = context.broadcast(_sieve_bytes(keys))
-    counts = exact_counts(texts, sieve, longest).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= threshold)
-    return stored(counts, "phrase-counts"), mass.filter("k = 0").groupBy("lang").agg(F.sum("mass").alias("n"))
+    counts = stored(added_up(exact_counts(texts, sieve, longest, power), threshold), "phrase-counts")
+    return counts, mass.filter("k = 0").groupBy("lang").agg(F.sum("mass").alias("n"))
 
 
 def _words(a: Column | str, b: Column | str) -> Column:
