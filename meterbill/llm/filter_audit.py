@@ -55,7 +55,8 @@ def text_failures(docs: DataFrame) -> DataFrame:
 def failures(docs: DataFrame) -> DataFrame:
     """(doc_id, part, mask) of every document under the five filters; E: a smaller doc_id has the same text."""
     rows = stored(text_failures(docs), "audit-rows")
-    shared = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("times")).filter("times > 1")
+    # written first: AQE splits a text that many rows share only where the join alone reads both sides' exchanges
+    shared = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("times")).filter("times > 1"), "audit-shared")
     copy = F.when(F.col("doc_id") > F.col("first"), 1 << 4).otherwise(0)
     return rows.join(shared, "digest", "left").select("doc_id", "part", F.col("mask").bitwiseOR(copy).alias("mask"))
 
