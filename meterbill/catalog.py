@@ -32,6 +32,7 @@ from meterbill.operators.readings import (grouped_multi_max, last_reading, lates
 from meterbill.operators.snapshots import latest_snapshot_per_base, missing_bases
 from meterbill.plans.consolidate import consolidated_accounts, shard_accounts
 from meterbill.plans.extract import MeterExtract, rendered_addresses
+from meterbill.plans.history import MonthlyHistory
 from meterbill.plans.monthly import MonthlyStats, metric_rows
 from meterbill.session import scratch_path
 from meterbill.sources import charset, sharded, sinks
@@ -490,6 +491,12 @@ def monthly_report(spark, sf_dir):
     return MonthlyStats(_t(spark, sf_dir), FIXTURE, materialize=to_shared_parquet).report()
 
 
+@query
+def monthly_report_all_periods(spark, sf_dir):
+    """The report's metrics for every closed period."""
+    return MonthlyHistory(_t(spark, sf_dir), FIXTURE).metrics()
+
+
 @query
 def meter_extract(spark, sf_dir):
     return _extract(spark, sf_dir).report()
