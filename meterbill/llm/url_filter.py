@@ -9,7 +9,8 @@ Edges come from the pages (``link rel=canonical``, ``meta http-equiv=refresh``;
 from an optional table of known redirects.  Two urls are the same node if they agree but for scheme, fragment
 and case of the host.
 
-Scale: rules are a literal list (at most ``MAX_RULES``) inside the scan's expressions.  Only urls that take part in
+Scale: up to ``EXPRESSION_RULES`` rules are part of the scan's expressions; more, or rules in a table, are met by an
+equi-join of host suffixes and path prefixes (``joined_rules``).  Only urls that take part in
 an edge enter the components; blocked aliases come back to the pages as an equi-join whose right side
 has one row per node.
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from meterbill.llm.common import stored
 from meterbill.llm.components import connected_components
 
-MAX_RULES = 1000
+EXPRESSION_RULES = 1000      # up to so many rules are one expression; more are joined, with the same result
 ALLOW, BLOCK = "allow", "block"
 Rule = tuple[str, str, str]     # host, path prefix, allow or block
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,8 +41,6 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def explicit_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     """The longest fitting rule as a struct (size, allows, rule), NULL if none fits."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: give them as several filters")
     fits = [F.when(((host == h) | host.endswith("." + h)) & path.startswith(p),
                    F.struct(F.lit(len(h) + len(p)).alias("size"), F.lit(action == ALLOW).alias("allows"), F.lit(h + p).alias("rule")))
             for h, p, action in rules]
@@ -50,6 +49,31 @@ def explicit_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.array_max(F.array(*fits))
 
 
+def joined_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, own): ``explicit_rule`` of every distinct place that a rule fits, for any number of rules.
+
+    A place meets its rules by equality: each of its host's suffixes with each prefix of its path that is as long as
+    some rule's path.  ``rules``: (host, path, action).  The lengths are as many as the longest rule's path has characters at most."""
+    told = rules.select(F.col(rules.columns[0]).alias("suffix"), F.col(rules.columns[1]).alias("prefix"),
+                        (F.col(rules.columns[2]) == ALLOW).alias("allows"))
+    lengths = told.agg(F.collect_set(F.length("prefix")).alias("n")).scalar()
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    probes = places.select("host", "path").distinct().select("*", F.explode(lengths).alias("n")).filter(F.col("n") <= F.length("path")) \
+        .select("host", "path", F.substring("path", F.lit(1), F.col("n")).alias("prefix"), F.explode(suffixes).alias("suffix"))
+    own = F.struct((F.length("suffix") + F.length("prefix")).alias("size"), "allows", F.concat("suffix", "prefix").alias("rule"))
+    return probes.join(told, ["suffix", "prefix"]).groupBy("host", "path").agg(F.max(own).alias("own"))
+
+
+def with_rule(rows: DataFrame, rules: list[Rule] | DataFrame) -> DataFrame:
+    """``rows`` (host, path, ...) with the longest fitting rule as ``own``."""
+    if isinstance(rules, list) and len(rules) <= EXPRESSION_RULES:
+        return rows.withColumn("own", explicit_rule(F.col("host"), F.col("path"), rules))
+    if isinstance(rules, list):
+        rules = rows.sparkSession.createDataFrame(rules, "host string, path string, action string")
+    return rows.join(joined_rules(rows, rules), ["host", "path"], "left")
+
+
 def node_of(url: Column) -> Column:
     """What tells one url from another: host, path and query; NULL without ``://``."""
     host, path = host_and_path(url)
@@ -80,10 +104,10 @@ def page_edges(pages: DataFrame) -> DataFrame:
     return found.select(node_of(F.col("url")).alias("src"), node_of(target).alias("dst"))
 
 
-def judge(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: list[Rule] | DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, alias_blocked, one row per page.
 
-    ``redirects``: further edges, two columns of urls."""
+    ``rules``: a list, or a DataFrame of any size with the columns host, path, action.  ``redirects``: further edges, two columns of urls."""
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
     edges = page_edges(plain)
@@ -92,13 +116,14 @@ def judge(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = Non
         edges = edges.union(redirects.select(node_of(F.col(a)), node_of(F.col(b))))
     roots = connected_components(stored(edges.distinct(), "url-edges"))
     url = F.concat(F.lit("x://"), "node")
-    own = explicit_rule(*host_and_path(url), rules)
-    blocked = roots.filter(~F.coalesce(own["allows"], F.lit(True))).select("root").distinct()
+    node_host, node_path = host_and_path(url)
+    placed = with_rule(roots.select("root", node_host.alias("host"), node_path.alias("path")), rules)
+    blocked = placed.filter(~F.coalesce(F.col("own.allows"), F.lit(True))).select("root").distinct()
     aliases = roots.join(blocked, "root").select(F.col("node").alias("alias"))
     host, path = host_and_path(F.col("url"))
-    named = plain.select("page_id", host.alias("host"), path.alias("path"), explicit_rule(host, path, rules).alias("own"),
-                         # pages without a node get a key of their own, so that they don't meet in one task
-                         F.coalesce(node_of(F.col("url")), F.concat(F.lit("\0"), F.col("page_id").cast("string")), F.lit("\0")).alias("key"))
+    # pages without a node get a key of their own, so that they don't meet in one task
+    key = F.coalesce(node_of(F.col("url")), F.concat(F.lit("\0"), F.col("page_id").cast("string")), F.lit("\0"))
+    named = with_rule(plain.select("page_id", host.alias("host"), path.alias("path"), key.alias("key")), rules)
     joined = named.join(aliases, named["key"] == aliases["alias"], "left")
     verdict = F.when(F.col("own").isNotNull(), F.when(F.col("own.allows"), ALLOW).otherwise(BLOCK)) \
         .when(F.col("alias").isNotNull(), BLOCK).otherwise(ALLOW)

@@ -156,3 +156,32 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, SF)
     assert now.count() == 0
+
+
+def test_many_rules_are_joined_with_the_same_result(spark, monkeypatch):
+    pages = table(spark, SF, "pages").limit(0).unionByName(
+        spark.createDataFrame(URL_ROWS + [(90 + i, u, None) for i, u in enumerate(["http://a..b/x", "http://./x", "http://B.Example.ORG.", "://h/p"])],
+                              "page_id long, url string, html string"), allowMissingColumns=True)
+    rules = queries.RULES + [("", "/", "block"), ("b", "", "block"), ("net", "/" + "x" * 90, "block")]
+    answer = lambda r: sorted(map(tuple, url_filter.judge(pages, r).collect()), key=repr)
+    want = answer(rules)
+    monkeypatch.setattr(url_filter, "EXPRESSION_RULES", 0)
+    assert answer(rules) == want
+
+
+def test_a_hundred_thousand_rules_equal_sql(spark):
+    rules = spark.range(100_000).selectExpr("concat('h', id % 5000, '.net') as host", "concat('/', repeat('d/', int(id % 7)), id % 13) as path",
+                                            "if(id % 3 = 0, 'allow', 'block') as action").distinct()
+    pages = spark.range(2000).selectExpr("id as page_id", "concat('http://', if(id % 2 = 0, 'www.', ''), 'H', id * 7 % 6000, '.net/', repeat('d/', int(id % 9)), id % 20, '/x') as url",
+                                         "cast(null as string) as html")
+    # a rule may be told twice with both actions; the longest one that allows wins then
+    con = duckdb.connect()
+    con.register("r", rules.toPandas())
+    con.register("p", pages.toPandas())
+    want = con.sql("""
+      with u as (select page_id, lower(regexp_extract(url, '://([^/]*)', 1)) as host, regexp_extract(url, '://[^/]*(.*)', 1) as path from p)
+      select page_id, arg_max(r.host || r.path, length(r.host) + length(r.path)) as rule,
+             coalesce(arg_max(action, length(r.host) + length(r.path) + if(action = 'allow', 0.5, 0)), 'allow') as verdict
+      from u left join r on (u.host = r.host or ends_with(u.host, '.' || r.host)) and starts_with(u.path, r.path) group by page_id""").fetchall()
+    got = [(r.page_id, r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and sum(v == "block" for *_, v in got) > 100
