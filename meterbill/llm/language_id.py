@@ -22,8 +22,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
-import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -43,14 +41,15 @@ LEVEL = 6
 TIE = 3              # bytes within which sizes count as equal
 MARGIN = 0.01
 UNKNOWN = "und"
-# Letters by Unicode: \w also takes numbers that are no decimal digits, such as superscripts and fractions.
-NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
-NOT_LETTERS = re.compile(rf"[\W\d_{NUMBERS}]+")
+NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def letters_of(text: str | None) -> str:
-    """Lower-case letters of a text, words apart by one space."""
-    return NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    """Lower-case Unicode letters of a text, words apart by one space."""
+    out = NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    if out and not out.replace(" ", "").isalpha():      # numbers that are no decimal digits, such as superscripts and fractions
+        out = " ".join("".join(c if c.isalpha() else " " for c in out).split())
+    return out
 
 
 class CompressionClassifier:
