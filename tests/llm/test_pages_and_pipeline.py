@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import duckdb
 import pytest
@@ -55,6 +56,75 @@ def test_unmarked_pages_lose_what_the_host_repeats(spark):
     assert page_text.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kept", [
+    '<h2 id="search-algorithms">Kept</h2>', '<section class="related-work"><p>Kept</p></section>', '<div id="comments-on-the-treaty">Kept</div>',
+    '<section id="menu-design">Kept</section>', '<p><span class="share-price">Kept</span></p>', '<h3 class="menu">Kept</h3>',
+])
+@pytest.mark.parametrize("frame", ["<article><p>a</p>{}</article>", "<body><div><p>a</p>{}</div></body>"])
+def test_one_furniture_word_among_others_drops_nothing(kept, frame):
+    assert page_text.parse(frame.format(kept))[1] == ["a", "Kept"]
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-box", "reader-comments", "shareButtons", "cookie_notice", "x related-posts", "newsletter-form"])
+def test_furniture_within_the_article_goes(name):
+    assert page_text.parse(f'<article><p>a</p><div class="{name}">gone</div><div id="{name.split()[-1]}">gone</div></article>')[1] == ["a"]
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 250_000 + "</b>" * 250_000, '<a "' * 1_000_000, '<a ="' * 1_000_000, "<li><div>" + "<b>" * 200_000 + "<li></li>" * 400_000,
+    "<p>x<div class='a b'>y</i><nav><article>t</p>" * 100_000, "<!--" * 1_000_000, "<a " + "x= " * 1_500_000, "<a x='>\">" * 500_000, "<" * 5_000_000,
+])
+def test_long_broken_pages_take_linear_time(page):
+    at = time.process_time()
+    page_text.parse(page[:len(page) // 4])
+    quarter, at = time.process_time() - at, time.process_time()
+    page_text.parse(page)
+    assert time.process_time() - at < 8 * quarter + 1
+
+
+@pytest.mark.parametrize("source,blocks", [
+    ('<p>a <a "x>y</a></p>', ["a y"]), ("<p title='a>b'>c</p>", ["c"]), ('<p title="a>b</p><p>c</p>', ["b", "c"]), ("<p>a <b", ["a <b"]),
+    ("<p>a</p><p x=' = \"'>b</p>", ["a", "b"]),
+])
+def test_broken_tags(source, blocks):
+    assert page_text.parse(source)[1] == blocks
+
+
+def _site(i, article):
+    menu, foot = "Home News Sports Weather Opinion Contact About Help Imprint", "Copyright by the people who made this fine web site"
+    return f"<body><div>{menu}</div><div>{article}</div><div>{foot}</div></body>"
+
+
+def test_near_copies_and_pages_without_a_host_keep_their_article(spark):
+    story = "".join(f"<p>Paragraph {k} of the long story tells what {k * 31} people saw on day {k * 17} and what came of it later</p>" for k in range(12))
+    copies = [(i, f"http://a.com/{i}", _site(i, f"<h1>Edition {i}</h1>{story}")) for i in range(4)]
+    others = [(10 + i, f"http://a.com/o/{i}", _site(i, "".join(f"<p>Word {i} {k} is another {i * k} text with {i}{k} more</p>" for k in range(12)))) for i in range(3)]
+    nowhere = [(20 + i, None, f"<body><p>{i}</p>{story}</body>") for i in range(4)]
+    pages = spark.createDataFrame(copies + others + nowhere, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in page_text.extract(pages).collect()}
+    for i in range(4):
+        assert got[i].split("\n")[0] == f"Edition {i}" and got[i].count("Paragraph") == 12 and "Copyright" not in got[i]
+        assert got[20 + i].count("Paragraph") == 12
+    for i in range(3):
+        assert got[10 + i].count("Word") == 12 and "Imprint" not in got[10 + i]
+
+
+def test_a_run_needs_a_share_of_the_host(spark):
+    licence = "This text may be used by anyone who names those that wrote it"
+    rows = [(i, f"http://a.com/{i}", f"<body><p>Page {i} holds its own words {i * 3} {i * 5} {i * 7}</p>" + f"<p>{licence}</p>" * (i < 4) + "</body>")
+            for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sum(licence in r.text for r in page_text.extract(pages).collect()) == 4
+    assert sum(licence in r.text for r in page_text.extract(pages, share=0.05).collect()) == 0
+
+
+def test_pages_of_clashing_columns_and_repeated_rows(spark):
+    page = _site(1, "<p>One page that stands three times in the table under one url</p>")
+    pages = spark.createDataFrame([(1, "http://a.com/1", page)] * 3, "page_id long, url string, html string") \
+        .selectExpr("*", "1 as marked", "2 as family", "3 as doc_id", "4 as runs")
+    assert [r.text.count("stands") for r in page_text.extract(pages).collect()] == [1, 1, 1]
+
+
 def _canonical(url):
     return f'<head><link rel="canonical" href="{url}"></head>'
 
