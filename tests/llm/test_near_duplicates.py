@@ -1,10 +1,12 @@
 """The n-gram join, components and sentence spans against brute force."""
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterbill.llm import components, ngram_join, sentence_spans
 from meterbill.llm.common import table
@@ -128,19 +130,29 @@ def test_contracted_components(spark, monkeypatch, task_edges):
     assert components.contracted_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def sentences_of(text):
+    """Words of every sentence, by regular expressions on the text; a run-on sentence is None."""
+    out = []
+    for line in re.split(r"[\n\r]", text or ""):
+        for part in re.split(r"(?<=[.!?])[\"')\]}]{0,2}(?=[ \t\x0b\x0c])", line):
+            words = tuple(w for w in re.split(r"[\x00-/:-@\[-`{-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), part)) if w)
+            if words:
+                out.append(words)
+    return out
+
+
 def brute_spans(texts):
-    """Units of each text that a span covers which occurs earlier (all runs of SPAN units and WORDS words)."""
+    """Sentences of each text that a span covers which occurs earlier: the shortest run of 3 sentences and 20 words or 2 and 40."""
     places = defaultdict(list)
     gone = {i: set() for i in texts}
     for i in sorted(texts):
-        _, _, at, words = sentence_spans.units(texts[i])
-        edge = [*at.tolist(), len(words)]
-        for u in range(len(at)):
-            v = u + sentence_spans.SPAN
-            while v <= len(at) and edge[v] - edge[u] < sentence_spans.WORDS:
-                v += 1
-            if v <= len(at):
-                places[tuple(words[edge[u]:edge[v]].tolist())].append((i, u, v))
+        own = sentences_of(texts[i])
+        for u in range(len(own)):
+            for v in range(u + 2, len(own) + 1):
+                words = sum(own[u:v], ())
+                if len(words) >= 40 or v - u >= 3 and len(words) >= 20:
+                    places[words].append((i, u, v))
+                    break
     for found in places.values():
         for i, u, v in sorted(found)[1:]:
             gone[i] |= set(range(u, v))
@@ -149,13 +161,54 @@ def brute_spans(texts):
 
 def test_spans_equal_brute_force(spark):
     docs = table(spark, SF, "documents")
-    texts = {r.doc_id: r.text for r in docs.collect()}
+    # texts with a run-on sentence have a test of their own
+    texts = {r.doc_id: r.text for r in docs.collect() if all(len(w) <= sentence_spans.RUN_ON for w in sentences_of(r.text))}
     want = brute_spans(texts)
-    got = sentence_spans.deduplicate(docs).collect()
-    assert len(got) == len(texts) and {r.doc_id: r.n_removed for r in got} == {i: len(s) for i, s in want.items()}
+    got = sentence_spans.deduplicate(docs.filter(F.col("doc_id").isin(list(texts)))).collect()
+    assert len(got) == len(texts) > 100 and sum(map(len, want.values())) > 100
     for r in got:
-        assert {u for x in r.removed for u in range(x.start, x.end)} == want[r.doc_id]
-        assert r.text == texts[r.doc_id] if not r.n_removed else len(r.text) < len(texts[r.doc_id])
+        assert r.n_removed == len(want[r.doc_id]) and {u for x in r.removed for u in range(x.start, x.end)} == want[r.doc_id]
+        left = [w for k, w in enumerate(sentences_of(texts[r.doc_id])) if k not in want[r.doc_id]]
+        assert r.text == texts[r.doc_id] if not r.n_removed else sum(sentences_of(r.text), ()) == sum(left, ())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_made_spans_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    pool = [" ".join(f"w{rnd.randrange(60)}" for _ in range(rnd.randrange(1, 30))) for _ in range(12)]
+    texts = {i: "".join(rnd.choice(pool) + rnd.choice([". ", "! ", ".) ", "?\" ", "\n", ".x ", ", "]) for _ in range(rnd.randrange(14))) for i in range(60)}
+    texts = {i: t for i, t in texts.items() if all(len(w) <= sentence_spans.RUN_ON for w in sentences_of(t))}
+    want = brute_spans(texts)
+    got = sentence_spans.deduplicate(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: {u for x in r.removed for u in range(x.start, x.end)} for r in got} == want and any(want.values())
+
+
+def test_one_shared_sentence_is_no_span(spark):
+    line = " ".join(f"word{k}" for k in range(32)) + "."
+    docs = spark.createDataFrame([(i, f"First {i} of all {i}. {line} Last {i} of all {i}.") for i in range(5)], "doc_id long, text string")
+    assert all(r.n_removed == 0 for r in sentence_spans.deduplicate(docs).collect())
+
+
+def test_scripts_without_spaces_have_sentences_and_words(spark):
+    rnd = random.Random(3)
+    sentence = lambda: "".join(chr(0x4e00 + rnd.randrange(3000)) for _ in range(12)) + "\u3002"
+    shared = "".join(sentence() for _ in range(4))
+    docs = {i: sentence() + shared + sentence() + "Latin words too. " + sentence() for i in range(3)}
+    got = {r.doc_id: r for r in sentence_spans.deduplicate(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert got[0].text == docs[0]
+    for i in (1, 2):
+        assert got[i].text == docs[i].replace(shared, "") and got[i].n_removed == 4
+
+
+def test_second_hashes_follow_the_words_alone(monkeypatch):
+    monkeypatch.setattr(sentence_spans, "run_hashes", lambda words, a, b: np.zeros(len(a), np.uint64))    # every first hash collides
+
+    def second(text):
+        _, _, at, words, plain = sentence_spans.units(text)
+        return sentence_spans.spans(at, words, plain)[3].tolist()
+    texts = ["".join(f"a{i} b{i} c{k} d{k} e f g. " for k in range(4)) for i in range(3)]
+    assert len({h for t in texts for h in second(t)}) == 6
+    assert second(texts[0]) == second("Zero, one.\n" + texts[0].upper().replace(" E", ",  e"))[-2:]
 
 
 def test_long_passages_stay_once(spark):
