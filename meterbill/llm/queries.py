@@ -108,6 +108,12 @@ _URL_PARTS = """
   regexp_extract(coalesce(u, ''), '(?s)^.*?://[^/?#]*[^?#]*(\\?[^#]*)', 1) as query,
   regexp_extract(coalesce(u, ''), '(?s)^(.*?)://', 1) as scheme"""
 
+_ATTRIBUTE = """'(?s)([^\\s="''/>]+)\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)'"""
+
+_RESOLVED = """array_to_string(list_reduce(list_transform(string_split(y.path, '/'), lambda s: [s]),
+           lambda kept, s: case s[1] when '..' then kept[1:greatest(len(kept) - 1, 1)] when '.' then kept else kept || s end)
+           || case when regexp_matches(y.path, '/\\.{1,2}$') then [''] else [] end, '/')"""
+
 ORACLE: dict[str, str] = {
     "op4_url_filters": f"""
 with recursive
@@ -115,25 +121,27 @@ rules(h, p, act) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'bloc
                             ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 parts as (select page_id, u, html, {_URL_PARTS} from (select page_id, url as u, html from pages)),
 tags as (
-  select u, scheme, host, path, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'),
-           '(?is)(<(?:link|meta)\\b[^>]*>)', 1)) as tag
-  from parts where html is not null),
+  select u, scheme, host, path, list_transform(regexp_extract_all(tag, {_ATTRIBUTE}, 1), lambda x: lower(x)) as names,
+         list_transform(regexp_extract_all(tag, {_ATTRIBUTE}, 2), lambda x: regexp_replace(x, '^["'']|["'']$', '', 'g')) as told
+  from (select u, scheme, host, path,
+               unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'),
+                 '(?is)(<(?:link|meta)[\\s/][^<>]*>)', 1)) as tag
+        from parts where html is not null)),
 refs as (
   select *, replace(trim(case
-      when regexp_matches(tag, '(?is)\\brel\\s*=\\s*["'']?canonical["''\\s/>]')
-        then regexp_replace(regexp_extract(tag, '(?is)\\bhref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1), '^["'']|["'']$', '', 'g')
-      when regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh["''\\s/>]')
-        then regexp_extract(tag, '(?is)url\\s*=\\s*[''"]?([^''">]+)', 1) end), '&amp;', '&') as href
+      when list_contains(regexp_split_to_array(lower(told[list_position(names, 'rel')]), '\\s+'), 'canonical') then told[list_position(names, 'href')]
+      when lower(told[list_position(names, 'http-equiv')]) = 'refresh'
+        then regexp_extract(told[list_position(names, 'content')], '(?is)url\\s*=\\s*[''"]?([^''"]+)', 1) end), '&amp;', '&') as href
   from tags),
 targets as (
-  select u as a, case when contains(href, '://') then href when href like '//%' then scheme || ':' || href
+  select u as a, case when regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') then href when href like '//%' then scheme || ':' || href
       when href like '/%' then scheme || '://' || host || href
       when href like '#%' or href like '?%' then scheme || '://' || host || path || href
       else scheme || '://' || host || regexp_replace(case when path = '' then '/' else path end, '[^/]*$', '') || href end as b
   from refs where href <> ''),
 edges as (
   select x.host || case when x.path = '' then '/' else x.path end || x.query as a,
-         y.host || case when y.path = '' then '/' else y.path end || y.query as b
+         y.host || case when y.path = '' then '/' when regexp_matches(y.path, '/\\.{{1,2}}(/|$)') then {_RESOLVED} else y.path end || y.query as b
   from (select u, {_URL_PARTS}, row_number() over (order by a, b) as k from (select a as u, a, b from targets)) x
   join (select u, {_URL_PARTS}, row_number() over (order by a, b) as k from (select b as u, a, b from targets)) y using (k)
   where contains(x.u, '://') and contains(y.u, '://')),

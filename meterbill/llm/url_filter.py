@@ -7,7 +7,7 @@ alias of it is explicitly blocked, else allowed; an explicit allow always stands
 
 Edges come from the pages (``link rel=canonical``, ``meta http-equiv=refresh``; comments and scripts are not read) and
 from an optional table of known redirects.  Two urls are the same node if they agree but for scheme, fragment
-and case of the host.
+and case of the host.  References are resolved against the page's url, ``.`` and ``..`` included; ``rel`` is a list of words; a tag that holds ``<`` is not read.
 
 Scale: up to ``EXPRESSION_RULES`` rules are part of the scan's expressions; more, or rules in a table, are met by an
 equi-join of host suffixes and path prefixes (``joined_rules``).  Only urls that take part in
@@ -31,6 +31,7 @@ EXPRESSION_RULES = 1000      # up to so many rules are one expression; more are
 ALLOW, BLOCK = "allow", "block"
 Rule = tuple[str, str, str]     # host, path prefix, allow or block
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ATTRIBUTE = r"(?s)([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 
 
@@ -74,21 +75,33 @@ def with_rule(rows: DataFrame, rules: list[Rule] | DataFrame) -> DataFrame:
     return rows.join(joined_rules(rows, rules), ["host", "path"], "left")
 
 
-def node_of(url: Column) -> Column:
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` resolved."""
+    parts = F.split(path, "/")
+    up = lambda kept: F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.slice(parts, F.lit(1), F.lit(1)),
+                       lambda kept, x: F.when(x == "..", up(kept)).when(x == ".", kept).otherwise(F.concat(kept, F.array(x))))
+    joined = F.array_join(F.when(path.rlike(r"/\.{1,2}$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), joined).otherwise(path)
+
+
+def node_of(url: Column, resolve: bool = False) -> Column:
     """What tells one url from another: host, path and query; NULL without ``://``."""
     host, path = host_and_path(url)
     query = F.coalesce(F.regexp_extract(url, URL, 3), F.lit(""))
-    return F.when(url.contains("://"), F.concat(host, F.when(path == "", F.lit("/")).otherwise(path), query))
+    return F.when(url.contains("://"), F.concat(host, F.when(path == "", F.lit("/")).otherwise(without_dots(path) if resolve else path), query))
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
     """(src, dst) nodes of the canonical links and refresh redirects in the pages."""
     html = F.regexp_replace("html", r"(?is)<!--.*?-->|<script\b.*?</script\s*>", " ")
-    tag = F.explode(F.regexp_extract_all(html, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), 1)).alias("tag")
-    tags = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", tag)
-    value = lambda name: F.regexp_replace(F.regexp_extract(
-        "tag", rf"(?is)\b{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1), "^[\"']|[\"']$", "")
-    canonical = F.when(F.lower(value("rel")) == "canonical", F.trim(value("href")))
+    tag = F.explode(F.regexp_extract_all(html, F.lit(r"(?is)(<(?:link|meta)[\s/][^<>]*>)"), 1)).alias("tag")
+    tags = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", tag) \
+        .select("url", F.transform(F.regexp_extract_all("tag", F.lit(ATTRIBUTE), 1), F.lower).alias("names"),
+                F.regexp_extract_all("tag", F.lit(ATTRIBUTE), 2).alias("told"))
+    # the first attribute of a name counts
+    value = lambda name: F.regexp_replace(F.get("told", F.array_position("names", name).cast("int") - 1), "^[\"']|[\"']$", "")
+    canonical = F.when(F.array_contains(F.split(F.lower(value("rel")), r"\s+"), "canonical"), F.trim(value("href")))
     refresh = F.when(F.lower(value("http-equiv")) == "refresh",
                      F.trim(F.regexp_extract(value("content"), r"(?is)url\s*=\s*['\"]?([^'\"]+)", 1)))
     found = tags.select("url", F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&")).alias("href")).filter("href <> ''")
@@ -96,12 +109,12 @@ def page_edges(pages: DataFrame) -> DataFrame:
     scheme = F.regexp_extract("url", "(?s)^(.*?)://", 1)
     href = F.col("href")
     # relative references against the page's own url
-    target = F.when(href.contains("://"), href) \
+    target = F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href) \
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href)) \
         .when(href.startswith("/"), F.concat(scheme, F.lit("://"), host, href)) \
         .when(href.startswith("#") | href.startswith("?"), F.concat(scheme, F.lit("://"), host, path, href)) \
         .otherwise(F.concat(scheme, F.lit("://"), host, F.regexp_replace(F.when(path == "", "/").otherwise(path), r"[^/]*$", ""), href))
-    return found.select(node_of(F.col("url")).alias("src"), node_of(target).alias("dst"))
+    return found.select(node_of(F.col("url")).alias("src"), node_of(target, True).alias("dst"))
 
 
 def judge(pages: DataFrame, rules: list[Rule] | DataFrame, redirects: DataFrame | None = None) -> DataFrame:

@@ -151,6 +151,33 @@ def test_verdicts_follow_aliases_and_equal_sql(spark):
     assert sorted(sql, key=repr) == sorted(got, key=repr)
 
 
+LINKS = [
+    ('<link data-href="http://z.net/" rel="canonical" href="http://x.com/de/1">', True), ('<link rel="nofollow Canonical" href=http://x.com/de/1>', True),
+    ('<link rel="canonicals" href="http://x.com/de/1">', False), ('<link title="rel=canonical" rel=alternate href="http://x.com/de/1">', False),
+    ('<link data-rel="canonical" href="http://x.com/de/1">', False), ('<linked rel="canonical" href="http://x.com/de/1">', False),
+    ('<link href="http://x.com/de/1"\n rel = \'canonical\'/>', True), ('<link rel="canonical" href="../../de/./x/../1">', True),
+    ('<link rel="canonical" href="../../../../de/..">', False), ('<link rel="canonical" href="/fr/../de/1?u=http://q.com/fr/">', True),
+    ('<meta http-equiv=refresh content="3; url=\'http://x.com/de/1\'">', True), ('<meta name=refresh content="3; url=http://x.com/de/1">', False),
+]
+
+
+def test_links_are_read_like_a_browser_and_equal_sql(spark):
+    rows = [(i, f"http://x.com/a/{i}/c", tag) for i, (tag, _) in enumerate(LINKS)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict == "block" for r in url_filter.judge(pages, queries.RULES).collect()}
+    assert got == {i: blocked for i, (_, blocked) in enumerate(LINKS)}
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    assert dict(con.execute(f"select page_id, verdict = 'block' from ({queries.ORACLE['op4_url_filters']})").fetchall()) == got
+
+
+def test_very_long_urls_and_pages(spark):
+    deep = "http://x.com/" + "a/" * 1_000
+    rows = [(1, deep, '<link rel="canonical" href="' + "../" * 1_000 + 'de/1">' + "<link " * 50_000), (2, deep + "b", "<" * 100_000)]
+    got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), queries.RULES).collect()}
+    assert got == {1: "block", 2: "allow"}
+
+
 def test_known_redirects_and_empty_tables(spark):
     pages = spark.createDataFrame(URL_ROWS, "page_id long, url string, html string")
     more = spark.createDataFrame([("http://d.net/r", "http://q.com/de/7"), (None, "x")], "a string, b string")
