@@ -48,9 +48,3 @@ def map_chunks(df: DataFrame, one: Callable[[pa.RecordBatch], pa.RecordBatch], s
         for piece in chunks(batches, rows):
             yield one(piece)
     return df.mapInArrow(run, schema)
-
-
-def keyed_texts(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id as long and text as string, with the named extra columns; other columns are not read."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       *[F.col(c) for c in more])
