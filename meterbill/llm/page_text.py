@@ -13,11 +13,15 @@ An element is furniture by its name, its role, being hidden, or a class or id al
 place (``ad-box``, ``reader-comments``); one word among others (``share-price``, ``menu-design``) or a heading's id is no reason.
 
 The suffix array alone gives wrong texts where articles share paragraphs (syndicated text, licence
-lines): see the README for how much it would remove; so it decides only where the markup doesn't.
+lines): see the README for how much it would remove.  So on marked pages the host's array is built over both sides of the marks:
+a run that recurs inside them and in the host's furniture (what the marks and names leave out) as well names a block, and an exact
+check of the markup follows: the block goes if an element around it, inside the marks, has a furniture word among others
+in its class or id (``promo-strip``).  Neither a recurring text nor such a word is enough by itself.
 
 Scale: the array is never whole.  A suffix is a row (host, digest of its first RUN tokens, page); sorting and
 comparing neighbours is a partial aggregate per (host, digest), so a host with a third of all pages is dealt over
-all tasks.  Every page is parsed once, in time linear in its length, and written; only unmarked pages' candidate tokens are shuffled.
+all tasks.  Every page is parsed once, in time linear in its length, and written; unmarked pages' candidate tokens are
+shuffled, of marked pages the furniture's suffixes, and of their main content those that a Bloom filter of repeated furniture lets through.
 
 Defined cases: NULL or empty html gives an empty text; a page without a host (NULL url, no scheme) is compared with no other; pages of equal
 content count as one page when runs are compared, so repeated rows keep their texts; unclosed elements end with their
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 from meterbill.llm import ngram_join
 from meterbill.llm.common import chunks, map_chunks, stored
 from meterbill.llm.wordhash import run_hashes, word_hashes
+from meterbill.operators.membership import key_filter
 
 RUN = 8
 COVERED = 0.7
@@ -103,11 +108,18 @@ def _furniture(name: str, attrs: dict[str, str], inside: bool) -> bool:
     return False
 
 
-def _judged(name: str, inner: str) -> tuple[bool, bool, bool]:
-    """(marks main content, is furniture within marked content, is furniture elsewhere) of a start tag."""
+def _doubtful(name: str, attrs: dict[str, str]) -> bool:
+    """Whether a class or id has a furniture word, alone or among others."""
+    if name in ("html", "body", "main") or name in HEADINGS:
+        return False
+    return any(p.lower() in FURNITURE for p in NAME_PARTS.findall(attrs.get("class", "") + " " + attrs.get("id", "")))
+
+
+def _judged(name: str, inner: str) -> tuple[bool, bool, bool, bool]:
+    """(marks main content, is furniture within marked content, is furniture elsewhere, may be furniture) of a start tag."""
     attrs = _attributes(inner) if inner and not inner.isspace() else {}
     marks = name in ("article", "main") or attrs.get("role", "").lower() == "main" or attrs.get("itemprop") == "articleBody"
-    return marks, _furniture(name, attrs, True), _furniture(name, attrs, False)
+    return marks, _furniture(name, attrs, True), _furniture(name, attrs, False), _doubtful(name, attrs)
 
 
 _judged_before = lru_cache(4096)(_judged)       # pages repeat their tags; long ones are not held
@@ -115,40 +127,57 @@ _judged_before = lru_cache(4096)(_judged)       # pages repeat their tags; long
 
 def parse(source: str | None) -> tuple[bool, list[str]]:
     """(main content is marked, blocks of text): of the marked content, or else of all that is no furniture."""
+    return parse_sides(source)[:2]
+
+
+def parse_sides(source: str | None) -> tuple[bool, list[str], list[str], list[int]]:
+    """``parse``, the other blocks of text (furniture, and what is outside the marked content), and which blocks of marked
+    content stand in an element that may be furniture."""
     main: list[str] = []
     rest: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []    # element, it is furniture, it marks main content
+    furniture_: list[str] = []
+    doubted: list[int] = []                     # which blocks of the marked content may be furniture
+    open_: list[tuple[str, bool, bool, bool]] = []      # element, it is furniture, it marks main content, it may be furniture in it
     at_name: dict[str, list[int]] = {}          # where in open_ the elements of a name are
     opaque: list[int] = []                      # where those are that an element's implied end does not look through
     dropped: list[int] = []                     # where the furniture is
-    marked = 0
+    marked = doubts = 0
     found = False
     held: list[str] = []
+    left: list[str] = []                        # what is held of furniture
+
+    def text_of(parts: list[str]) -> str:
+        text = " ".join(entities.unescape("".join(parts)).split())
+        parts.clear()
+        return text
 
     def flush() -> None:
-        if held:
-            block = " ".join(entities.unescape("".join(held)).split())
-            held.clear()
-            if block:
-                (main if marked else rest).append(block)
+        if held and (block := text_of(held)):
+            if marked and doubts:
+                doubted.append(len(main))
+            (main if marked else rest).append(block)
+
+    def flush_left() -> None:
+        if left and (block := text_of(left)):
+            furniture_.append(block)
 
     def close(depth: int) -> None:
-        nonlocal marked
+        nonlocal marked, doubts
         while len(open_) > depth:
-            name, was_furniture, was_main = open_.pop()
+            name, was_furniture, was_main, was_doubtful = open_.pop()
             at_name[name].pop()
             if name not in SEEN_THROUGH:
                 opaque.pop()
             if was_furniture:
                 dropped.pop()
             marked -= was_main
+            doubts -= was_doubtful
 
     at, source = 0, source or ""
     end, last, quotes = len(source), source.rfind(">"), True
     while at < end:
         m = TOKEN.search(source, at)
-        if not dropped:
-            held.append(source[at:m.start() if m else end])
+        (left if dropped else held).append(source[at:m.start() if m else end])
         if not m:
             break
         at = m.end()
@@ -169,9 +198,10 @@ def parse(source: str | None) -> tuple[bool, list[str]]:
             inner, at = source[at:gt], gt + 1
         name, closing = m[2].lower(), bool(m[1])
         if name == "br":
-            if not dropped:
-                held.append(" ")
+            (left if dropped else held).append(" ")
             continue
+        if name in BLOCKS:
+            flush_left()
         if closing:
             if name in BLOCKS and not dropped:
                 flush()
@@ -185,7 +215,7 @@ def parse(source: str | None) -> tuple[bool, list[str]]:
             continue
         if name in BLOCKS and not dropped:
             flush()
-        marks, inside, elsewhere = (_judged_before if len(inner) <= 200 else _judged)(name, inner)
+        marks, inside, elsewhere, doubtful = (_judged_before if len(inner) <= 200 else _judged)(name, inner)
         if dropped and (name == "body" or marks and not marked and not elsewhere):
             # an unclosed menu or header cannot hold the page's main content, nor an unclosed head its body
             close(dropped[0])
@@ -200,12 +230,15 @@ def parse(source: str | None) -> tuple[bool, list[str]]:
             opaque.append(len(open_))
         if furniture:
             dropped.append(len(open_))
-        open_.append((name, furniture, marks))
+        doubtful = doubtful and marked > 0
+        doubts += doubtful
+        open_.append((name, furniture, marks, doubtful))
         if marks:
             marked += 1
             found = found or not dropped
     flush()
-    return found, (main if found else rest)
+    flush_left()
+    return found, (main if found else rest), (rest + furniture_ if found else furniture_), doubted if found else []
 
 
 def host_of():
@@ -222,19 +255,29 @@ def _tokens(blocks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, marked, text, page: every page parsed; ``page``: digest of its tokens, NULL if marked."""
+def _run_digests(words: np.ndarray, run_length: int) -> np.ndarray:
+    """Digests of the first ``run_length`` tokens of every suffix that has as many."""
+    start = np.arange(max(0, len(words) - run_length + 1))
+    return run_hashes(words, start, start + run_length).view(np.int64) if len(start) else np.zeros(0, np.int64)
+
+
+def _parsed(pages: DataFrame, run_length: int = RUN) -> DataFrame:
+    """page_id, url, host, marked, text, page, outside, doubted: every page parsed; ``page``: digest of its tokens; ``outside``: the distinct
+    runs of what a marked page has besides its main content, NULL on others; ``doubted``: its blocks that may be furniture by a name."""
     def one(batch):
-        got = [parse(html) for html in batch.column("html").to_pylist()]
-        words = [np.zeros(0, np.uint64) if m else _tokens(b)[0] for m, b in got]
+        got = [parse_sides(html) for html in batch.column("html").to_pylist()]
+        words = [_tokens(b)[0] for _, b, _, _ in got]
         page = [int(run_hashes(w, np.array([0]), np.array([len(w)])).view(np.int64)[0]) if len(w) else None for w in words]
+        outside = [np.unique(_run_digests(_tokens(o)[0], run_length)) if m else None for m, _, o, _ in got]
         return pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array([m for m, _ in got], pa.bool_()),
-             pa.array(["\n".join(b) for _, b in got], pa.string()), pa.array(page, pa.int64())],
-            names=["page_id", "url", "host", "marked", "text", "page"])
+            [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array([m for m, _, _, _ in got], pa.bool_()),
+             pa.array(["\n".join(b) for _, b, _, _ in got], pa.string()), pa.array(page, pa.int64()), pa.array(outside, pa.list_(pa.int64())),
+             pa.array([d for _, _, _, d in got], pa.list_(pa.int32()))],
+            names=["page_id", "url", "host", "marked", "text", "page", "outside", "doubted"])
     named = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host_of().alias("host"),
                          F.col("html").cast("string").alias("html"))
-    return map_chunks(named, one, "page_id long, url string, host string, marked boolean, text string, page long", 64)
+    return map_chunks(named, one, "page_id long, url string, host string, marked boolean, text string, page long, outside array<long>, "
+                      "doubted array<int>", 64)
 
 
 def _suffixes(streams: DataFrame, run_length: int) -> DataFrame:
@@ -243,14 +286,10 @@ def _suffixes(streams: DataFrame, run_length: int) -> DataFrame:
         for piece in chunks(batches, 64):
             hosts, cols = [], [[], [], [], []]
             for host, page, family, text in zip(*[c.to_pylist() for c in piece.columns]):
-                words, _ = _tokens(text.split("\n"))
-                n = len(words) - run_length + 1
-                if n < 1:
-                    continue
-                start = np.arange(n)
+                digests = _run_digests(_tokens(text.split("\n"))[0], run_length)
+                n = len(digests)
                 hosts += [host] * n
-                for c, x in zip(cols, (run_hashes(words, start, start + run_length).view(np.int64), np.full(n, page), np.full(n, family),
-                                       start.astype(np.int32))):
+                for c, x in zip(cols, (digests, np.full(n, page), np.full(n, family), np.arange(n, dtype=np.int32))):
                     c.append(x)
             if hosts:
                 yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string())] + [pa.array(np.concatenate(c)) for c in cols],
@@ -260,7 +299,7 @@ def _suffixes(streams: DataFrame, run_length: int) -> DataFrame:
 
 def boilerplate(parsed: DataFrame, run_length: int = RUN, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """(f_host, f_page, runs): where in each unmarked page the runs begin that recur across its host."""
-    streams = parsed.filter("page is not null and host is not null").groupBy("host", "page").agg(F.min("text").alias("text"))
+    streams = parsed.filter("not marked and page is not null and host is not null").groupBy("host", "page").agg(F.min("text").alias("text"))
     # near copies of a page, wherever they are, are one family
     alike = ngram_join.components(streams.groupBy(F.col("page").alias("doc_id")).agg(F.min("text").alias("text")), width=5, percent=80)
     streams = stored(streams.join(alike.select(F.col("doc_id").alias("page"), F.col("component_id").alias("family")), "page"), "pages-streams")
@@ -272,18 +311,36 @@ def boilerplate(parsed: DataFrame, run_length: int = RUN, share: float = SHARE,
         .agg(F.sort_array(F.collect_set("pos")).alias("runs"))
 
 
+def inserts(parsed: DataFrame, run_length: int = RUN, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """(f_host, f_page, runs): where in each marked page's main content the runs begin that recur on a share of the host's
+    distinct pages, in their main content and in their furniture as well."""
+    marked = parsed.filter("marked and page is not null and host is not null")
+    size = marked.groupBy("host").agg(F.count_distinct("page").alias("pages"))
+
+    def recurring(runs: DataFrame, of: str) -> DataFrame:
+        often = runs.groupBy("host", "h").agg(F.count_distinct(of).alias("n")).filter(F.col("n") >= least)
+        return often.join(size, "host").filter(F.col("n") >= share * F.col("pages")).select("host", "h")
+
+    furniture = stored(recurring(marked.select("host", "page", F.explode("outside").alias("h")), "page"), "pages-furniture")
+    streams = marked.select("host", "page", F.lit(0).cast("long").alias("family"), "text")
+    known = _suffixes(streams, run_length).filter(key_filter(furniture.select("h"))("h"))
+    hits = stored(known.join(furniture, ["host", "h"], "left_semi").select("host", "page", "h", "pos").distinct(), "pages-inserts")
+    # only pages with such a run are compared: near copies are one family
+    texts = marked.join(hits.select("page").distinct(), "page", "left_semi").groupBy(F.col("page").alias("doc_id")).agg(F.min("text").alias("text"))
+    alike = ngram_join.components(texts, width=5, percent=80).select(F.col("doc_id").alias("page"), F.col("component_id").alias("family"))
+    both = recurring(hits.join(alike, "page"), "family")
+    return hits.join(both, ["host", "h"]).groupBy(F.col("host").alias("f_host"), F.col("page").alias("f_page")) \
+        .agg(F.sort_array(F.collect_set("pos")).alias("runs"))
+
+
 def extract(pages: DataFrame, run_length: int = RUN, covered: float = COVERED, share: float = SHARE,
             least: int = LEAST_PAGES) -> DataFrame:
     """page_id, url, text, n_chars, marked, one row per page."""
-    parsed = stored(_parsed(pages), "pages-parsed")
-    columns = ["page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "marked"]
-    unmarked = parsed.filter("not marked")
-    if unmarked.filter("page is not null and host is not null").isEmpty():
-        return parsed.select(*columns)
+    parsed = stored(_parsed(pages, run_length), "pages-parsed")
 
     def cut(batch):
         texts = []
-        for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
+        for text, runs, marked, doubted in zip(*[batch.column(c).to_pylist() for c in ("text", "runs", "marked", "doubted")]):
             if runs and text:
                 blocks = text.split("\n")
                 words, block = _tokens(blocks)
@@ -292,12 +349,18 @@ def extract(pages: DataFrame, run_length: int = RUN, covered: float = COVERED, s
                     over[r] += 1
                     over[r + run_length] -= 1
                 on = np.bincount(block, np.cumsum(over[:-1]) > 0, len(blocks)) / np.maximum(1, np.bincount(block, minlength=len(blocks)))
-                text = "\n".join(b for b, s in zip(blocks, on) if s < covered)
+                gone = on >= covered
+                if marked:                      # the markup has the last word on what it marks
+                    gone &= np.isin(np.arange(len(blocks)), doubted)
+                text = "\n".join(b for b, g in zip(blocks, gone) if not g)
             texts.append(text)
-        return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-                                          names=["page_id", "url", "text"])
-
-    found = boilerplate(parsed, run_length, share, least)
-    joined = unmarked.join(found, (F.col("host") == F.col("f_host")) & (F.col("page") == F.col("f_page")), "left")
-    rest = map_chunks(joined.select("page_id", "url", "text", "runs"), cut, "page_id long, url string, text string").withColumn("marked", F.lit(False))
-    return parsed.filter("marked").select("page_id", "url", "text", "marked").union(rest).select(*columns)
+        return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), batch.column("marked")],
+                                          names=["page_id", "url", "text", "marked"])
+
+    found = inserts(parsed, run_length, share, least).withColumn("f_marked", F.lit(True))
+    if not parsed.filter("not marked and page is not null and host is not null").isEmpty():
+        found = found.unionByName(boilerplate(parsed, run_length, share, least).withColumn("f_marked", F.lit(False)))
+    found = stored(found, "pages-found")      # small where little recurs: then no text is shuffled
+    joined = parsed.join(found, (F.col("host") == F.col("f_host")) & (F.col("page") == F.col("f_page")) & (F.col("marked") == F.col("f_marked")), "left")
+    rest = map_chunks(joined.select("page_id", "url", "text", "marked", "runs", "doubted"), cut, "page_id long, url string, text string, marked boolean")
+    return rest.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "marked")

@@ -118,6 +118,19 @@ def test_a_run_needs_a_share_of_the_host(spark):
     assert sum(licence in r.text for r in page_text.extract(pages, share=0.05).collect()) == 0
 
 
+def test_marked_pages_lose_what_recurs_in_a_doubtful_block_and_in_furniture(spark):
+    notice = "Read our paper every day for only one euro a week"
+    licence = "This text may be used by anyone who names those that wrote it"
+    page = ('<body><div class=ad><p>{}</p></div><article><p>Story {} tells of {} things and {} more</p><div class="promo-strip">{}</div>'
+            '<p class="share-alike">{}</p><p>{}</p></article><div>{}</div></body>')
+    rows = [(i, f"http://a.com/{i}", page.format(notice, i, i * 7, i * 11, notice if i < 4 else f"Prize {i}", licence, notice, f"Teaser {i}"))
+            for i in range(6)]
+    rows.append((6, "http://b.com/6", page.format(notice, 6, 42, 66, notice, licence, notice, "")))
+    got = {r.page_id: r.text for r in page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    strip = {4: "Prize 4\n", 5: "Prize 5\n", 6: f"{notice}\n"}        # host b.com has one page: nothing recurs
+    assert got == {i: f"Story {i} tells of {i * 7} things and {i * 11} more\n{strip.get(i, '')}{licence}\n{notice}" for i in range(7)}
+
+
 def test_pages_of_clashing_columns_and_repeated_rows(spark):
     page = _site(1, "<p>One page that stands three times in the table under one url</p>")
     pages = spark.createDataFrame([(1, "http://a.com/1", page)] * 3, "page_id long, url string, html string") \
