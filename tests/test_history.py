@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from meterbill.functions.rules import FIXTURE
-from meterbill.plans.history import MonthlyHistory, intersected, sums_at, united
+from meterbill.plans.history import Calendar, MonthlyHistory, intersected, sums_at, united
 from meterbill.plans.monthly import MonthlyStats
 from meterbill.sources.materialize import to_shared_parquet
 from meterbill.sources.standins import Standins
@@ -82,3 +82,21 @@ def test_intersections_summed_at_points_match_definition(spark, left, right, poi
     assert got == {(i, f"m{k}"): (k + 1) * sum(1 for x, b1, e1 in spans(left) for y, b2, e2 in spans(right)
                                              if x == y == k and b1 <= day(p) <= e1 and b2 <= day(p) <= e2)
                    for i, p in enumerate(points) for k in range(3)}
+
+
+def test_sets_of_periods_match_definition(spark):
+    periods = [(100 + i, day(30 * i)) for i in range(70)] + [(100, day(5)), (100, day(2100)), (101, day(30)), (None, day(3)), (7, None)]
+    bounds = [(-9, 5), (0, 0), (1, 29), (5, 2100), (30, 1900), (1861, 1890), (2071, 9999), (40, 10), (3000, 4000)]
+    rows = [(i, day(b), day(e)) for i, (b, e) in enumerate(bounds)] + [(90, None, day(9)), (91, day(9), None)]
+    calendar = Calendar(spark.createDataFrame(periods, "bl_bill_id long, bill_date date"), to_shared_parquet)
+    table = spark.createDataFrame(rows, "k int, begin date, end date")
+    for frame in (table, table.selectExpr("k", "cast(begin as timestamp) as begin", "cast(end as timestamp) + interval 3 hours as end")):
+        held = frame.select("k", *[c.alias(m) for c, m in zip(calendar.in_force(), calendar.masks)])
+        got = [(r.k, r.bl_bill_id) for r in calendar.exploded(held.filter(calendar.some())).collect()]
+        assert len(calendar.masks) == 2 and len(got) == len(set(got))
+        assert set(got) == {(k, p) for k, b, e in rows for p, d in periods if b and e and p and d and b <= d <= e}
+    late = frame.selectExpr("k", "begin + interval 1 hour as begin", "end").filter("k = 1").select(*[c.alias(m) for c, m in zip(calendar.in_force(), calendar.masks)])
+    assert late.filter(calendar.some()).isEmpty()          # begins after the day's midnight
+    none = Calendar(spark.createDataFrame([], "bl_bill_id long, bill_date date"), to_shared_parquet)
+    empty = table.select("k", *[c.alias(m) for c, m in zip(none.in_force(), none.masks)]).filter(none.some())
+    assert none.exploded(empty).isEmpty()
