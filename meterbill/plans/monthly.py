@@ -10,11 +10,11 @@ shared base frames:
 * ``meter_channels``   - (meter, channel) with a counting reading in the period;
 * ``reading_accounts`` - distinct (channel, account) built from the above.
 
-For the report the two expensive shared frames - ``meter_channels`` (from
-the readings, the largest fact) and ``account_services`` (a four-way join
-read by three branches) - are written once to the shared folder (see
-``sources.materialize``).  ``open_accounts`` and ``valid_bindings`` are
-filtered scans of one table each and are simply re-read.  Every other chain
+For the report the shared frames - ``meter_channels`` (from the readings, the
+largest fact), ``account_services`` (a four-way join read by three branches),
+``open_accounts`` (read by three), ``valid_bindings`` (by four) and ``service_keys``
+(by two) - are written once to the shared folder (see ``sources.materialize``): the rows in force at one date are
+few, and a source may have to aggregate a table for them.  Every other chain
 has exactly one consumer: M03+M04 in one rollup, houses (M06-M11) in one
 pass, meters and services (M12-M19) in one pass pre-aggregated per service
 key before the fan-out joins.
@@ -102,7 +102,7 @@ class MonthlyStats:
             return (fa.filter(flag_is("is_active") & F.col("us_baseclose_doc_id").isNull()
                               & valid_at(self.bill_date))
                     .select("us_flat_account_kid", "num_account", "tu_rlty_kid"))
-        return build()  # a filtered scan: recomputing beats writing it
+        return self._once("open_accounts", build)
 
     def valid_bindings(self) -> DataFrame:
         """(cntr_service_key_id, cd_cntr_kid) of active bindings valid at the date."""
@@ -110,7 +110,13 @@ class MonthlyStats:
             b = self.t["cd_const_service_bunch"]
             return (b.filter(flag_is("is_active") & valid_at(self.bill_date))
                     .select(F.col("us_cntr_svc_id").alias("cntr_service_key_id"), "cd_cntr_kid"))
-        return build()  # a filtered scan: recomputing beats writing it
+        return self._once("valid_bindings", build)
+
+    def service_keys(self) -> DataFrame:
+        """(service, contract, realty, service reference) of every contract service."""
+        def build():
+            return self.t["cn_service_key"].select("cntr_service_key_id", "cntr_contract_key_id", "tu_rlty_kid", "ns_svc_id")
+        return self._once("service_keys", build)
 
     def account_services(self) -> DataFrame:
         """Open account version x its contracts' services, with the service name
@@ -119,7 +125,7 @@ class MonthlyStats:
         def build():
             fa = self.open_accounts()
             ck = self.t["cn_contract_key"].select("cntr_contract_key_id", "us_account_id")
-            sk = self.t["cn_service_key"].select("cntr_service_key_id", "cntr_contract_key_id", "ns_svc_id")
+            sk = self.service_keys().select("cntr_service_key_id", "cntr_contract_key_id", "ns_svc_id")
             ref = self.t["ns_svc_ref"].select("ns_svc_id", "name")
             return (fa.join(ck, fa.us_flat_account_kid == ck.us_account_id)
                     .join(sk, "cntr_contract_key_id").join(ref, "ns_svc_id", "left")
@@ -174,7 +180,7 @@ class MonthlyStats:
         c = self.active_contracts().select("cntr_contract_key_id", "contract_nmbr")
         realty = self.t["tu_realty"].filter(flag_is("is_active") & valid_at(self.bill_date))
         rk = self.t["tu_realty_key"].select("tu_rlty_kid")
-        sk = self.t["cn_service_key"].select("cntr_contract_key_id", "tu_rlty_kid", "cntr_service_key_id")
+        sk = self.service_keys().select("cntr_contract_key_id", "tu_rlty_kid", "cntr_service_key_id")
         return (ck.select("cntr_contract_key_id").join(c, "cntr_contract_key_id")
                 .join(self.t["cn_realty_bunch_key"], "cntr_contract_key_id")
                 .join(rk, "tu_rlty_kid")
@@ -335,7 +341,7 @@ class MonthlyStats:
     # ---------------------------------------------------------------- report
     def prepare(self) -> None:
         """Build the shared base frames.  With a writing materializer these are
-        two independent jobs; they are submitted together so they share the
+        three independent jobs; they are submitted together so they share the
         cluster instead of running one after the other."""
         failed: list[BaseException] = []
 
@@ -346,7 +352,7 @@ class MonthlyStats:
                 failed.append(e)
         spark = self.t["bl_bill_periods"].sparkSession
         # the threads keep the caller's job group and pool
-        threads = [InheritableThread(target=build, args=(f,), session=spark) for f in (self.meter_channels, self.account_services)]
+        threads = [InheritableThread(target=build, args=(f,), session=spark) for f in (self.meter_channels, self.account_services, self.valid_bindings)]
         for t in threads:
             t.start()
         for t in threads:

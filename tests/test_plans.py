@@ -76,3 +76,18 @@ def test_each_shard_table_is_read_once(spark, monkeypatch):
     assert [n for n, _ in written] == ["shards-nanim", "shards-dom", "shards-ulicy", "shards-city"]
     assert all(n <= shards.MAX_PARALLEL_READS for _, n in written)
     assert "orders.parquet" not in plan
+
+
+def test_report_writes_every_shared_base_once(spark):
+    from meterbill.functions.rules import FIXTURE
+    from meterbill.plans.monthly import MonthlyStats
+    from meterbill.sources.materialize import to_shared_parquet
+    from meterbill.sources.standins import Standins
+    names = []
+
+    def kept(df, name):
+        names.append(name)
+        return to_shared_parquet(df, name)
+    report = MonthlyStats(Standins.of(spark, SF_SMALL), FIXTURE, materialize=kept).report()
+    assert sorted(names) == ["account_services", "meter_channels", "open_accounts", "service_keys", "valid_bindings"]
+    assert report.count() > 20
