@@ -31,7 +31,7 @@ from meterbill.operators.readings import (grouped_multi_max, last_reading, lates
                                           period_volume)
 from meterbill.operators.snapshots import latest_snapshot_per_base, missing_bases
 from meterbill.plans.consolidate import consolidated_accounts, shard_accounts
-from meterbill.plans.extract import MeterExtract, rendered_addresses
+from meterbill.plans.extract import MeterExtract, left_join_spread, rendered_addresses
 from meterbill.plans.history import MonthlyHistory
 from meterbill.plans.monthly import MonthlyStats, metric_rows
 from meterbill.session import scratch_path
@@ -268,9 +268,8 @@ def case_expr(spark, sf_dir):
     ex = _extract(spark, sf_dir)
     t = _t(spark, sf_dir)
     open_id = period_scalar(t.bl_bill_periods, "bl_bill_id", OPEN)
-    rows = (ex.service_meters().join(ex.attribute(FIXTURE.stormwater_code, "storm_attr"),
-                                     "tu_rlty_kid", "left")
-            .join(ex.volumes(open_id), "meter_id", "left"))
+    rows = ex.service_meters().join(ex.attribute(FIXTURE.stormwater_code, "storm_attr"), "tu_rlty_kid", "left")
+    rows = left_join_spread(rows, ex.volumes(open_id), "meter_id", "cntr_service_key_id")
     volume = F.when(F.col("service") == F.lit(FIXTURE.stormwater_service),
                     to_number("storm_attr")).otherwise(F.col("meter_volume"))
     return rows.select("cntr_service_key_id", volume.alias("volume"))

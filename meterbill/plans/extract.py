@@ -64,6 +64,15 @@ def rendered_addresses(t: BillingTables, labels: OracleAddressLabels) -> DataFra
                     F.coalesce("ts_type", "th_type").alias("town_type"))
 
 
+def left_join_spread(rows: DataFrame, facts: DataFrame, key: str, spread: str) -> DataFrame:
+    """``rows.join(facts, key, "left")`` where many rows have no key: those, which match nothing, are dealt over all partitions by
+    ``spread`` instead of meeting in the one of NULL."""
+    dealt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(1 << 20))).otherwise(0)
+    there = facts.withColumnRenamed(key, "_key").withColumn("_at", F.when(F.col("_key").isNotNull(), F.lit(0).cast("long")))
+    return rows.withColumn("_dealt", dealt).join(there, (F.col(key) == F.col("_key")) & (F.col("_dealt") == F.col("_at")), "left") \
+        .drop("_key", "_dealt", "_at")
+
+
 def whitelist_key(pairs: Whitelist) -> list[tuple[str, int]]:
     return sorted({(str(c), int(h)) for c, houses in pairs for h in houses})
 
@@ -104,8 +113,9 @@ class MeterExtract:
              .select(F.col("us_cntr_svc_id").alias("cntr_service_key_id"), "cd_cntr_kid"))
         cc1 = (self.t["cd_counter"].filter(flag_is("is_active"))
                .select(F.col("cd_cntr_kid").alias("meter_id"), "ser_number", "cntr_number"))
-        return (sk.join(r, "ns_svc_id", "left").join(b, "cntr_service_key_id", "left")
-                .join(cc1, F.col("cd_cntr_kid") == F.col("meter_id"), "left").drop("cd_cntr_kid"))
+        bound = sk.join(r, "ns_svc_id", "left").join(b, "cntr_service_key_id", "left")
+        meters = cc1.withColumn("cd_cntr_kid", F.col("meter_id"))
+        return left_join_spread(bound, meters, "cd_cntr_kid", "cntr_service_key_id").drop("cd_cntr_kid")
 
     def realty_attributes(self) -> DataFrame:
         """(tu_rlty_kid, inspector, storm_attr): both characteristics of a realty
@@ -208,7 +218,7 @@ class MeterExtract:
             wanted = body.select("meter_id")
         # the readings arrive as one row per meter
         open_id = current_period(self.t["bl_bill_periods"], OPEN).select("bl_bill_id").scalar()
-        body = body.join(self.meter_facts(open_id, wanted), "meter_id", "left")
+        body = left_join_spread(body, self.meter_facts(open_id, wanted), "meter_id", "cntr_service_key_id")
         volume = F.when(F.col("service") == F.lit(self.rules.stormwater_service),
                         to_number("storm_attr")).otherwise(F.col("meter_volume"))
         return body.select(

@@ -91,3 +91,22 @@ def test_report_writes_every_shared_base_once(spark):
     report = MonthlyStats(Standins.of(spark, SF_SMALL), FIXTURE, materialize=kept).report()
     assert sorted(names) == ["account_services", "meter_channels", "open_accounts", "service_keys", "valid_bindings"]
     assert report.count() > 20
+
+
+def test_rows_without_a_key_are_dealt_over_the_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from meterbill.plans.extract import left_join_spread
+    rows = spark.range(4000).selectExpr("id", "case when id % 10 = 0 then id % 7 end as meter")
+    facts = spark.createDataFrame([(i, i * 10) for i in range(5)] + [(3, 31), (None, 99)], "meter long, fact int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = left_join_spread(rows, facts.hint("merge"), "meter", "id").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    want = rows.join(facts, "meter", "left").collect()
+    assert sorted((r.id, r.meter, r.fact) for r in got if r.meter is not None) == sorted((r.id, r.meter, r.fact) for r in want if r.meter is not None)
+    empty = [r for r in got if r.meter is None]
+    assert len(empty) == 3600 and all(r.fact is None for r in empty)
+    parts = [r.part for r in empty]
+    assert max(parts.count(p) for p in set(parts)) < 2000
